@@ -5,6 +5,7 @@ of each. Floating columns are rounded identically on both sides by ``present``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # data's own resolution, so equal values round equally on both engines.
 TIE_NUDGE = 1e-3
 
+# The streamed copy of events: files, and files per micro-batch.
+STREAM_FILES = 8
+STREAM_FILES_PER_BATCH = 2
+
 
 def _round(c: str, digits: int):
     scale = float(10 ** digits)
@@ -197,6 +202,22 @@ def build() -> dict[str, Query]:
         return present(jobs.repair_seam(rd, cut, s, FX.SEAM_SECONDS))
     q["job_repair_seam"] = job_repair_seam
 
+    def incremental_equals_full(spark, sf):
+        """Stream the events, split into time-ranged files, through foreachBatch."""
+        from flowruns.session import ensure_checkpoint_dir
+        from flowruns.sources import sinks
+        from flowruns.sources.readers import readings_from_events, table
+        from flowruns.streaming.incremental import start_stream
+
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flowruns-stream-{uuid.uuid4().hex}"
+        events = table(spark, sf, "events")
+        events.repartitionByRange(STREAM_FILES, "ts").write.parquet(f"{root}/source")
+        query = start_stream(spark, f"{root}/source", events.schema, f"{root}/runs", f"{root}/_stream",
+                             to_readings=readings_from_events, max_files_per_trigger=STREAM_FILES_PER_BATCH)
+        query.awaitTermination()
+        return present(sinks.read_runs(spark, f"{root}/runs"))
+    q["incremental_equals_full"] = incremental_equals_full
+
     def job_incremental(spark, sf):
         rd = load_readings(spark, sf)
         out, _ = jobs.incremental(rd, FX.runs_before(rd), FX.empty_checkpoints(spark))
