@@ -69,21 +69,28 @@ def write_runs(runs: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def replace_dates(new_table: DataFrame, path: str, dates: DataFrame, staging_root: str | None = None) -> str:
     """Replace the partitions ``dates`` (one column ``START_DATE``) of the run table at
-    ``path`` by the rows of ``new_table`` in those dates. Returns the staging path."""
+    ``path`` by the rows of ``new_table`` in those dates. Returns the staging path.
+
+    The changed dates (a short list: one value per day touched) are settled first, since
+    they may be derived from the table that is about to be rewritten.
+    """
     spark = new_table.sparkSession
     root = staging_root or ensure_checkpoint_dir(spark)
     staging = f"{root.rstrip('/')}/flowruns-staging-{uuid.uuid4().hex}"
+    day_list = sorted({r[0] for r in dates.select(PART).distinct().collect() if r[0] is not None})
+    if not day_list:
+        return staging
     rows = (new_table.select(*S.RUN_COLUMNS).withColumn(PART, F.to_date(S.START))
-            .join(dates.select(PART).distinct(), PART, "left_semi"))
+            .where(F.col(PART).isin(day_list)))
     rows.write.mode("overwrite").partitionBy(PART).parquet(staging)
-    publish_staging(spark, staging, path, dates)
+    publish_staging(spark, staging, path, day_list)
     return staging
 
 
-def publish_staging(spark: SparkSession, staging: str, path: str, dates: DataFrame) -> None:
+def publish_staging(spark: SparkSession, staging: str, path: str, day_list: list) -> None:
     """Second step of ``replace_dates``: overwrite the changed dates from the staging copy.
 
-    Dates that became empty are overwritten with no rows by deleting their folder first.
+    Dates that lost every row have no staged folder; their folder in the table is removed.
     """
     staged = spark.read.parquet(staging) if _exists(spark, staging) else None
     if staged is not None:
@@ -94,11 +101,10 @@ def publish_staging(spark: SparkSession, staging: str, path: str, dates: DataFra
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     staged_dates = set() if staged is None else {r[0] for r in staged.select(PART).distinct().collect()}
-    # Partitions that lost every row: the (small) list of changed dates is on the driver already.
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for (d,) in dates.select(PART).distinct().collect():
-        if d is not None and d not in staged_dates:
+    for d in day_list:
+        if d not in staged_dates:
             p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PART}={d.isoformat()}")
             fs = p.getFileSystem(conf)
             if fs.exists(p):
