@@ -41,6 +41,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Largest per-device table a job broadcasts: rows are ~60 bytes, so this stays far below
+# executor memory. Larger ones go through a shuffle join (AQE splits skewed partitions).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a materialized per-device table only when its row count, checked here,
+    is within ``max_rows``; otherwise leave the join strategy to Spark/AQE."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def _bounds(extents: DataFrame) -> tuple:
     row = extents.agg(F.min(S.START).alias("lo"), F.max(S.END).alias("hi")).first()
     return row["lo"], row["hi"]
@@ -64,11 +75,12 @@ def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
 def repair_extents(readings: DataFrame, runs: DataFrame, extents: DataFrame,
                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Recompute the given per-device extents and replace the fragments they join."""
-    extents = materialize(extents)
+    extents = small_side(materialize(extents))
     lo, hi = _bounds(extents)
     if lo is None:
         return runs
-    return replace_covered(runs, bridge_islands(readings, runs, extents, chunk_seconds, tiebreak, lo, hi))
+    bridges = small_side(materialize(bridge_islands(readings, runs, extents, chunk_seconds, tiebreak, lo, hi)))
+    return replace_covered(runs, bridges)
 
 
 def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
@@ -118,7 +130,8 @@ def incremental(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, la
         return new_runs, new_runs.agg(F.max(S.END).alias(S.TIMESTAMP)).where(F.col(S.TIMESTAMP).isNotNull())
 
     lo = cp - dt.timedelta(seconds=int(lateness_seconds))
-    touched = materialize(runs.where(end > _ts(lo)).groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM")))
+    touched = small_side(materialize(
+        runs.where(end > _ts(lo)).groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM"))))
     first_from = touched.agg(F.min("_FROM")).first()[0]
     floor = min(lo, first_from) if first_from is not None else lo
 

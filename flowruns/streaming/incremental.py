@@ -23,7 +23,7 @@ from flowruns.operators.extents import adjacent_extents
 from flowruns.operators.repair import confirm_bridges, recompute_extents, runs_within
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, clean
 from flowruns.operators.summary import summarize_runs
-from flowruns.plans.jobs import materialize
+from flowruns.plans.jobs import materialize, small_side
 from flowruns.sources import sinks
 
 
@@ -47,7 +47,7 @@ def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataF
 
     Returns ``(new run table, changed start dates)``.
     """
-    frm = materialize(affected_from(runs, new_readings))
+    frm = small_side(materialize(affected_from(runs, new_readings)))
     lo = frm.agg(F.min("_FROM")).first()[0]
     if lo is None:
         return runs, runs.sparkSession.createDataFrame([], f"{sinks.PART} date")
@@ -62,13 +62,13 @@ def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataF
               .unionByName(new_runs.withColumn("_NEW", F.lit(True))))
 
     # Bridge the last untouched run of a device with its first recomputed run.
-    extents = materialize(adjacent_extents(merged, ~F.col("_NEW"), F.col("_NEW")))
+    extents = small_side(materialize(adjacent_extents(merged, ~F.col("_NEW"), F.col("_NEW"))))
     merged = merged.drop("_NEW")
     bounds = extents.agg(F.min(S.START), F.max(S.END)).first()
     if bounds[0] is not None:
-        bridges = materialize(confirm_bridges(
+        bridges = small_side(materialize(confirm_bridges(
             recompute_extents(readings, extents, chunk_seconds, tiebreak, bounds[0], bounds[1]),
-            runs_within(merged, extents)))
+            runs_within(merged, extents))))
     else:
         bridges = new_runs.limit(0)
     b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
