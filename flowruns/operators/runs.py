@@ -33,6 +33,8 @@ from flowruns import schema as S
 from flowruns.functions import epoch_seconds
 
 DEFAULT_CHUNK_SECONDS = 3600
+# Target readings per (device, chunk) window task for ``chunk_seconds="auto"``.
+AUTO_TARGET_ROWS = 2_000_000
 
 
 def idle_flag() -> Column:
@@ -61,8 +63,27 @@ def clean(readings: DataFrame) -> DataFrame:
     return readings.where(F.col(S.DEVICE_ID).isNotNull() & F.col(S.TIMESTAMP).isNotNull())
 
 
-def with_chunk(readings: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def resolve_chunk_seconds(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
+                          target_rows: int = AUTO_TARGET_ROWS) -> int:
+    """Return ``chunk_seconds``, or for ``"auto"`` the widest width (at most one hour)
+    whose hottest (device, chunk) holds about ``target_rows`` readings or fewer.
+
+    One partially aggregated pass over (device, time): the per-hour counts never leave
+    the executors, only their maximum does. Assumes rates inside an hour are roughly even;
+    below one second the width stays at one second.
+    """
+    if chunk_seconds != "auto":
+        return int(chunk_seconds)
+    hourly = with_chunk(clean(readings), DEFAULT_CHUNK_SECONDS).groupBy(S.DEVICE_ID, S.CHUNK).count()
+    hottest = hourly.agg(F.max("count")).first()[0]
+    if not hottest or hottest <= target_rows:
+        return DEFAULT_CHUNK_SECONDS
+    return max(1, DEFAULT_CHUNK_SECONDS * target_rows // hottest)
+
+
+def with_chunk(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Add the time bucket used to split one device over many tasks."""
+    chunk_seconds = resolve_chunk_seconds(readings, chunk_seconds)
     secs = epoch_seconds(S.TIMESTAMP)
     n = F.lit(int(chunk_seconds))
     return readings.withColumn(S.CHUNK, ((secs - F.pmod(secs, n)) / n).cast("bigint"))

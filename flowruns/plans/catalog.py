@@ -58,6 +58,12 @@ KEYS = [S.DEVICE_ID, S.START, S.END]
 R = [S.DEVICE_ID, S.TIMESTAMP, S.FLOW_RATE, S.PRESSURE, S.TEMPERATURE, S.MODE, S.VALVE_STATE]
 
 
+def stored(runs: DataFrame) -> DataFrame:
+    """A destination fixture as the jobs meet it: a materialized table, not a plan that
+    recomputes it for each of its readers."""
+    return jobs.materialize(runs)
+
+
 def _cut_ts():
     return FX.ts(FX.CUT)
 
@@ -164,7 +170,7 @@ def build() -> dict[str, Query]:
 
     def bridge_islands(spark, sf):
         rd = load_readings(spark, sf)
-        cut = FX.runs_cut(rd)
+        cut = stored(FX.runs_cut(rd))
         return present(jobs.bridge_islands(rd, cut, X.consolidate_extents(cut, FX.CUT)))
     q["bridge_islands"] = bridge_islands
 
@@ -192,12 +198,12 @@ def build() -> dict[str, Query]:
 
     def job_consolidate(spark, sf):
         rd = load_readings(spark, sf)
-        return present(jobs.consolidate(rd, FX.runs_cut(rd), FX.CUT))
+        return present(jobs.consolidate(rd, stored(FX.runs_cut(rd)), FX.CUT))
     q["job_consolidate"] = job_consolidate
 
     def job_repair_seam(spark, sf):
         rd = load_readings(spark, sf)
-        cut = FX.runs_cut(rd)
+        cut = stored(FX.runs_cut(rd))
         s = cut.where(F.col(S.START) >= _cut_ts()).select(F.min(S.START)).scalar()
         return present(jobs.repair_seam(rd, cut, s, FX.SEAM_SECONDS))
     q["job_repair_seam"] = job_repair_seam
@@ -220,7 +226,7 @@ def build() -> dict[str, Query]:
 
     def job_incremental(spark, sf):
         rd = load_readings(spark, sf)
-        out, _ = jobs.incremental(rd, FX.runs_before(rd), FX.empty_checkpoints(spark))
+        out, _ = jobs.incremental(rd, stored(FX.runs_before(rd)), FX.empty_checkpoints(spark))
         return present(out)
     q["job_incremental"] = job_incremental
     return q

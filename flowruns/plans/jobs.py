@@ -46,15 +46,17 @@ def materialize(df: DataFrame) -> DataFrame:
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
     """Broadcast a materialized per-device table only when its row count, checked here,
     is within ``max_rows``; otherwise leave the join strategy to Spark/AQE."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= max_rows else df
 
 
-def _bounds(extents: DataFrame) -> tuple:
-    row = extents.agg(F.min(S.START).alias("lo"), F.max(S.END).alias("hi")).first()
-    return row["lo"], row["hi"]
+def _stats(extents: DataFrame) -> tuple:
+    """Row count and global bounds of a materialized extent table, in one action."""
+    row = extents.agg(F.count(F.lit(1)).alias("n"), F.min(S.START).alias("lo"), F.max(S.END).alias("hi")).first()
+    return row["n"], row["lo"], row["hi"]
 
 
 def backfill(readings: DataFrame, frm, to, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
@@ -75,10 +77,11 @@ def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
 def repair_extents(readings: DataFrame, runs: DataFrame, extents: DataFrame,
                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Recompute the given per-device extents and replace the fragments they join."""
-    extents = small_side(materialize(extents))
-    lo, hi = _bounds(extents)
-    if lo is None:
+    extents = materialize(extents)
+    n, lo, hi = _stats(extents)
+    if not n:
         return runs
+    extents = small_side(extents, rows=n)
     bridges = small_side(materialize(bridge_islands(readings, runs, extents, chunk_seconds, tiebreak, lo, hi)))
     return replace_covered(runs, bridges)
 
