@@ -74,67 +74,92 @@ def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
     return confirm_bridges(recomputed, runs_within(runs, extents))
 
 
-def repair_extents(readings: DataFrame, runs: DataFrame, extents: DataFrame,
-                   chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Recompute the given per-device extents and replace the fragments they join."""
+def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFrame,
+                         chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                         tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
+    """Recompute the given per-device extents and replace the fragments they join.
+
+    Returns ``(new run table, changed start dates)``; the dates are those of the bridges
+    and of the fragments they replace (``None`` when nothing could change).
+    """
     extents = materialize(extents)
     n, lo, hi = _stats(extents)
     if not n:
-        return runs
+        return runs, None
     extents = small_side(extents, rows=n)
     bridges = small_side(materialize(bridge_islands(readings, runs, extents, chunk_seconds, tiebreak, lo, hi)))
-    return replace_covered(runs, bridges)
+    b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
+    cond = (runs[S.DEVICE_ID] == b["_bd"]) & (runs[S.START] >= b["_bs"]) & (runs[S.END] <= b["_be"])
+    changed = (runs.join(b, cond, "left_semi").select(S.START).unionByName(bridges.select(S.START))
+               .select(F.to_date(S.START).alias("START_DATE")).distinct())
+    return replace_covered(runs, bridges), changed
 
 
-def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
-                chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Join the runs a cut at ``at`` split, per device, and replace their fragments.
+def repair_extents(readings: DataFrame, runs: DataFrame, extents: DataFrame,
+                   chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Recompute the given per-device extents and replace the fragments they join."""
+    return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)[0]
 
-    With ``cap_days`` the re-read is limited to the capped window of ``capped_extent``
-    (bounded cost per run of the job); bridges outside it are left for a later run.
-    """
+
+def consolidate_delta(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
+                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     extents = consolidate_extents(runs, at)
     src = readings
     if cap_days is not None:
         extents = materialize(extents)
         win = capped_extent(extents, cap_days).first()
         if win is None or win["FROM_TS"] is None:
-            return runs
+            return runs, None
         src = readings.where((F.col(S.TIMESTAMP) >= _ts(win["FROM_TS"])) & (F.col(S.TIMESTAMP) <= _ts(win["TO_TS"])))
-    return repair_extents(src, runs, extents, chunk_seconds, tiebreak)
+    return repair_extents_delta(src, runs, extents, chunk_seconds, tiebreak)
 
 
-def repair_seam(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds: int = 1,
+def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
                 chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Find runs within ``seam_seconds`` of ``batch_start``, recompute each device's
-    extent of them, and replace only fragments a recomputed run really joins."""
+    """Join the runs a cut at ``at`` split, per device, and replace their fragments.
+
+    With ``cap_days`` the re-read is limited to the capped window of ``capped_extent``
+    (bounded cost per run of the job); bridges outside it are left for a later run.
+    """
+    return consolidate_delta(readings, runs, at, cap_days, chunk_seconds, tiebreak)[0]
+
+
+def repair_seam_delta(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds: int = 1,
+                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     extents = device_extents(scan_seam(runs, _ts(batch_start), seam_seconds))
-    return repair_extents(readings, runs, extents, chunk_seconds, tiebreak)
+    return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)
 
 
-def incremental(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,
-                chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Load the readings after the checkpoint, and stitch them to the stored runs.
+def repair_seam(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds: int = 1,
+                chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Find runs within ``seam_seconds`` of ``batch_start``, recompute each device's
+    extent of them, and replace only fragments a recomputed run really joins."""
+    return repair_seam_delta(readings, runs, batch_start, seam_seconds, chunk_seconds, tiebreak)[0]
 
-    * checkpoint: newest checkpoint row, else the newest stored END (A12);
-    * ``lo = checkpoint - lateness``; stored runs ending after ``lo`` are recomputed from
-      their own START, together with every reading after ``lo`` (late rows included);
-    * the last kept stored run and the first new run of each device are bridged when the
-      readings show they are one run (J2 extents per device, not a fixed-width seam).
 
-    Returns ``(new run table, new checkpoint row)``.
-    """
+def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,
+                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+    """``incremental`` returning ``(new run table, new checkpoint row, changed start dates)``."""
     spark = readings.sparkSession
     cp = checkpoint_lookup(spark, checkpoints, runs).first()[S.TIMESTAMP]
     ts, end = F.col(S.TIMESTAMP), F.col(S.END)
+
+    def dates(*dfs):
+        u = dfs[0].select(S.START)
+        for d in dfs[1:]:
+            u = u.unionByName(d.select(S.START))
+        return u.select(F.to_date(S.START).alias("START_DATE")).distinct()
+
+    def ckpt(new_runs):
+        return new_runs.agg(F.max(S.END).alias(S.TIMESTAMP)).where(F.col(S.TIMESTAMP).isNotNull())
+
     if cp is None:  # nothing loaded yet: everything is new
         new_runs = materialize(summarize_runs(readings, chunk_seconds, tiebreak))
-        return new_runs, new_runs.agg(F.max(S.END).alias(S.TIMESTAMP)).where(F.col(S.TIMESTAMP).isNotNull())
+        return new_runs, ckpt(new_runs), dates(new_runs)
 
     lo = cp - dt.timedelta(seconds=int(lateness_seconds))
-    touched = small_side(materialize(
-        runs.where(end > _ts(lo)).groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM"))))
+    touched_runs = runs.where(end > _ts(lo))
+    touched = small_side(materialize(touched_runs.groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM"))))
     first_from = touched.agg(F.min("_FROM")).first()[0]
     floor = min(lo, first_from) if first_from is not None else lo
 
@@ -147,6 +172,25 @@ def incremental(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, la
     kept = runs.where(end <= _ts(lo)).select(*S.RUN_COLUMNS)
     merged = kept.withColumn("_NEW", F.lit(False)).unionByName(new_runs.withColumn("_NEW", F.lit(True)))
     extents = adjacent_extents(merged, ~F.col("_NEW"), F.col("_NEW"))
-    out = repair_extents(readings, merged.drop("_NEW"), extents, chunk_seconds, tiebreak)
-    checkpoint = new_runs.agg(F.max(S.END).alias(S.TIMESTAMP)).where(F.col(S.TIMESTAMP).isNotNull())
+    out, bridged = repair_extents_delta(readings, merged.drop("_NEW"), extents, chunk_seconds, tiebreak)
+    changed = dates(touched_runs, new_runs)
+    if bridged is not None:
+        changed = changed.unionByName(bridged).distinct()
+    return out, ckpt(new_runs), changed
+
+
+def incremental(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,
+                chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Load the readings after the checkpoint, and stitch them to the stored runs.
+
+    * checkpoint: newest checkpoint row, else the newest stored END (A12);
+    * ``lo = checkpoint - lateness``; stored runs ending after ``lo`` are recomputed from
+      their own START, together with every reading after ``lo`` (late rows included);
+    * the last kept stored run and the first new run of each device are bridged when the
+      readings show they are one run (J2 extents per device, not a fixed-width seam).
+
+    Returns ``(new run table, new checkpoint row)``.
+    """
+    out, checkpoint, _ = incremental_delta(readings, runs, checkpoints, lateness_seconds, chunk_seconds, tiebreak)
     return out, checkpoint

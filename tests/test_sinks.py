@@ -42,3 +42,21 @@ def test_consolidate_written_through_staging(spark):
                .select(F.to_date(S.START).alias(sinks.PART)).distinct())
     sinks.replace_dates(new, f"{d}/runs", changed, staging_root=d)
     assert _keys(sinks.read_runs(spark, f"{d}/runs")) == _keys(FX.runs_whole(rd))
+
+
+def test_runners_load_stitch_and_consolidate(spark):
+    from flowruns.plans import runner
+
+    d = tempfile.mkdtemp(prefix="flowruns-test-")
+    rd = readings(spark, SF_SMALL)
+    whole = _keys(FX.runs_whole(rd))
+    # three loads as the data arrives, each stitched to what is stored
+    for until in ("2024-01-08 00:00:00", "2024-01-20 00:00:00", "2024-02-01 00:00:00"):
+        runner.run_incremental(spark, rd.where(F.col(S.TIMESTAMP) < FX.ts(until)), f"{d}/runs", f"{d}/ck")
+    assert _keys(sinks.read_runs(spark, f"{d}/runs")) == whole
+    assert sinks.read_checkpoints(spark, f"{d}/ck").count() == 3
+    # a back-filled table with one cut, consolidated in place
+    runner.run_backfill(spark, rd, f"{d}/bf", "2024-01-01 00:00:00", FX.CUT)
+    runner.run_backfill(spark, rd, f"{d}/bf", FX.CUT, "2024-02-01 00:00:00")
+    runner.run_consolidate(spark, rd, f"{d}/bf", FX.CUT)
+    assert _keys(sinks.read_runs(spark, f"{d}/bf")) == whole
