@@ -6,6 +6,7 @@ from flowruns.functions.timecols import (
     epoch_micros,
     epoch_seconds,
     next_day,
+    ntz,
     seam_bounds,
     trunc_day,
     trunc_second,
@@ -17,6 +18,7 @@ __all__ = [
     "epoch_micros",
     "epoch_seconds",
     "next_day",
+    "ntz",
     "seam_bounds",
     "trunc_day",
     "trunc_second",

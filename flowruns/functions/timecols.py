@@ -7,6 +7,8 @@ cast to ``timestamp``, which would shift by the session zone (and break across D
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,21 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz(v) -> Column:
+    """A ``timestamp_ntz`` value: a Column as is; a ``datetime`` or text as a literal.
+
+    Python datetimes go through their ISO text: ``F.lit(datetime)`` would make a
+    session-zone timestamp, and its cast to ``timestamp_ntz`` would move it by the zone.
+    """
+    if isinstance(v, Column):
+        return v
+    if isinstance(v, dt.datetime):
+        v = v.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(v, dt.date):
+        v = v.isoformat()
+    return F.lit(str(v)).cast("timestamp_ntz")
+
+
 def epoch_micros(c: Column | str) -> Column:
     """Microseconds since 1970-01-01 00:00:00 of a ``timestamp_ntz``."""
     return F.timestamp_diff("MICROSECOND", _epoch(), _c(c))

@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
-from flowruns.functions import add_seconds, day_diff, next_day, trunc_day
+from flowruns.functions import add_seconds, day_diff, next_day, ntz, trunc_day
 
 
 def _ts(v) -> Column:
-    return v if isinstance(v, Column) else F.lit(v).cast("timestamp_ntz")
+    return ntz(v)
 
 
 def device_extents(runs: DataFrame) -> DataFrame:

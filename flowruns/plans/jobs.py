@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
+from flowruns.functions import ntz
 from flowruns.operators.extents import (
     adjacent_extents,
     capped_extent,
@@ -32,7 +33,7 @@ from flowruns.sources.scans import scan_half_open, scan_seam
 
 
 def _ts(v) -> Column:
-    return v if isinstance(v, Column) else F.lit(v).cast("timestamp_ntz")
+    return ntz(v)
 
 
 def materialize(df: DataFrame) -> DataFrame:

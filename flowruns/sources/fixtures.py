@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
+from flowruns.functions import ntz
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS
 from flowruns.operators.summary import summarize_runs
 
@@ -23,7 +24,7 @@ BACKFILL_TO = "2024-01-22 00:00:00"
 
 
 def ts(v: str) -> Column:
-    return F.lit(v).cast("timestamp_ntz")
+    return ntz(v)
 
 
 def runs_in_batches(readings: DataFrame, batch: Column, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:

@@ -10,13 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
-from flowruns.functions import seam_bounds
+from flowruns.functions import ntz, seam_bounds
 
 
 def _lit_or_col(v) -> Column:
-    if isinstance(v, Column):
-        return v
-    return F.lit(v).cast("timestamp_ntz")
+    return ntz(v)
 
 
 def scan_half_open(readings: DataFrame, frm, to) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowruns import schema as S
+from flowruns.functions import ntz
 from flowruns.operators.extents import adjacent_extents
 from flowruns.operators.repair import confirm_bridges, recompute_extents, runs_within
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, clean
@@ -52,7 +53,7 @@ def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataF
     if lo is None:
         return runs, runs.sparkSession.createDataFrame([], f"{sinks.PART} date")
     ts = F.col(S.TIMESTAMP)
-    reread = (readings.where(ts >= F.lit(lo))
+    reread = (readings.where(ts >= ntz(lo))
               .join(frm, S.DEVICE_ID, "inner").where(ts >= F.col("_FROM")).drop("_FROM"))
     new_runs = materialize(summarize_runs(reread, chunk_seconds, tiebreak))
 

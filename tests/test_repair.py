@@ -119,3 +119,18 @@ def test_late_readings_are_folded_in_exactly(rd, whole):
     table, changed = apply_new_readings(rd, runs, rd.where(late))
     assert keyset(table) == whole
     assert changed.count() > 0
+
+
+@pytest.mark.parametrize("tz", ["America/Los_Angeles", "Asia/Tokyo"])
+def test_jobs_do_not_depend_on_session_zone(spark, rd, whole, tz):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        assert keyset(jobs.consolidate(rd, materialize(FX.runs_cut(rd)), FX.CUT)) == whole
+        out, _ = jobs.incremental(rd, materialize(FX.runs_before(rd)), FX.empty_checkpoints(rd.sparkSession))
+        assert keyset(out) == whole
+        table, _ = apply_new_readings(rd, materialize(FX.runs_before(rd)),
+                                      rd.where(F.col(S.TIMESTAMP) >= FX.ts(FX.CUT)))
+        assert keyset(table) == whole
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
