@@ -32,8 +32,11 @@ from pyspark.sql import functions as F
 from flowruns import schema as S
 from flowruns.functions import epoch_seconds
 
-DEFAULT_CHUNK_SECONDS = 3600
-# Target readings per (device, chunk) window task for ``chunk_seconds="auto"``.
+# ``chunk_seconds`` is a width in seconds, or "auto": chosen from the data so that no
+# (device, chunk) window holds more than AUTO_TARGET_ROWS readings.
+DEFAULT_CHUNK_SECONDS = "auto"
+HOUR = 3600
+MAX_CHUNK_SECONDS = 366 * 86400
 AUTO_TARGET_ROWS = 2_000_000
 
 
@@ -65,20 +68,23 @@ def clean(readings: DataFrame) -> DataFrame:
 
 def resolve_chunk_seconds(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
                           target_rows: int = AUTO_TARGET_ROWS) -> int:
-    """Return ``chunk_seconds``, or for ``"auto"`` the widest width (at most one hour)
-    whose hottest (device, chunk) holds about ``target_rows`` readings or fewer.
+    """Return ``chunk_seconds``, or for ``"auto"`` a width from the data.
 
-    One partially aggregated pass over (device, time): the per-hour counts never leave
-    the executors, only their maximum does. Assumes rates inside an hour are roughly even;
-    below one second the width stays at one second.
+    ``width = 3600 * target_rows / (readings in the densest device-hour)``, capped at
+    ``MAX_CHUNK_SECONDS``: a chunk of that width holds at most ``target_rows`` readings of
+    any device whose hours are no denser than the densest one, so sparse data gets wide
+    chunks (few per-chunk rows) and a dense device gets narrow ones (many tasks). One
+    partially aggregated pass over (device, time); only the maximum reaches the driver.
     """
     if chunk_seconds != "auto":
         return int(chunk_seconds)
-    hourly = with_chunk(clean(readings), DEFAULT_CHUNK_SECONDS).groupBy(S.DEVICE_ID, S.CHUNK).count()
+    secs = epoch_seconds(S.TIMESTAMP)
+    hour = ((secs - F.pmod(secs, F.lit(HOUR))) / F.lit(HOUR)).cast("bigint")
+    hourly = clean(readings).groupBy(S.DEVICE_ID, hour.alias("_H")).count()
     hottest = hourly.agg(F.max("count")).first()[0]
-    if not hottest or hottest <= target_rows:
-        return DEFAULT_CHUNK_SECONDS
-    return max(1, DEFAULT_CHUNK_SECONDS * target_rows // hottest)
+    if not hottest:
+        return HOUR
+    return int(max(1, min(MAX_CHUNK_SECONDS, HOUR * target_rows // hottest)))
 
 
 def with_chunk(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
@@ -97,7 +103,7 @@ def _chunk_window(tiebreak: Sequence[str], keys: Sequence[str] = (S.DEVICE_ID,))
     return Window.partitionBy(*keys, S.CHUNK).orderBy(*_order(tiebreak))
 
 
-def island_ids(readings: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+def island_ids(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
                tiebreak: Sequence[str] = (), batch_cols: Sequence[str] = ()) -> DataFrame:
     """The non-idle readings with ``RUN_ID`` (idle readings of the device so far).
 
@@ -124,7 +130,7 @@ def island_ids(readings: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
             .drop("_OFFSET", "_LOCAL", S.CHUNK))
 
 
-def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
                tiebreak: Sequence[str] = (), prefix_prev: str = "PREV_", prefix_next: str = "NEXT_") -> DataFrame:
     """``lag(c, 1)`` and ``lead(c, 1)`` per device in time order, for each column.
 
@@ -163,7 +169,7 @@ def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: int =
     return out
 
 
-def island_bounds(readings: DataFrame, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+def island_bounds(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """Each non-idle reading with the START / END of its run.
 

@@ -26,10 +26,10 @@ from flowruns.operators.extents import (
     device_extents,
 )
 from flowruns.operators.repair import confirm_bridges, recompute_extents, replace_covered, runs_within
-from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS
+from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, resolve_chunk_seconds
 from flowruns.operators.summary import summarize_runs
 from flowruns.session import ensure_checkpoint_dir
-from flowruns.sources.scans import scan_half_open, scan_seam
+from flowruns.sources.scans import scan_half_open, scan_per_extent, scan_seam
 
 
 def _ts(v) -> Column:
@@ -60,14 +60,14 @@ def _stats(extents: DataFrame) -> tuple:
     return row["n"], row["lo"], row["hi"]
 
 
-def backfill(readings: DataFrame, frm, to, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+def backfill(readings: DataFrame, frm, to, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
              tiebreak: Sequence[str] = ()) -> DataFrame:
     """G1: runs of the readings in ``[frm, to)``."""
     return summarize_runs(scan_half_open(readings, frm, to), chunk_seconds, tiebreak)
 
 
 def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
-                   chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
+                   chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
                    lo=None, hi=None) -> DataFrame:
     """J5 + confirmation: recompute each extent from its own readings and keep the runs
     that join stored fragments."""
@@ -76,7 +76,7 @@ def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
 
 
 def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFrame,
-                         chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                         chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
                          tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
     """Recompute the given per-device extents and replace the fragments they join.
 
@@ -88,6 +88,8 @@ def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFram
     if not n:
         return runs, None
     extents = small_side(extents, rows=n)
+    if chunk_seconds == "auto":  # one estimate for the whole repair, from the re-read scope
+        chunk_seconds = resolve_chunk_seconds(scan_per_extent(readings, extents, lo, hi))
     bridges = small_side(materialize(bridge_islands(readings, runs, extents, chunk_seconds, tiebreak, lo, hi)))
     b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
     cond = (runs[S.DEVICE_ID] == b["_bd"]) & (runs[S.START] >= b["_bs"]) & (runs[S.END] <= b["_be"])
@@ -97,13 +99,13 @@ def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFram
 
 
 def repair_extents(readings: DataFrame, runs: DataFrame, extents: DataFrame,
-                   chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+                   chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Recompute the given per-device extents and replace the fragments they join."""
     return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)[0]
 
 
 def consolidate_delta(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
-                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                      chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     extents = consolidate_extents(runs, at)
     src = readings
     if cap_days is not None:
@@ -116,7 +118,7 @@ def consolidate_delta(readings: DataFrame, runs: DataFrame, at, cap_days: float
 
 
 def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
-                chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+                chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Join the runs a cut at ``at`` split, per device, and replace their fragments.
 
     With ``cap_days`` the re-read is limited to the capped window of ``capped_extent``
@@ -126,20 +128,20 @@ def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None
 
 
 def repair_seam_delta(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds: int = 1,
-                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                      chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     extents = device_extents(scan_seam(runs, _ts(batch_start), seam_seconds))
     return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)
 
 
 def repair_seam(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds: int = 1,
-                chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+                chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Find runs within ``seam_seconds`` of ``batch_start``, recompute each device's
     extent of them, and replace only fragments a recomputed run really joins."""
     return repair_seam_delta(readings, runs, batch_start, seam_seconds, chunk_seconds, tiebreak)[0]
 
 
 def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,
-                      chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                      chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     """``incremental`` returning ``(new run table, new checkpoint row, changed start dates)``."""
     spark = readings.sparkSession
     cp = checkpoint_lookup(spark, checkpoints, runs).first()[S.TIMESTAMP]
@@ -168,6 +170,7 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
              .join(touched, S.DEVICE_ID, "left")
              .where((ts > _ts(lo)) | (F.col("_FROM").isNotNull() & (ts >= F.col("_FROM"))))
              .drop("_FROM"))
+    chunk_seconds = resolve_chunk_seconds(batch, chunk_seconds)
     new_runs = materialize(summarize_runs(batch, chunk_seconds, tiebreak))
 
     kept = runs.where(end <= _ts(lo)).select(*S.RUN_COLUMNS)
@@ -181,7 +184,7 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
 
 
 def incremental(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,
-                chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
                 tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Load the readings after the checkpoint, and stitch them to the stored runs.
 

@@ -22,7 +22,7 @@ from flowruns import schema as S
 from flowruns.functions import ntz
 from flowruns.operators.extents import adjacent_extents
 from flowruns.operators.repair import confirm_bridges, recompute_extents, runs_within
-from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, clean
+from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, clean, resolve_chunk_seconds
 from flowruns.operators.summary import summarize_runs
 from flowruns.plans.jobs import materialize, small_side
 from flowruns.sources import sinks
@@ -42,7 +42,7 @@ def affected_from(runs: DataFrame, new_readings: DataFrame) -> DataFrame:
 
 
 def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataFrame,
-                       chunk_seconds: int = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()
+                       chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()
                        ) -> tuple[DataFrame, DataFrame]:
     """The run table after ``new_readings`` (already part of ``readings``) arrived.
 
@@ -55,6 +55,7 @@ def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataF
     ts = F.col(S.TIMESTAMP)
     reread = (readings.where(ts >= ntz(lo))
               .join(frm, S.DEVICE_ID, "inner").where(ts >= F.col("_FROM")).drop("_FROM"))
+    chunk_seconds = resolve_chunk_seconds(reread, chunk_seconds)
     new_runs = materialize(summarize_runs(reread, chunk_seconds, tiebreak))
 
     dropped = runs.join(frm, S.DEVICE_ID, "inner").where(F.col(S.END) >= F.col("_FROM")).drop("_FROM")
@@ -71,7 +72,7 @@ def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataF
             recompute_extents(readings, extents, chunk_seconds, tiebreak, bounds[0], bounds[1]),
             runs_within(merged, extents))))
     else:
-        bridges = new_runs.limit(0)
+        bridges = runs.sparkSession.createDataFrame([], S.RUNS_SCHEMA)
     b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
     cond = (merged[S.DEVICE_ID] == b["_bd"]) & (merged[S.START] >= b["_bs"]) & (merged[S.END] <= b["_be"])
     covered = merged.join(b, cond, "left_semi")
@@ -84,7 +85,7 @@ def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataF
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, source: Callable[[], DataFrame], dest_path: str,
-                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> None:
+                  chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> None:
     """foreachBatch body: fold one micro-batch of readings into the stored run table."""
     if batch.isEmpty():
         return
@@ -96,7 +97,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, source: Callable[[], Da
 def start_stream(spark: SparkSession, source_path: str, source_schema, dest_path: str, checkpoint_location: str,
                  to_readings: Callable[[DataFrame], DataFrame] = lambda df: df,
                  max_files_per_trigger: int | None = None, available_now: bool = True,
-                 chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> StreamingQuery:
+                 chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> StreamingQuery:
     """Start the incremental stream over the reading files at ``source_path``.
 
     ``to_readings`` maps the raw files to the readings schema (for the test data: the

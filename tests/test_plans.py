@@ -78,3 +78,8 @@ def test_auto_chunk_splits_a_dense_device(spark):
     a = sorted(tuple(r) for r in summarize_runs(rdf, width).select(S.DEVICE_ID, S.START, S.END, S.RECORDS).collect())
     b = sorted(tuple(r) for r in summarize_runs(rdf, 86400).select(S.DEVICE_ID, S.START, S.END, S.RECORDS).collect())
     assert a == b and sum(x[3] for x in a) == sum(1 for r in rows if r[2] != 0.0)
+
+
+def test_auto_chunk_widens_for_sparse_devices(spark):
+    width = resolve_chunk_seconds(readings(spark, SF_SMALL), "auto")
+    assert width >= 86400
