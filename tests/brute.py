@@ -15,10 +15,9 @@ def _sd(xs):
     xs = [x for x in xs if x is not None]
     if not xs:
         return None
-    if len(xs) == 1:
+    if len(xs) == 1 or any(math.isnan(x) for x in xs):
         return 0.0
-    v = statistics.stdev(xs)
-    return 0.0 if math.isnan(v) else v
+    return statistics.stdev(xs)
 
 
 def runs(readings):
