@@ -201,6 +201,12 @@ def build() -> dict[str, Query]:
         return present(jobs.consolidate(rd, stored(FX.runs_cut(rd)), FX.CUT))
     q["job_consolidate"] = job_consolidate
 
+    def job_consolidate_daily(spark, sf):
+        """G4 over all daily cuts at once: a table loaded day by day becomes whole."""
+        rd = load_readings(spark, sf)
+        return present(jobs.consolidate_range(rd, stored(FX.runs_daily(rd)), FX.DAILY_FROM, FX.DAILY_TO))
+    q["job_consolidate_daily"] = job_consolidate_daily
+
     def job_repair_seam(spark, sf):
         rd = load_readings(spark, sf)
         cut = stored(FX.runs_cut(rd))

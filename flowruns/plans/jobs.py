@@ -127,6 +127,27 @@ def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None
     return consolidate_delta(readings, runs, at, cap_days, chunk_seconds, tiebreak)[0]
 
 
+def consolidate_range_delta(readings: DataFrame, runs: DataFrame, frm, to,
+                            chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+    """G4 over every cut in ``[frm, to)`` at once (see ``consolidate_range``)."""
+    st, en = F.col(S.START), F.col(S.END)
+    overlapping = runs.where((st < _ts(to)) & (en >= _ts(frm)))
+    return repair_extents_delta(readings, runs, device_extents(overlapping), chunk_seconds, tiebreak)
+
+
+def consolidate_range(readings: DataFrame, runs: DataFrame, frm, to,
+                      chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """G4 for many cuts in one pass: join every run that batch boundaries inside
+    ``[frm, to)`` split, however many boundaries each crosses.
+
+    Each device's stored runs overlapping the range give one extent; it is recomputed
+    once, and a recomputed run replaces the fragments it spans when it starts at a stored
+    START and ends at a stored END. Equal to consolidating cut by cut in time order, with
+    one re-read instead of one per cut.
+    """
+    return consolidate_range_delta(readings, runs, frm, to, chunk_seconds, tiebreak)[0]
+
+
 def repair_seam_delta(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds: int = 1,
                       chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     extents = device_extents(scan_seam(runs, _ts(batch_start), seam_seconds))

@@ -249,6 +249,7 @@ WHERE NOT EXISTS (SELECT 1 FROM ext x WHERE x.DEVICE_ID = c.DEVICE_ID AND c.STAR
         f"SELECT {present(RUNS)} FROM bf"
     q["job_consolidate"] = q["island_summary"]
     q["job_incremental"] = q["island_summary"]
+    q["job_consolidate_daily"] = q["island_summary"]
     q["incremental_equals_full"] = q["island_summary"]
     seam_s = f"(SELECT min(START_TIMESTAMP) FROM cut WHERE START_TIMESTAMP >= {CUT_TS})"
     in_ext = """in_ext AS (

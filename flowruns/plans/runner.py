@@ -49,3 +49,10 @@ def run_consolidate(spark: SparkSession, readings: DataFrame, dest_path: str, at
     """Join the runs a cut at ``at`` split."""
     runs = sinks.read_runs(spark, dest_path)
     _publish(*jobs.consolidate_delta(readings, runs, at, cap_days, chunk_seconds), dest_path)
+
+
+def run_consolidate_range(spark: SparkSession, readings: DataFrame, dest_path: str, frm, to,
+                          chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> None:
+    """G4 over every cut in ``[frm, to)`` in one pass."""
+    runs = sinks.read_runs(spark, dest_path)
+    _publish(*jobs.consolidate_range_delta(readings, runs, frm, to, chunk_seconds), dest_path)

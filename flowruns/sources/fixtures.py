@@ -21,6 +21,9 @@ CUT = "2024-01-15 00:00:00"
 SEAM_SECONDS = 6 * 3600
 BACKFILL_FROM = "2024-01-08 00:00:00"
 BACKFILL_TO = "2024-01-22 00:00:00"
+# The span the daily fixture's cuts lie in (every day boundary of the data).
+DAILY_FROM = "2024-01-01 00:00:00"
+DAILY_TO = "2024-02-01 00:00:00"
 
 
 def ts(v: str) -> Column:

@@ -84,9 +84,18 @@ def replace_dates(new_table: DataFrame, path: str, dates: DataFrame, staging_roo
             .where(F.col(PART).isin(day_list)))
     rows.write.mode("overwrite").partitionBy(PART).parquet(staging)
     publish_staging(spark, staging, path, day_list)
+    _delete(spark, staging)  # published; a failure before this line leaves it for a re-run
     return staging
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def publish_staging(spark: SparkSession, staging: str, path: str, day_list: list) -> None:
     """Second step of ``replace_dates``: overwrite the changed dates from the staging copy.
 

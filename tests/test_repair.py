@@ -134,3 +134,11 @@ def test_jobs_do_not_depend_on_session_zone(spark, rd, whole, tz):
         assert keyset(table) == whole
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_consolidate_range_equals_cut_by_cut(rd, whole):
+    daily = materialize(FX.runs_daily(rd))
+    assert keyset(jobs.consolidate_range(rd, daily, FX.DAILY_FROM, FX.DAILY_TO)) == whole
+    # a narrower range joins only the cuts inside it
+    part = keyset(jobs.consolidate_range(rd, daily, "2024-01-10 00:00:00", "2024-01-12 00:00:00"))
+    assert len(whole) < len(part) < daily.count()
