@@ -28,26 +28,37 @@ def mode_count(k: int) -> Column:
 
 
 def run_aggregates() -> list[Column]:
-    """The aggregate list of the run summary (A2-A7), in output order."""
-    return [
-        F.min(S.TIMESTAMP).alias(S.START),
-        F.max(S.TIMESTAMP).alias(S.END),
-        F.count(F.lit(1)).cast("bigint").alias(S.RECORDS),
-        F.max(S.FLOW_RATE).alias("MAX_FLOW_RATE"),
-        F.avg(S.FLOW_RATE).alias("AVG_FLOW_RATE"),
-        F.sum(S.FLOW_RATE).alias("SUM_FLOW_RATE"),
-        F.min(S.TEMPERATURE).cast("int").alias("MIN_TEMPERATURE"),
-        F.max(S.TEMPERATURE).cast("int").alias("MAX_TEMPERATURE"),
-        F.avg(S.TEMPERATURE).alias("AVG_TEMPERATURE"),
-        F.min(S.PRESSURE).alias("MIN_PRESSURE"),
-        F.max(S.PRESSURE).alias("MAX_PRESSURE"),
-        F.avg(S.PRESSURE).alias("AVG_PRESSURE"),
-        sample_sd(S.PRESSURE).alias("SD_PRESSURE"),
-        sample_sd(S.FLOW_RATE).alias("SD_FLOW_RATE"),
-        mode_count(2).alias("SYSTEM_MODE_2"),
-        mode_count(3).alias("SYSTEM_MODE_3"),
-        mode_count(5).alias("SYSTEM_MODE_5"),
+    """The aggregate list of the run summary (A2-A7), in output order.
+
+    Written as SQL expressions: the same aggregates as ``sample_sd`` / ``mode_count``,
+    built with one call into the JVM each.
+    """
+    def sd(c: str) -> str:
+        return f"CASE WHEN count({c}) = 1 THEN 0.0D ELSE nanvl(stddev_samp({c}), 0.0D) END"
+
+    def mode(k: int) -> str:
+        return f"CAST(count(CASE WHEN {S.MODE} = {k} THEN 1 END) AS BIGINT)"
+
+    exprs = [
+        (f"min({S.TIMESTAMP})", S.START),
+        (f"max({S.TIMESTAMP})", S.END),
+        ("CAST(count(1) AS BIGINT)", S.RECORDS),
+        (f"max({S.FLOW_RATE})", "MAX_FLOW_RATE"),
+        (f"avg({S.FLOW_RATE})", "AVG_FLOW_RATE"),
+        (f"sum({S.FLOW_RATE})", "SUM_FLOW_RATE"),
+        (f"CAST(min({S.TEMPERATURE}) AS INT)", "MIN_TEMPERATURE"),
+        (f"CAST(max({S.TEMPERATURE}) AS INT)", "MAX_TEMPERATURE"),
+        (f"avg({S.TEMPERATURE})", "AVG_TEMPERATURE"),
+        (f"min({S.PRESSURE})", "MIN_PRESSURE"),
+        (f"max({S.PRESSURE})", "MAX_PRESSURE"),
+        (f"avg({S.PRESSURE})", "AVG_PRESSURE"),
+        (sd(S.PRESSURE), "SD_PRESSURE"),
+        (sd(S.FLOW_RATE), "SD_FLOW_RATE"),
+        (mode(2), "SYSTEM_MODE_2"),
+        (mode(3), "SYSTEM_MODE_3"),
+        (mode(5), "SYSTEM_MODE_5"),
     ]
+    return [F.expr(f"{e} AS {name}") for e, name in exprs]
 
 
 def duration() -> Column:

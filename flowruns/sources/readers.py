@@ -34,23 +34,16 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     in; nothing is filtered here.
     """
     # The mapping of the readings fixture (event type -> mode, residues).
-    mode = (F.when(F.col("event_type") == "view", 2)
-            .when(F.col("event_type") == "click", 3)
-            .when(F.col("event_type") == "signup", 5)
-            .otherwise(1))
-    flow = (F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("double"))
-            .when(F.col("event_type") == "error", F.lit(0.0))
-            .otherwise(F.col("value")))
-    pressure = (F.when(F.col("event_id") % 3 == 0, F.lit(None).cast("double"))
-                .otherwise(F.round(F.col("value") * 2, 2)))
-    return events.select(
-        F.concat(F.lit("d"), F.col("user_id").cast("string")).alias(S.DEVICE_ID),
-        F.col("ts").alias(S.TIMESTAMP),
-        flow.alias(S.FLOW_RATE),
-        pressure.alias(S.PRESSURE),
-        F.get_json_object("props", "$.k").cast("int").alias(S.TEMPERATURE),
-        mode.cast("int").alias(S.MODE),
-        (F.col("event_id") % 2).cast("int").alias(S.VALVE_STATE),
+    return events.selectExpr(
+        f"concat('d', CAST(user_id AS STRING)) AS {S.DEVICE_ID}",
+        f"ts AS {S.TIMESTAMP}",
+        "CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS DOUBLE) WHEN event_type = 'error' THEN 0.0D "
+        f"ELSE value END AS {S.FLOW_RATE}",
+        f"CASE WHEN event_id % 3 = 0 THEN CAST(NULL AS DOUBLE) ELSE round(value * 2, 2) END AS {S.PRESSURE}",
+        f"CAST(get_json_object(props, '$.k') AS INT) AS {S.TEMPERATURE}",
+        "CAST(CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'signup' THEN 5 ELSE 1 END AS INT) "
+        f"AS {S.MODE}",
+        f"CAST(event_id % 2 AS INT) AS {S.VALVE_STATE}",
     )
 
 

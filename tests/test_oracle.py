@@ -43,3 +43,15 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+
+
+def test_output_types_are_the_declared_ones(spark):
+    from flowruns import schema as S
+    from flowruns.operators.summary import summarize_runs
+    from flowruns.sources.readers import readings
+
+    want = [(f.name, f.dataType.simpleString()) for f in S.RUNS_SCHEMA.fields]
+    got = [(f.name, f.dataType.simpleString()) for f in summarize_runs(readings(spark, SF_SMALL)).schema.fields]
+    assert got == want
+    shown = [(f.name, f.dataType.simpleString()) for f in E.entry(spark).schema.fields]
+    assert shown == want  # rounding for the comparison keeps doubles as doubles
