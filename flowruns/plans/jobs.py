@@ -183,8 +183,9 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
 
     lo = cp - dt.timedelta(seconds=int(lateness_seconds))
     touched_runs = runs.where(end > _ts(lo))
-    touched = small_side(materialize(touched_runs.groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM"))))
-    first_from = touched.agg(F.min("_FROM")).first()[0]
+    touched = materialize(touched_runs.groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM")))
+    n_touched, first_from = touched.agg(F.count(F.lit(1)), F.min("_FROM")).first()
+    touched = small_side(touched, rows=n_touched)
     floor = min(lo, first_from) if first_from is not None else lo
 
     batch = (readings.where(ts >= _ts(floor))

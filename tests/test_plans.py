@@ -75,6 +75,11 @@ def test_auto_chunk_splits_a_dense_device(spark):
     rdf = spark.createDataFrame(rows, S.READINGS_SCHEMA)
     width = resolve_chunk_seconds(rdf, "auto", target_rows=1000)
     assert 1 <= width < 3600
+    from pyspark.sql import functions as F
+
+    from flowruns.operators.runs import with_chunk
+    biggest = with_chunk(rdf, width).groupBy(S.DEVICE_ID, S.CHUNK).count().agg(F.max("count")).first()[0]
+    assert biggest <= 1000  # no window task holds more than the target, though one device has 99.75 %
     a = sorted(tuple(r) for r in summarize_runs(rdf, width).select(S.DEVICE_ID, S.START, S.END, S.RECORDS).collect())
     b = sorted(tuple(r) for r in summarize_runs(rdf, 86400).select(S.DEVICE_ID, S.START, S.END, S.RECORDS).collect())
     assert a == b and sum(x[3] for x in a) == sum(1 for r in rows if r[2] != 0.0)
