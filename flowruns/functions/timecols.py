@@ -35,20 +35,20 @@ def ntz(v) -> Column:
     return F.lit(str(v)).cast("timestamp_ntz")
 
 
-_US_SQL = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)"
+US_SQL = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)"
 
 
 def epoch_micros(c: Column | str) -> Column:
     """Microseconds since 1970-01-01 00:00:00 of a ``timestamp_ntz``."""
     if isinstance(c, str):
-        return F.expr(_US_SQL.format(c=c))
+        return F.expr(US_SQL.format(c=c))
     return F.timestamp_diff("MICROSECOND", _epoch(), c)
 
 
 def epoch_seconds(c: Column | str) -> Column:
     """Whole seconds since the epoch, floored (F1: 0.9 s and 1.1 s are 0 and 1)."""
     if isinstance(c, str):  # one SQL expression: one call into the JVM
-        us = _US_SQL.format(c=c)
+        us = US_SQL.format(c=c)
         return F.expr(f"CAST(({us} - pmod({us}, 1000000)) / 1000000 AS BIGINT)")
     us = epoch_micros(c)
     return ((us - F.pmod(us, F.lit(1_000_000))) / F.lit(1_000_000)).cast("bigint")

@@ -35,7 +35,7 @@ def extent_exact(joined: DataFrame) -> DataFrame:
 
 
 def recompute_extents(readings: DataFrame, extents: DataFrame,
-                      chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
+                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
                       lo=None, hi=None) -> DataFrame:
     """Runs of each device recomputed from its readings inside its own extent."""
     return summarize_runs(scan_per_extent(readings, extents, lo, hi), chunk_seconds, tiebreak)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
-from flowruns.functions import epoch_seconds
+from flowruns.functions.timecols import US_SQL
 
 # ``chunk_seconds`` is a width in seconds, or "auto": chosen from the data so that no
 # (device, chunk) window holds more than AUTO_TARGET_ROWS readings.
@@ -42,7 +42,7 @@ AUTO_TARGET_ROWS = 2_000_000
 # decides how work is split (results do not depend on it), so a width chosen on an
 # earlier version of the same source stays correct; it saves the extra pass for repeated
 # queries over one source and for every micro-batch of a stream.
-_WIDTHS: dict[tuple[int, int], int] = {}
+_WIDTHS: dict[tuple[int, int], float] = {}
 _WIDTHS_MAX = 256
 
 
@@ -72,38 +72,59 @@ def clean(readings: DataFrame) -> DataFrame:
     return readings.where(F.col(S.DEVICE_ID).isNotNull() & F.col(S.TIMESTAMP).isNotNull())
 
 
-def resolve_chunk_seconds(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
-                          target_rows: int = AUTO_TARGET_ROWS) -> int:
-    """Return ``chunk_seconds``, or for ``"auto"`` a width from the data.
+def _bucket(width_us: int) -> Column:
+    """The time bucket of ``TIMESTAMP`` of ``width_us`` microseconds (integer division)."""
+    return F.expr(f"{US_SQL.format(c=S.TIMESTAMP)} div {int(width_us)}")
 
-    ``width = 3600 * target_rows / (readings in the densest device-hour)``, capped at
-    ``MAX_CHUNK_SECONDS``: a chunk of that width holds at most ``target_rows`` readings of
-    any device whose hours are no denser than the densest one, so sparse data gets wide
-    chunks (few per-chunk rows) and a dense device gets narrow ones (many tasks). One
-    partially aggregated pass over (device, time); only the maximum reaches the driver.
+
+def _hottest(readings: DataFrame, width_us: int) -> int | None:
+    """Readings in the fullest (device, bucket): partial aggregates, one number back."""
+    return (clean(readings).groupBy(S.DEVICE_ID, _bucket(width_us).alias("_B")).count()
+            .agg(F.max("count")).first()[0])
+
+
+def resolve_chunk_seconds(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
+                          target_rows: int = AUTO_TARGET_ROWS) -> float:
+    """Return ``chunk_seconds``, or for ``"auto"`` a width from the data such that no
+    (device, chunk) holds more than ``target_rows`` readings (unless they share one
+    microsecond).
+
+    Start from the fullest device-hour ``h``. If ``h <= target_rows`` the width is
+    ``3600 * target_rows / h`` (capped at ``MAX_CHUNK_SECONDS``): every chunk then sums
+    hours that each hold at most ``h``, so the bound holds by construction, and sparse
+    data gets wide chunks. Otherwise the width shrinks by ``target_rows / fullest chunk``
+    and is checked again, until the fullest chunk fits (bursts inside an hour are caught
+    by the check). Each step is one partially aggregated pass over (device, time).
     """
     if chunk_seconds != "auto":
-        return int(chunk_seconds)
+        return float(chunk_seconds)
     key = (readings.semanticHash(), int(target_rows))
     if key in _WIDTHS:
         return _WIDTHS[key]
-    secs = epoch_seconds(S.TIMESTAMP)
-    hour = ((secs - F.pmod(secs, F.lit(HOUR))) / F.lit(HOUR)).cast("bigint")
-    hourly = clean(readings).groupBy(S.DEVICE_ID, hour.alias("_H")).count()
-    hottest = hourly.agg(F.max("count")).first()[0]
-    width = HOUR if not hottest else int(max(1, min(MAX_CHUNK_SECONDS, HOUR * target_rows // hottest)))
+    hour_us = HOUR * 1_000_000
+    hottest = _hottest(readings, hour_us)
+    if not hottest:
+        width_us = hour_us
+    elif hottest <= target_rows:
+        width_us = min(MAX_CHUNK_SECONDS * 1_000_000, hour_us * target_rows // hottest)
+    else:
+        width_us = max(1, hour_us * target_rows // hottest)
+        for _ in range(8):
+            fullest = _hottest(readings, width_us)
+            if not fullest or fullest <= target_rows or width_us == 1:
+                break
+            width_us = max(1, width_us * target_rows // fullest)
+    width = width_us / 1_000_000
     if len(_WIDTHS) >= _WIDTHS_MAX:
         _WIDTHS.clear()
     _WIDTHS[key] = width
     return width
 
 
-def with_chunk(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def with_chunk(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Add the time bucket used to split one device over many tasks."""
-    chunk_seconds = resolve_chunk_seconds(readings, chunk_seconds)
-    secs = epoch_seconds(S.TIMESTAMP)
-    n = F.lit(int(chunk_seconds))
-    return readings.withColumn(S.CHUNK, ((secs - F.pmod(secs, n)) / n).cast("bigint"))
+    width_us = max(1, round(resolve_chunk_seconds(readings, chunk_seconds) * 1_000_000))
+    return readings.withColumn(S.CHUNK, _bucket(width_us))
 
 
 def _order(tiebreak: Sequence[str]) -> list[Column]:
@@ -114,7 +135,7 @@ def _chunk_window(tiebreak: Sequence[str], keys: Sequence[str] = (S.DEVICE_ID,))
     return Window.partitionBy(*keys, S.CHUNK).orderBy(*_order(tiebreak))
 
 
-def island_ids(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
+def island_ids(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
                tiebreak: Sequence[str] = (), batch_cols: Sequence[str] = ()) -> DataFrame:
     """The non-idle readings with ``RUN_ID`` (idle readings of the device so far).
 
@@ -141,7 +162,7 @@ def island_ids(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SEC
             .drop("_OFFSET", "_LOCAL", S.CHUNK))
 
 
-def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
+def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
                tiebreak: Sequence[str] = (), prefix_prev: str = "PREV_", prefix_next: str = "NEXT_") -> DataFrame:
     """``lag(c, 1)`` and ``lead(c, 1)`` per device in time order, for each column.
 
@@ -180,7 +201,7 @@ def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: int |
     return out
 
 
-def island_bounds(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
+def island_bounds(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """Each non-idle reading with the START / END of its run.
 

@@ -76,7 +76,7 @@ def summarize_ids(ids: DataFrame, batch_cols: Sequence[str] = ()) -> DataFrame:
     return agg.select(*[c for c in S.RUN_COLUMNS if c != S.DURATION], duration())
 
 
-def summarize_runs(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
+def summarize_runs(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
                    tiebreak: Sequence[str] = (), batch_cols: Sequence[str] = ()) -> DataFrame:
     """Readings -> one row per run (the transform of every job)."""
     return summarize_ids(island_ids(readings, chunk_seconds, tiebreak, batch_cols), batch_cols)

@@ -60,14 +60,14 @@ def _stats(extents: DataFrame) -> tuple:
     return row["n"], row["lo"], row["hi"]
 
 
-def backfill(readings: DataFrame, frm, to, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
+def backfill(readings: DataFrame, frm, to, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
              tiebreak: Sequence[str] = ()) -> DataFrame:
     """G1: runs of the readings in ``[frm, to)``."""
     return summarize_runs(scan_half_open(readings, frm, to), chunk_seconds, tiebreak)
 
 
 def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
-                   chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
+                   chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
                    lo=None, hi=None) -> DataFrame:
     """J5 + confirmation: recompute each extent from its own readings and keep the runs
     that join stored fragments."""
@@ -76,7 +76,7 @@ def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
 
 
 def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFrame,
-                         chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
+                         chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
                          tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
     """Recompute the given per-device extents and replace the fragments they join.
 
@@ -99,13 +99,13 @@ def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFram
 
 
 def repair_extents(readings: DataFrame, runs: DataFrame, extents: DataFrame,
-                   chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+                   chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Recompute the given per-device extents and replace the fragments they join."""
     return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)[0]
 
 
 def consolidate_delta(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
-                      chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     extents = consolidate_extents(runs, at)
     src = readings
     if cap_days is not None:
@@ -118,7 +118,7 @@ def consolidate_delta(readings: DataFrame, runs: DataFrame, at, cap_days: float
 
 
 def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
-                chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+                chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Join the runs a cut at ``at`` split, per device, and replace their fragments.
 
     With ``cap_days`` the re-read is limited to the capped window of ``capped_extent``
@@ -128,7 +128,7 @@ def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None
 
 
 def consolidate_range_delta(readings: DataFrame, runs: DataFrame, frm, to,
-                            chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                            chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     """G4 over every cut in ``[frm, to)`` at once (see ``consolidate_range``)."""
     st, en = F.col(S.START), F.col(S.END)
     overlapping = runs.where((st < _ts(to)) & (en >= _ts(frm)))
@@ -136,7 +136,7 @@ def consolidate_range_delta(readings: DataFrame, runs: DataFrame, frm, to,
 
 
 def consolidate_range(readings: DataFrame, runs: DataFrame, frm, to,
-                      chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """G4 for many cuts in one pass: join every run that batch boundaries inside
     ``[frm, to)`` split, however many boundaries each crosses.
 
@@ -149,20 +149,20 @@ def consolidate_range(readings: DataFrame, runs: DataFrame, frm, to,
 
 
 def repair_seam_delta(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds: int = 1,
-                      chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     extents = device_extents(scan_seam(runs, _ts(batch_start), seam_seconds))
     return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)
 
 
 def repair_seam(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds: int = 1,
-                chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
+                chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Find runs within ``seam_seconds`` of ``batch_start``, recompute each device's
     extent of them, and replace only fragments a recomputed run really joins."""
     return repair_seam_delta(readings, runs, batch_start, seam_seconds, chunk_seconds, tiebreak)[0]
 
 
 def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,
-                      chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     """``incremental`` returning ``(new run table, new checkpoint row, changed start dates)``."""
     spark = readings.sparkSession
     cp = checkpoint_lookup(spark, checkpoints, runs).first()[S.TIMESTAMP]
@@ -206,7 +206,7 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
 
 
 def incremental(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,
-                chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS,
+                chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
                 tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Load the readings after the checkpoint, and stitch them to the stored runs.
 

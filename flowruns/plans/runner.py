@@ -20,13 +20,13 @@ def _publish(table: DataFrame, changed: DataFrame | None, dest_path: str) -> Non
 
 
 def run_backfill(spark: SparkSession, readings: DataFrame, dest_path: str, frm, to,
-                 chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> None:
+                 chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """G1: summarise ``[frm, to)`` and append the runs to the table."""
     sinks.write_runs(jobs.backfill(readings, frm, to, chunk_seconds), dest_path, mode="append")
 
 
 def run_incremental(spark: SparkSession, readings: DataFrame, dest_path: str, checkpoint_path: str,
-                    lateness_seconds: int = 0, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> None:
+                    lateness_seconds: int = 0, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """Load after the checkpoint, stitch, rewrite changed dates, append the checkpoint."""
     runs = sinks.read_runs(spark, dest_path)
     table, ckpt, changed = jobs.incremental_delta(
@@ -38,21 +38,21 @@ def run_incremental(spark: SparkSession, readings: DataFrame, dest_path: str, ch
 
 
 def run_repair_seam(spark: SparkSession, readings: DataFrame, dest_path: str, batch_start, seam_seconds: int = 1,
-                    chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> None:
+                    chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """Repair the runs around ``batch_start``."""
     runs = sinks.read_runs(spark, dest_path)
     _publish(*jobs.repair_seam_delta(readings, runs, batch_start, seam_seconds, chunk_seconds), dest_path)
 
 
 def run_consolidate(spark: SparkSession, readings: DataFrame, dest_path: str, at, cap_days: float | None = None,
-                    chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> None:
+                    chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """Join the runs a cut at ``at`` split."""
     runs = sinks.read_runs(spark, dest_path)
     _publish(*jobs.consolidate_delta(readings, runs, at, cap_days, chunk_seconds), dest_path)
 
 
 def run_consolidate_range(spark: SparkSession, readings: DataFrame, dest_path: str, frm, to,
-                          chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> None:
+                          chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """G4 over every cut in ``[frm, to)`` in one pass."""
     runs = sinks.read_runs(spark, dest_path)
     _publish(*jobs.consolidate_range_delta(readings, runs, frm, to, chunk_seconds), dest_path)

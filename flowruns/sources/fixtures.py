@@ -30,41 +30,41 @@ def ts(v: str) -> Column:
     return ntz(v)
 
 
-def runs_in_batches(readings: DataFrame, batch: Column, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def runs_in_batches(readings: DataFrame, batch: Column, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Runs found in each batch alone (``batch`` is any expression of the reading)."""
     return summarize_runs(readings.withColumn("_BATCH", batch), chunk_seconds, batch_cols=["_BATCH"])
 
 
-def runs_whole(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def runs_whole(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     return summarize_runs(readings, chunk_seconds)
 
 
-def runs_cut(readings: DataFrame, at: str = CUT, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def runs_cut(readings: DataFrame, at: str = CUT, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Runs before ``at`` and runs from ``at`` on, each summarised alone."""
     return runs_in_batches(readings, F.col(S.TIMESTAMP) >= ts(at), chunk_seconds)
 
 
-def runs_daily(readings: DataFrame, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def runs_daily(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Runs of each calendar day summarised alone."""
     return runs_in_batches(readings, F.to_date(S.TIMESTAMP), chunk_seconds)
 
 
-def runs_before(readings: DataFrame, at: str = CUT, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def runs_before(readings: DataFrame, at: str = CUT, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     return summarize_runs(readings.where(F.col(S.TIMESTAMP) < ts(at)), chunk_seconds)
 
 
-def runs_from(readings: DataFrame, at: str = CUT, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def runs_from(readings: DataFrame, at: str = CUT, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     return summarize_runs(readings.where(F.col(S.TIMESTAMP) >= ts(at)), chunk_seconds)
 
 
-def crossing_runs(readings: DataFrame, at: str = CUT, chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def crossing_runs(readings: DataFrame, at: str = CUT, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Whole-history runs that the cut splits (START before ``at``, END from ``at`` on)."""
     whole = runs_whole(readings, chunk_seconds)
     return whole.where((F.col(S.START) < ts(at)) & (F.col(S.END) >= ts(at)))
 
 
 def runs_cut_with_bridges(readings: DataFrame, at: str = CUT,
-                          chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                          chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """The cut fixture with the whole runs that cross the cut appended (before dedupe)."""
     return runs_cut(readings, at, chunk_seconds).unionByName(crossing_runs(readings, at, chunk_seconds))
 

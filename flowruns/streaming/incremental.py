@@ -42,7 +42,7 @@ def affected_from(runs: DataFrame, new_readings: DataFrame) -> DataFrame:
 
 
 def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataFrame,
-                       chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()
+                       chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()
                        ) -> tuple[DataFrame, DataFrame]:
     """The run table after ``new_readings`` (already part of ``readings``) arrived.
 
@@ -85,7 +85,7 @@ def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataF
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, source: Callable[[], DataFrame], dest_path: str,
-                  chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> None:
+                  chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """foreachBatch body: fold one micro-batch of readings into the stored run table."""
     if batch.isEmpty():
         return
@@ -97,7 +97,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, source: Callable[[], Da
 def start_stream(spark: SparkSession, source_path: str, source_schema, dest_path: str, checkpoint_location: str,
                  to_readings: Callable[[DataFrame], DataFrame] = lambda df: df,
                  max_files_per_trigger: int | None = None, available_now: bool = True,
-                 chunk_seconds: int | str = DEFAULT_CHUNK_SECONDS) -> StreamingQuery:
+                 chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> StreamingQuery:
     """Start the incremental stream over the reading files at ``source_path``.
 
     ``to_readings`` maps the raw files to the readings schema (for the test data: the
