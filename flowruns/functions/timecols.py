@@ -81,14 +81,15 @@ def day_diff(start: Column | str, end: Column | str) -> Column:
     return (epoch_seconds(end) - epoch_seconds(start)).cast("double") / F.lit(86400.0)
 
 
-def seam_bounds(batch_start: Column | str, seam_seconds: int = 1) -> dict[str, Column]:
+def seam_bounds(batch_start, seam_seconds: int = 1) -> dict[str, Column]:
     """the two half-open windows around a batch start ``s``.
 
     Runs that start in ``[s, trunc(s) + seam)`` or end in ``[trunc(s) - seam, s)`` may be
     fragments of a run cut at ``s``. With ``seam_seconds=1`` these are exactly the
-    one-second windows of the hourly job.
+    one-second windows of the hourly job. ``batch_start``: a Column, a column name, or a
+    ``datetime`` value.
     """
-    s = _c(batch_start)
+    s = ntz(batch_start) if isinstance(batch_start, (dt.datetime, dt.date)) else _c(batch_start)
     ts = trunc_second(s)
     return {
         "S": s,

@@ -20,7 +20,7 @@ from flowruns.operators.summary import summarize_runs, summarize_view
 from flowruns.plans import jobs
 from flowruns.sources import fixtures as FX
 from flowruns.sources.readers import readings as load_readings
-from flowruns.sources.scans import scan_after, scan_closed_devices, scan_half_open, scan_seam
+from flowruns.sources.scans import extent_bounds, scan_after, scan_closed_devices, scan_half_open, scan_seam
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,12 +70,13 @@ def _cut_ts():
 
 
 def _seam_start(daily: DataFrame):
-    """The first START on or after the cut: the batch start of the seam queries."""
-    return daily.where(F.col(S.START) >= _cut_ts()).select(F.min(S.START)).scalar()
+    """The first START on or after the cut: the batch start of the seam queries (settled
+    with a one-row action, so the seam filters are literals)."""
+    return daily.where(F.col(S.START) >= _cut_ts()).agg(F.min(S.START)).first()[0]
 
 
 def _seam_extents(spark, sf):
-    daily = FX.runs_daily(load_readings(spark, sf))
+    daily = stored(FX.runs_daily(load_readings(spark, sf)))
     return X.device_extents(scan_seam(daily, _seam_start(daily), FX.SEAM_SECONDS))
 
 
@@ -84,8 +85,8 @@ def _cut_extents(rd):
 
 
 def _recomputed_closed(rd):
-    ext = _cut_extents(rd)
-    return P.extent_join(summarize_runs(scan_closed_devices(rd, ext)), ext)
+    ext = stored(_cut_extents(rd))
+    return P.extent_join(summarize_runs(scan_closed_devices(rd, ext, *extent_bounds(ext))), ext)
 
 
 def build() -> dict[str, Query]:
@@ -128,13 +129,17 @@ def build() -> dict[str, Query]:
         rd = load_readings(spark, sf)
         before = FX.runs_before(rd)
         ckpt = before.agg(F.max(S.END).alias(S.TIMESTAMP))  # the checkpoint row batch 1 wrote
-        return scan_after(rd, X.checkpoint_value(ckpt, FX.runs_cut(rd)))
+        value = X.checkpoint_lookup(spark, ckpt, FX.runs_cut(rd)).first()[0]
+        return scan_after(rd, value)
     q["scan_after_checkpoint"] = scan_after_checkpoint
-    q["scan_closed_devices"] = lambda spark, sf: scan_closed_devices(
-        load_readings(spark, sf), _cut_extents(load_readings(spark, sf)))
+    def _scan_closed_devices(spark, sf):
+        rd = load_readings(spark, sf)
+        ext = stored(_cut_extents(rd))
+        return scan_closed_devices(rd, ext, *extent_bounds(ext))
+    q["scan_closed_devices"] = _scan_closed_devices
 
     def _scan_seam(spark, sf):
-        daily = FX.runs_daily(load_readings(spark, sf))
+        daily = stored(FX.runs_daily(load_readings(spark, sf)))
         return present(scan_seam(daily, _seam_start(daily), FX.SEAM_SECONDS))
     q["scan_seam"] = _scan_seam
 
@@ -211,7 +216,7 @@ def build() -> dict[str, Query]:
     def job_repair_seam(spark, sf):
         rd = load_readings(spark, sf)
         cut = stored(FX.runs_cut(rd))
-        s = cut.where(F.col(S.START) >= _cut_ts()).select(F.min(S.START)).scalar()
+        s = cut.where(F.col(S.START) >= _cut_ts()).agg(F.min(S.START)).first()[0]
         return present(jobs.repair_seam(rd, cut, s, FX.SEAM_SECONDS))
     q["job_repair_seam"] = job_repair_seam
 

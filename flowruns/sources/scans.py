@@ -23,20 +23,28 @@ def scan_half_open(readings: DataFrame, frm, to) -> DataFrame:
     return readings.where((ts >= _lit_or_col(frm)) & (ts < _lit_or_col(to)))
 
 
-def scan_after(readings: DataFrame, checkpoint: Column) -> DataFrame:
-    """S3: ``TIMESTAMP > checkpoint`` (strict). ``checkpoint`` may be a scalar subquery."""
-    return readings.where(F.col(S.TIMESTAMP) > checkpoint)
+def scan_after(readings: DataFrame, checkpoint) -> DataFrame:
+    """S3: ``TIMESTAMP > checkpoint`` (strict). ``checkpoint`` is a value (pushed to the
+    scan) or a Column such as a scalar subquery."""
+    return readings.where(F.col(S.TIMESTAMP) > _lit_or_col(checkpoint))
 
 
-def scan_closed_devices(readings: DataFrame, extents: DataFrame) -> DataFrame:
+def extent_bounds(extents: DataFrame) -> tuple:
+    """``(min START, max END)`` of a (small, per-device) extent table: one one-row action,
+    so the bounds can reach a scan as literal, pushed-down filters."""
+    row = extents.agg(F.min(S.START), F.max(S.END)).first()
+    return row[0], row[1]
+
+
+def scan_closed_devices(readings: DataFrame, extents: DataFrame, lo=None, hi=None) -> DataFrame:
     """Readings of the extents' devices inside ``[min START, max END]`` of all extents.
 
-    The global bounds become scalar subqueries (evaluated once, before the scan); the
-    device list is a left-semi join instead of a pasted IN list, so it can hold any
-    number of devices and any device id.
+    Pass the global bounds (``extent_bounds``) to have them pushed to the scan; left out,
+    they are scalar subqueries. The device list is a left-semi join instead of a pasted
+    IN list, so it can hold any number of devices and any device id.
     """
-    lo = extents.select(F.min(S.START)).scalar()
-    hi = extents.select(F.max(S.END)).scalar()
+    lo = extents.select(F.min(S.START)).scalar() if lo is None else _lit_or_col(lo)
+    hi = extents.select(F.max(S.END)).scalar() if hi is None else _lit_or_col(hi)
     ts = F.col(S.TIMESTAMP)
     devices = extents.select(S.DEVICE_ID).distinct()
     return readings.where((ts >= lo) & (ts <= hi)).join(devices, S.DEVICE_ID, "left_semi")
@@ -61,12 +69,12 @@ def scan_per_extent(readings: DataFrame, extents: DataFrame, lo=None, hi=None) -
     return r.join(x, cond, "inner").drop("_xd", "_xs", "_xe")
 
 
-def scan_seam(runs: DataFrame, batch_start: Column, seam_seconds: int = 1) -> DataFrame:
+def scan_seam(runs: DataFrame, batch_start, seam_seconds: int = 1) -> DataFrame:
     """Runs that start just after or end just before ``batch_start``.
 
     ``START in [s, trunc(s)+seam)`` or ``END in [trunc(s)-seam, s)``; both arms reach the
     scan as one pushed OR filter when the bounds are literals.
     """
-    b = seam_bounds(batch_start, seam_seconds)
+    b = seam_bounds(_lit_or_col(batch_start), seam_seconds)
     st, en = F.col(S.START), F.col(S.END)
     return runs.where(((st >= b["S"]) & (st < b["S1"])) | ((en >= b["E"]) & (en < b["E1"])))

@@ -88,3 +88,12 @@ def test_auto_chunk_splits_a_dense_device(spark):
 def test_auto_chunk_widens_for_sparse_devices(spark):
     width = resolve_chunk_seconds(readings(spark, SF_SMALL), "auto")
     assert width >= 86400
+
+
+@pytest.mark.parametrize("name,needle", [("scan_after_checkpoint", "GreaterThan(ts"),
+                                         ("scan_closed_devices", "GreaterThanOrEqual(ts"),
+                                         ("scan_half_open", "LessThan(ts")])
+def test_scan_bounds_are_pushed_to_parquet(spark, name, needle):
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", p)
+    assert any(needle in x for x in pushed), pushed
