@@ -77,11 +77,14 @@ def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
 
 def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFrame,
                          chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
-                         tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
+                         tiebreak: Sequence[str] = (),
+                         one_bridge_per_extent: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """Recompute the given per-device extents and replace the fragments they join.
 
     Returns ``(new run table, changed start dates)``; the dates are those of the bridges
     and of the fragments they replace (``None`` when nothing could change).
+    ``one_bridge_per_extent``: the extents span exactly two stored runs (J2), so at most
+    one bridge per extent; the extent count then bounds the bridges' size.
     """
     extents = materialize(extents)
     n, lo, hi = _stats(extents)
@@ -90,7 +93,8 @@ def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFram
     extents = small_side(extents, rows=n)
     if chunk_seconds == "auto":  # one estimate for the whole repair, from the re-read scope
         chunk_seconds = resolve_chunk_seconds(scan_per_extent(readings, extents, lo, hi))
-    bridges = small_side(materialize(bridge_islands(readings, runs, extents, chunk_seconds, tiebreak, lo, hi)))
+    bridges = materialize(bridge_islands(readings, runs, extents, chunk_seconds, tiebreak, lo, hi))
+    bridges = small_side(bridges, rows=n if one_bridge_per_extent else None)
     b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
     cond = (runs[S.DEVICE_ID] == b["_bd"]) & (runs[S.START] >= b["_bs"]) & (runs[S.END] <= b["_be"])
     changed = (runs.join(b, cond, "left_semi").select(S.START).unionByName(bridges.select(S.START))
@@ -114,7 +118,7 @@ def consolidate_delta(readings: DataFrame, runs: DataFrame, at, cap_days: float
         if win is None or win["FROM_TS"] is None:
             return runs, None
         src = readings.where((F.col(S.TIMESTAMP) >= _ts(win["FROM_TS"])) & (F.col(S.TIMESTAMP) <= _ts(win["TO_TS"])))
-    return repair_extents_delta(src, runs, extents, chunk_seconds, tiebreak)
+    return repair_extents_delta(src, runs, extents, chunk_seconds, tiebreak, one_bridge_per_extent=True)
 
 
 def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
@@ -198,7 +202,8 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
     kept = runs.where(end <= _ts(lo)).select(*S.RUN_COLUMNS)
     merged = kept.withColumn("_NEW", F.lit(False)).unionByName(new_runs.withColumn("_NEW", F.lit(True)))
     extents = adjacent_extents(merged, ~F.col("_NEW"), F.col("_NEW"))
-    out, bridged = repair_extents_delta(readings, merged.drop("_NEW"), extents, chunk_seconds, tiebreak)
+    out, bridged = repair_extents_delta(readings, merged.drop("_NEW"), extents, chunk_seconds, tiebreak,
+                                        one_bridge_per_extent=True)
     changed = dates(touched_runs, new_runs)
     if bridged is not None:
         changed = changed.unionByName(bridged).distinct()
