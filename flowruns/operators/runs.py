@@ -28,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowruns import schema as S
 from flowruns.functions.timecols import US_SQL
@@ -68,7 +69,13 @@ def prune_readings(readings: DataFrame) -> DataFrame:
 
 
 def clean(readings: DataFrame) -> DataFrame:
-    """Readings without a device or a time cannot be placed in a run; they are left out."""
+    """Readings without a device or a time cannot be placed in a run; they are left out.
+
+    A session-zone ``timestamp`` column (as JDBC sources deliver) becomes wall-clock
+    ``timestamp_ntz`` in the session zone, the type all time arithmetic here expects.
+    """
+    if isinstance(readings.schema[S.TIMESTAMP].dataType, T.TimestampType):
+        readings = readings.withColumn(S.TIMESTAMP, F.col(S.TIMESTAMP).cast("timestamp_ntz"))
     return readings.where(F.col(S.DEVICE_ID).isNotNull() & F.col(S.TIMESTAMP).isNotNull())
 
 

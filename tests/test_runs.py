@@ -141,3 +141,13 @@ def test_epoch_seconds_do_not_depend_on_session_zone(spark, tz):
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert row["b"] - row["a"] == 7200
     assert row["a"] == 1710034200
+
+
+def test_session_zone_timestamps_are_accepted(spark):
+    from pyspark.sql import functions as F
+    rows = [_r("a", 0, 1.0), _r("a", 1, 0.0), _r("a", 2, 2.0), _r("a", 3, 3.0)]
+    ntz = _df(spark, rows)
+    ltz = ntz.withColumn(S.TIMESTAMP, F.col(S.TIMESTAMP).cast("timestamp"))
+    a = sorted(tuple(r) for r in summarize_runs(ntz).select(S.START, S.END, S.RECORDS).collect())
+    b = sorted(tuple(r) for r in summarize_runs(ltz).select(S.START, S.END, S.RECORDS).collect())
+    assert a == b and len(a) == 2
