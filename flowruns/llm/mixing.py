@@ -93,19 +93,23 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, cap: float
     in_source = Window.partitionBy("source")
     cells = cells.withColumn("rest", F.col("target") - F.sum(F.col("whole") * F.col("words")).over(in_source))
     cells = cells.withColumn("odds", F.when(F.col("p") > 0, F.col("p") / (1 - F.col("p"))))
-    cells = cells.withColumn("most", F.max("odds").over(in_source))
-    cells = staged(cells.select("source", "pref", "source_words", "target", "whole", "rest", "odds", "most"), "classes")
+    # the source's classes that have ranks: share of the words, odds
+    part = F.struct((F.col("words") / F.col("source_words")).alias("share"), "odds")
+    cells = cells.withColumn("ranked", F.sort_array(F.collect_list(F.when(F.col("odds").isNotNull(), part)).over(in_source)))
+    cells = staged(cells.select("source", "pref", "source_words", "target", "whole", "rest", "odds", "ranked"), "classes")
     few = cells.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES
 
     def ranked(df: DataFrame) -> DataFrame:
         c = cells.withColumnsRenamed({"source": "_cs", "pref": "_cp"})
         out = df.join(F.broadcast(c) if few else c, F.col("source").eqNullSafe(F.col("_cs")) & F.col("pref").eqNullSafe(F.col("_cp")))
         out = out.withColumn("q", (F.col("u") / (1 - F.col("u"))) / F.col("odds"))
-        v = F.col("q") * F.col("most")
-        bin_ = F.least(F.floor(v / (1 + v) * BINS), F.lit(BINS - 1)).cast("int")
+        # the share of a source's ranks below q, which spreads them evenly over the bins
+        below = lambda a, c: a + c["share"] * (F.col("q") * c["odds"] / (1 + F.col("q") * c["odds"]))
+        full_share = F.aggregate("ranked", F.lit(0.0), lambda a, c: a + c["share"])
+        bin_ = F.least(F.floor(F.aggregate("ranked", F.lit(0.0), below) / full_share * BINS), F.lit(BINS - 1)).cast("int")
         # rows without a fractional copy need no order: they are spread over bins of their own
         spread = BINS + F.floor(F.col("u") * BINS).cast("int")
-        return out.withColumn("bin", F.coalesce(bin_, spread)).drop("_cs", "_cp")
+        return out.withColumn("bin", F.when(F.col("q").isNull(), spread).otherwise(bin_)).drop("_cs", "_cp")
 
     bins = ranked(thin).where("q is not null").groupBy("source", "bin").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
