@@ -14,8 +14,9 @@ leaves whole files. ``read_tokens`` reads the files back: one task per part slic
 of the lists and digests them.
 
 The tokenizer is a file of the ``tokenizers`` library. Words (runs between ASCII blanks) are
-encoded once and remembered up to a bound, which gives the same ids as whole texts as long as the
-tokenizer drops white space and never joins across it; ``split_words=False`` encodes whole texts.
+encoded once and remembered up to a bound. That gives the same ids as whole texts if the tokenizer drops
+white space, lower-cases, works on bytes, and makes each run of letters a piece of its own, as that of
+``op1`` does (tested); for others, ``split_words=False`` encodes whole texts.
 
 Defined cases: a null text is empty (the end id alone); documents are in ascending doc_id order,
 nulls first, equal ids by text; repeated rows are documents of their own; an empty table gives
@@ -29,6 +30,8 @@ import os
 import re
 import uuid
 import zlib
+from array import array
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +43,13 @@ from flowruns.llm.common import shared_folder, table
 #: Words remembered by a Python worker (about 200 bytes each); beyond, it starts anew.
 REMEMBERED = 1_000_000
 _seen: dict = {}
+#: Byte-level tokenizers write bytes that are no visible Latin-1 characters as signs from 256 on.
+_visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _visible)}
 
 
 def encoder(path: str, kind: str, split_words: bool):
-    """Function from a UTF-8 text to the bytes of its ids, as unsigned integers of ``kind``."""
+    """Function from UTF-8 texts to the bytes of their ids, as unsigned integers of ``kind``."""
     state = _seen.setdefault((path, kind, split_words), {})
     if "t" not in state:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -51,18 +57,46 @@ def encoder(path: str, kind: str, split_words: bool):
 
         state["t"], state["known"] = Tokenizer.from_file(path), {}
     t, known = state["t"], state["known"]
+    code = {"uint16": "H", "uint32": "I"}[kind]
+
+    def plain(words: list[bytes]) -> list[bytes]:
+        return [array(code, e.ids).tobytes() for e in t.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+
+    one = t.model.tokenize
+
+    def bare(words: list[bytes]) -> dict[bytes, bytes]:
+        """Words of lower-case letters alone are one piece each, which goes straight to the tokenizer's model."""
+        out, rest = {}, []
+        for w in words:
+            x = w.decode()
+            if x.isalpha() and x == x.lower() and is_normalized("NFC", x):
+                out[w] = array(code, [p.id for p in one(w.decode("latin-1").translate(BYTE_SIGNS))]).tobytes()
+            else:
+                rest.append(w)
+        return out | dict(zip(rest, plain(rest)))
+
     if not split_words:
-        return lambda text: np.array(t.encode(text.decode(), add_special_tokens=False).ids, dtype=kind).tobytes()
-
-    def encode(text: bytes) -> bytes:
-        words = text.split()
-        if new := [w for w in dict.fromkeys(words) if w not in known]:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, t.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype=kind).tobytes()
-        return b"".join(map(known.__getitem__, words))
+        return plain
+
+    def learn(new: set[bytes]) -> None:
+        """Encode new words. ``Word.,`` is ``word`` and ``.,``: the tokenizer lower-cases and cuts marks off letters."""
+        parts = {}
+        for w in new:
+            core = w.lower().rstrip(b".,") if b"<" not in w else w
+            parts[w] = (core, w[len(core):]) if core and core[-1:].isalnum() else (w, b"")
+        need = list({x for p in parts.values() for x in p}.difference(known))
+        known.update(bare(need))
+        for w, (core, tail) in parts.items():
+            known[w] = known[core] + known[tail]
+
+    def encode(texts: list[bytes]) -> list[bytes]:
+        words = [x.split() for x in texts]
+        new = set().union(*words).difference(known)
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = set().union(*words)
+        learn(new)
+        return [b"".join(map(known.__getitem__, w)) for w in words]
 
     return encode
 
@@ -181,8 +215,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
         for b in batches:
             if b.num_rows and out is None:
                 out, encode, id_type = PartWriter(folder, part, kind, length, rows), encoder(tokenizer, kind, split_words), b.column(0).type
-            for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                out.add(d, encode(t.as_buffer().to_pybytes()) + end)
+            for at in range(0, b.num_rows, 500):
+                some = b.slice(at, 500)
+                for d, ids in zip(some.column(0).to_pylist(), encode([t.as_buffer().to_pybytes() for t in some.column(1)])):
+                    out.add(d, ids + end)
         if out:
             out.close(id_type)
             yield pa.record_batch([pa.array([part]), pa.array([out.n])], ["part", "n"])
