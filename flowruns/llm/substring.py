@@ -104,9 +104,10 @@ def covered(docs: DataFrame, sentences: int, words: int, text: str, key: str) ->
     """(doc_id, text_hash, spans): of each document with a repeated span that is not the first, those spans."""
     every = spans(docs, sentences, words, text, key)
     twice = staged(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated")
-    again = staged(every.join(twice, "h", "left_semi"), "occurrences").distinct()  # equal rows are one document
+    again = staged(every.join(twice, "h", "left_semi"), "occurrences")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash", "start")
-    first = again.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # written out, so that the join below reads plain shuffles, which adaptive execution can split at a hot span
+    first = staged(again.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
     later = again.join(first, ["h", "g"]).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # at most one per sentence
 
