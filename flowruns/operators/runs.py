@@ -39,12 +39,6 @@ DEFAULT_CHUNK_SECONDS = "auto"
 HOUR = 3600
 MAX_CHUNK_SECONDS = 366 * 86400
 AUTO_TARGET_ROWS = 2_000_000
-# Widths already chosen, by the semantic hash of the readings plan. The width only
-# decides how work is split (results do not depend on it), so a width chosen on an
-# earlier version of the same source stays correct; it saves the extra pass for repeated
-# queries over one source and for every micro-batch of a stream.
-_WIDTHS: dict[tuple[int, int], float] = {}
-_WIDTHS_MAX = 256
 
 
 def idle_flag() -> Column:
@@ -105,9 +99,6 @@ def resolve_chunk_seconds(readings: DataFrame, chunk_seconds: float | str = DEFA
     """
     if chunk_seconds != "auto":
         return float(chunk_seconds)
-    key = (readings.semanticHash(), int(target_rows))
-    if key in _WIDTHS:
-        return _WIDTHS[key]
     hour_us = HOUR * 1_000_000
     hottest = _hottest(readings, hour_us)
     if not hottest:
@@ -116,16 +107,12 @@ def resolve_chunk_seconds(readings: DataFrame, chunk_seconds: float | str = DEFA
         width_us = min(MAX_CHUNK_SECONDS * 1_000_000, hour_us * target_rows // hottest)
     else:
         width_us = max(1, hour_us * target_rows // hottest)
-        for _ in range(8):
+        while True:  # every step narrows the width, down to single microseconds
             fullest = _hottest(readings, width_us)
             if not fullest or fullest <= target_rows or width_us == 1:
                 break
             width_us = max(1, width_us * target_rows // fullest)
-    width = width_us / 1_000_000
-    if len(_WIDTHS) >= _WIDTHS_MAX:
-        _WIDTHS.clear()
-    _WIDTHS[key] = width
-    return width
+    return width_us / 1_000_000
 
 
 def with_chunk(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:

@@ -30,9 +30,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # data's own resolution, so equal values round equally on both engines.
 TIE_NUDGE = 1e-3
 
-# The streamed copy of events: files, and files per micro-batch.
-STREAM_FILES = 8
-STREAM_FILES_PER_BATCH = 2
+# The streamed copy of events: deliveries, and files of each.
+STREAM_STEPS = 3
+STREAM_FILES = 2
+CAP_DAYS = 2.0
 
 
 def _round_sql(c: str, digits: int) -> str:
@@ -220,8 +221,33 @@ def build() -> dict[str, Query]:
         return present(jobs.repair_seam(rd, cut, s, FX.SEAM_SECONDS))
     q["job_repair_seam"] = job_repair_seam
 
-    def incremental_equals_full(spark, sf):
-        """Stream the events, split into time-ranged files, through foreachBatch."""
+    def job_consolidate_capped(spark, sf):
+        """G4 with a cap: only devices whose extent spans at most two days are repaired."""
+        rd = load_readings(spark, sf)
+        return present(jobs.consolidate(rd, stored(FX.runs_cut(rd)), FX.CUT, cap_days=CAP_DAYS))
+    q["job_consolidate_capped"] = job_consolidate_capped
+
+    def job_publish_recovery(spark, sf):
+        """A consolidation stops after part of its dates are published; the next job completes it."""
+        from flowruns.plans import runner
+        from flowruns.session import ensure_checkpoint_dir
+        from flowruns.sources import sinks
+
+        rd = load_readings(spark, sf)
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flowruns-recovery-{uuid.uuid4().hex}"
+        sinks.write_runs(FX.runs_cut(rd), f"{root}/runs")
+        table, changed = jobs.consolidate_delta(rd, sinks.read_runs(spark, f"{root}/runs"), FX.CUT)
+        staging, days, _ = sinks.stage_dates(table, f"{root}/runs", changed)
+        if days:
+            spark.read.parquet(staging).where(F.col(sinks.PART) < F.lit(days[-1])).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy(sinks.PART).parquet(f"{root}/runs")
+        runner.run_consolidate(spark, rd, f"{root}/runs", FX.CUT)
+        return present(sinks.read_runs(spark, f"{root}/runs"))
+    q["job_publish_recovery"] = job_publish_recovery
+
+    def streamed(spark, sf, step) -> DataFrame:
+        """The run table after streaming the events in ``STREAM_STEPS`` deliveries (``step``: a column from 0);
+        after each, the table must equal a full recompute of what was delivered."""
         from flowruns.session import ensure_checkpoint_dir
         from flowruns.sources import sinks
         from flowruns.sources.readers import readings_from_events, table
@@ -229,13 +255,30 @@ def build() -> dict[str, Query]:
 
         root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flowruns-stream-{uuid.uuid4().hex}"
         events = table(spark, sf, "events")
-        events.repartitionByRange(STREAM_FILES, "ts").write.parquet(f"{root}/source")
-        query = start_stream(spark, f"{root}/source", events.schema, f"{root}/runs", f"{root}/_stream",
-                             to_readings=readings_from_events, max_files_per_trigger=STREAM_FILES_PER_BATCH)
-        query.awaitTermination()
+        for k in range(STREAM_STEPS):
+            events.where(step(events) == k).repartition(STREAM_FILES).write.mode("append").parquet(f"{root}/source")
+            start_stream(spark, f"{root}/source", events.schema, f"{root}/runs", f"{root}/_stream",
+                         to_readings=readings_from_events).awaitTermination()
+            full = summarize_runs(readings_from_events(spark.read.schema(events.schema).parquet(f"{root}/source")))
+            now, want = (df.select(*KEYS, S.RECORDS) for df in (sinks.read_runs(spark, f"{root}/runs"), full))
+            if not (now.exceptAll(want).isEmpty() and want.exceptAll(now).isEmpty()):
+                raise AssertionError(f"the streamed table differs from a full recompute after step {k}")
         return present(sinks.read_runs(spark, f"{root}/runs"))
+
+    def incremental_equals_full(spark, sf):
+        """The events arrive in time order, one micro-batch a delivery."""
+        def by_time(events):
+            lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+            cuts = [lo + (hi - lo) * k / STREAM_STEPS for k in range(1, STREAM_STEPS)] if lo else []
+            return sum((F.when(F.col("ts") >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+        return streamed(spark, sf, by_time)
     q["incremental_equals_full"] = incremental_equals_full
 
+    def incremental_late_rows(spark, sf):
+        """Every delivery holds readings from the whole time range, so most are late."""
+        return streamed(spark, sf, lambda events: F.pmod(F.col("event_id"), F.lit(STREAM_STEPS)))
+    q["incremental_late_rows"] = incremental_late_rows
+
     def job_incremental(spark, sf):
         rd = load_readings(spark, sf)
         out, _ = jobs.incremental(rd, stored(FX.runs_before(rd)), FX.empty_checkpoints(spark))

@@ -17,10 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
-from flowruns.functions import ntz
+from flowruns.functions import day_diff, ntz
 from flowruns.operators.extents import (
     adjacent_extents,
-    capped_extent,
     checkpoint_lookup,
     consolidate_extents,
     device_extents,
@@ -42,16 +41,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Largest per-device table a job broadcasts: rows are ~60 bytes, so this stays far below
-# executor memory. Larger ones go through a shuffle join (AQE splits skewed partitions).
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest per-device table, in bytes, that a job broadcasts. Larger ones go through a shuffle
+# join (AQE splits skewed partitions).
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
-    """Broadcast a materialized per-device table only when its row count, checked here,
-    is within ``max_rows``; otherwise leave the join strategy to Spark/AQE."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast a materialized per-device table only when its size, measured here, is within
+    ``max_bytes`` (8 bytes a column and the device ids); otherwise leave the join strategy to Spark/AQE."""
+    n, ids = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(S.DEVICE_ID)), F.lit(0))).first()
+    return F.broadcast(df) if n * 8 * (len(df.columns) + 1) + ids <= max_bytes else df
 
 
 def _stats(extents: DataFrame) -> tuple:
@@ -77,24 +76,21 @@ def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
 
 def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFrame,
                          chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
-                         tiebreak: Sequence[str] = (),
-                         one_bridge_per_extent: bool = False) -> tuple[DataFrame, DataFrame | None]:
+                         tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
     """Recompute the given per-device extents and replace the fragments they join.
 
     Returns ``(new run table, changed start dates)``; the dates are those of the bridges
     and of the fragments they replace (``None`` when nothing could change).
-    ``one_bridge_per_extent``: the extents span exactly two stored runs (J2), so at most
-    one bridge per extent; the extent count then bounds the bridges' size.
     """
     extents = materialize(extents)
     n, lo, hi = _stats(extents)
     if not n:
         return runs, None
-    extents = small_side(extents, rows=n)
+    extents = small_side(extents)
     if chunk_seconds == "auto":  # one estimate for the whole repair, from the re-read scope
         chunk_seconds = resolve_chunk_seconds(scan_per_extent(readings, extents, lo, hi))
     bridges = materialize(bridge_islands(readings, runs, extents, chunk_seconds, tiebreak, lo, hi))
-    bridges = small_side(bridges, rows=n if one_bridge_per_extent else None)
+    bridges = small_side(bridges)
     b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
     cond = (runs[S.DEVICE_ID] == b["_bd"]) & (runs[S.START] >= b["_bs"]) & (runs[S.END] <= b["_be"])
     changed = (runs.join(b, cond, "left_semi").select(S.START).unionByName(bridges.select(S.START))
@@ -111,22 +107,26 @@ def repair_extents(readings: DataFrame, runs: DataFrame, extents: DataFrame,
 def consolidate_delta(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
                       chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     extents = consolidate_extents(runs, at)
-    src = readings
     if cap_days is not None:
-        extents = materialize(extents)
-        win = capped_extent(extents, cap_days).first()
-        if win is None or win["FROM_TS"] is None:
-            return runs, None
-        src = readings.where((F.col(S.TIMESTAMP) >= _ts(win["FROM_TS"])) & (F.col(S.TIMESTAMP) <= _ts(win["TO_TS"])))
-    return repair_extents_delta(src, runs, extents, chunk_seconds, tiebreak, one_bridge_per_extent=True)
+        extents = extents.where(_within_cap(cap_days))
+    return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)
+
+
+def _within_cap(cap_days: float) -> Column:
+    return day_diff(S.START, S.END) <= F.lit(float(cap_days))
+
+
+def deferred_extents(runs: DataFrame, at, cap_days: float) -> DataFrame:
+    """The devices, with their extents, that ``consolidate`` leaves alone under ``cap_days``."""
+    return consolidate_extents(runs, at).where(~_within_cap(cap_days))
 
 
 def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
                 chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Join the runs a cut at ``at`` split, per device, and replace their fragments.
 
-    With ``cap_days`` the re-read is limited to the capped window of ``capped_extent``
-    (bounded cost per run of the job); bridges outside it are left for a later run.
+    With ``cap_days`` only devices whose own extent spans at most that many days are repaired, each
+    fully; the others are what ``deferred_extents`` returns, for a job with a greater cap.
     """
     return consolidate_delta(readings, runs, at, cap_days, chunk_seconds, tiebreak)[0]
 
@@ -188,8 +188,8 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
     lo = cp - dt.timedelta(seconds=int(lateness_seconds))
     touched_runs = runs.where(end > _ts(lo))
     touched = materialize(touched_runs.groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM")))
-    n_touched, first_from = touched.agg(F.count(F.lit(1)), F.min("_FROM")).first()
-    touched = small_side(touched, rows=n_touched)
+    first_from = touched.agg(F.min("_FROM")).first()[0]
+    touched = small_side(touched)
     floor = min(lo, first_from) if first_from is not None else lo
 
     batch = (readings.where(ts >= _ts(floor))
@@ -202,8 +202,7 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
     kept = runs.where(end <= _ts(lo)).select(*S.RUN_COLUMNS)
     merged = kept.withColumn("_NEW", F.lit(False)).unionByName(new_runs.withColumn("_NEW", F.lit(True)))
     extents = adjacent_extents(merged, ~F.col("_NEW"), F.col("_NEW"))
-    out, bridged = repair_extents_delta(readings, merged.drop("_NEW"), extents, chunk_seconds, tiebreak,
-                                        one_bridge_per_extent=True)
+    out, bridged = repair_extents_delta(readings, merged.drop("_NEW"), extents, chunk_seconds, tiebreak)
     changed = dates(touched_runs, new_runs)
     if bridged is not None:
         changed = changed.unionByName(bridged).distinct()

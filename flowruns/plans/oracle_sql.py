@@ -8,7 +8,7 @@ Floating columns are rounded the same way on both sides (see ``catalog.present``
 from __future__ import annotations
 
 from flowruns import schema as S
-from flowruns.plans.catalog import TIE_NUDGE
+from flowruns.plans.catalog import CAP_DAYS, TIE_NUDGE
 from flowruns.sources.fixtures import BACKFILL_FROM, BACKFILL_TO, CUT, SEAM_SECONDS
 
 CUT_TS = f"TIMESTAMP '{CUT}'"
@@ -251,6 +251,14 @@ WHERE NOT EXISTS (SELECT 1 FROM ext x WHERE x.DEVICE_ID = c.DEVICE_ID AND c.STAR
     q["job_incremental"] = q["island_summary"]
     q["job_consolidate_daily"] = q["island_summary"]
     q["incremental_equals_full"] = q["island_summary"]
+    q["incremental_late_rows"] = q["island_summary"]
+    q["job_publish_recovery"] = q["island_summary"]
+    near = f"ext WHERE CAST({epoch_s('END_TIMESTAMP')} - {epoch_s('START_TIMESTAMP')} AS DOUBLE) / 86400.0 <= {CAP_DAYS}"
+    q["job_consolidate_capped"] = _w(READINGS, WHOLE, CUT_RUNS, CROSSING, EXT, f"""joined AS (
+  SELECT * FROM crossing WHERE DEVICE_ID IN (SELECT DEVICE_ID FROM {near}))""") + f"""SELECT {present(RUNS)} FROM (
+  SELECT c.* FROM cut c WHERE NOT EXISTS (SELECT 1 FROM joined j WHERE j.DEVICE_ID = c.DEVICE_ID
+      AND c.START_TIMESTAMP >= j.START_TIMESTAMP AND c.END_TIMESTAMP <= j.END_TIMESTAMP)
+  UNION ALL SELECT * FROM joined)"""
     seam_s = f"(SELECT min(START_TIMESTAMP) FROM cut WHERE START_TIMESTAMP >= {CUT_TS})"
     in_ext = """in_ext AS (
   SELECT r.* FROM readings r JOIN dev_ext x ON r.DEVICE_ID = x.DEVICE_ID

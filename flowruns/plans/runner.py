@@ -8,27 +8,42 @@ the checkpoint table is a one-column parquet table of ``TIMESTAMP`` rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from flowruns import schema as S
+from flowruns.functions import ntz
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS
 from flowruns.plans import jobs
 from flowruns.sources import sinks
 
 
+def _stored(spark: SparkSession, dest_path: str) -> DataFrame:
+    """The stored run table, after completing what an interrupted job left unpublished."""
+    sinks.complete_pending(spark, dest_path)
+    return sinks.read_runs(spark, dest_path)
+
+
 def _publish(table: DataFrame, changed: DataFrame | None, dest_path: str) -> None:
     if changed is not None:
-        sinks.replace_dates(jobs.materialize(table), dest_path, jobs.materialize(changed))
+        # only the changed dates of the new table are computed and staged
+        sinks.replace_dates(table, dest_path, jobs.materialize(changed))
 
 
 def run_backfill(spark: SparkSession, readings: DataFrame, dest_path: str, frm, to,
                  chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
-    """G1: summarise ``[frm, to)`` and append the runs to the table."""
-    sinks.write_runs(jobs.backfill(readings, frm, to, chunk_seconds), dest_path, mode="append")
+    """G1: summarise ``[frm, to)`` and put the runs in place of those that start in that range, in one
+    publish, so a repeated job does not double the table."""
+    stored = _stored(spark, dest_path)
+    new = jobs.materialize(jobs.backfill(readings, frm, to, chunk_seconds))
+    inside = (F.col(S.START) >= ntz(frm)) & (F.col(S.START) < ntz(to))
+    changed = new.select(S.START).unionByName(stored.where(inside).select(S.START))
+    _publish(stored.where(~inside).unionByName(new), changed.select(F.to_date(S.START).alias(sinks.PART)).distinct(), dest_path)
 
 
 def run_incremental(spark: SparkSession, readings: DataFrame, dest_path: str, checkpoint_path: str,
                     lateness_seconds: int = 0, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """Load after the checkpoint, stitch, rewrite changed dates, append the checkpoint."""
-    runs = sinks.read_runs(spark, dest_path)
+    runs = _stored(spark, dest_path)
     table, ckpt, changed = jobs.incremental_delta(
         readings, runs, sinks.read_checkpoints(spark, checkpoint_path), lateness_seconds, chunk_seconds)
     ckpt = jobs.materialize(ckpt)
@@ -40,19 +55,19 @@ def run_incremental(spark: SparkSession, readings: DataFrame, dest_path: str, ch
 def run_repair_seam(spark: SparkSession, readings: DataFrame, dest_path: str, batch_start, seam_seconds: int = 1,
                     chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """Repair the runs around ``batch_start``."""
-    runs = sinks.read_runs(spark, dest_path)
+    runs = _stored(spark, dest_path)
     _publish(*jobs.repair_seam_delta(readings, runs, batch_start, seam_seconds, chunk_seconds), dest_path)
 
 
 def run_consolidate(spark: SparkSession, readings: DataFrame, dest_path: str, at, cap_days: float | None = None,
                     chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """Join the runs a cut at ``at`` split."""
-    runs = sinks.read_runs(spark, dest_path)
+    runs = _stored(spark, dest_path)
     _publish(*jobs.consolidate_delta(readings, runs, at, cap_days, chunk_seconds), dest_path)
 
 
 def run_consolidate_range(spark: SparkSession, readings: DataFrame, dest_path: str, frm, to,
                           chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """G4 over every cut in ``[frm, to)`` in one pass."""
-    runs = sinks.read_runs(spark, dest_path)
+    runs = _stored(spark, dest_path)
     _publish(*jobs.consolidate_range_delta(readings, runs, frm, to, chunk_seconds), dest_path)

@@ -36,11 +36,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (a local test) is a private folder made and set.
+    Only when a local session has none (a test) is a private folder made and set; on a cluster
+    a folder of one machine would lose data, so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="flowruns-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

@@ -4,12 +4,16 @@ The run table is stored partitioned by the date of ``START_TIMESTAMP``. A repair
 rewrites only the dates it changes: the new rows of those dates go to a staging folder
 first (the job still reads the table while it computes them), and then replace the same
 dates of the table with a dynamic-partition overwrite that reads only the staging copy.
-A failure after staging is repaired by running the second step again.
+Before the second step a publish record (staging folder, dates) is written beside the table;
+``complete_pending`` publishes what an interrupted job left, and every runner calls it first.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +24,8 @@ from flowruns import schema as S
 from flowruns.session import ensure_checkpoint_dir
 
 PART = "START_DATE"
+#: Folder of publish records beside the table's partitions (readers skip names that start with "_").
+PENDING = "_pending"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -30,7 +36,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def append_by_name(df: DataFrame, path: str, fmt: str = "parquet", columns: list[str] | None = None,
                    options: dict[str, str] | None = None) -> None:
-    """Append rows, matching columns by name to the target's column order."""
+    """Append rows, matching columns by name to the target's column order.
+
+    Raises when a column of the target is missing in ``df`` or the other way round."""
     spark = df.sparkSession
     cols = columns
     if cols is None and _exists(spark, path):
@@ -38,6 +46,8 @@ def append_by_name(df: DataFrame, path: str, fmt: str = "parquet", columns: list
             cols = spark.read.format(fmt).options(**(options or {})).load(path).columns
         except AnalysisException:
             cols = None
+    if cols and set(cols) != set(df.columns):
+        raise ValueError(f"columns differ: missing {sorted(set(cols) - set(df.columns))}, surplus {sorted(set(df.columns) - set(cols))}")
     out = df.select(*(cols or df.columns))
     out.write.mode("append").format(fmt).options(**(options or {})).save(path)
 
@@ -78,8 +88,20 @@ def write_runs(runs: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def replace_dates(new_table: DataFrame, path: str, dates: DataFrame, staging_root: str | None = None) -> str:
-    """Replace the partitions ``dates`` (one column ``START_DATE``) of the run table at
-    ``path`` by the rows of ``new_table`` in those dates. Returns the staging path.
+    """``stage_dates``, then publish and clean up. Returns the staging path."""
+    spark = new_table.sparkSession
+    staging, day_list, record = stage_dates(new_table, path, dates, staging_root)
+    if day_list:
+        publish_staging(spark, staging, path, day_list)
+        _delete(spark, record)
+        _delete(spark, staging)
+    return staging
+
+
+def stage_dates(new_table: DataFrame, path: str, dates: DataFrame, staging_root: str | None = None) -> tuple[str, list, str | None]:
+    """First step to replace the partitions ``dates`` (one column ``START_DATE``) of the run table at
+    ``path`` by the rows of ``new_table`` in those dates: stage the rows, then write the publish
+    record. Returns the staging path, the dates and the record's path.
 
     The changed dates (a short list: one value per day touched) are settled first, since
     they may be derived from the table that is about to be rewritten.
@@ -89,13 +111,44 @@ def replace_dates(new_table: DataFrame, path: str, dates: DataFrame, staging_roo
     staging = f"{root.rstrip('/')}/flowruns-staging-{uuid.uuid4().hex}"
     day_list = sorted({r[0] for r in dates.select(PART).distinct().collect() if r[0] is not None})
     if not day_list:
-        return staging
+        return staging, [], None
     rows = (new_table.select(*S.RUN_COLUMNS).withColumn(PART, F.to_date(S.START))
             .where(F.col(PART).isin(day_list)))
     _layout(rows).write.mode("overwrite").partitionBy(PART).parquet(staging)
-    publish_staging(spark, staging, path, day_list)
-    _delete(spark, staging)  # published; a failure before this line leaves it for a re-run
-    return staging
+    return staging, day_list, _write_record(spark, path, staging, day_list)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _write_record(spark: SparkSession, path: str, staging: str, days: list) -> str:
+    """Write the publish record (under a temporary name, then renamed, so that it is whole)."""
+    name = f"{path.rstrip('/')}/{PENDING}/{time.time_ns():020d}-{uuid.uuid4().hex}"
+    fs, tmp = _fs(spark, name + ".tmp")
+    out = fs.create(tmp)
+    out.write(bytearray(json.dumps({"staging": staging, "days": [d.isoformat() for d in days]}).encode()))
+    out.close()
+    fs.rename(tmp, _fs(spark, name + ".json")[1])
+    return name + ".json"
+
+
+def complete_pending(spark: SparkSession, path: str) -> int:
+    """Publish what interrupted jobs staged for the table, oldest first; returns how many there were.
+
+    Publishing again what was published in part is safe: it replaces whole dates."""
+    fs, folder = _fs(spark, f"{path.rstrip('/')}/{PENDING}")
+    if not fs.exists(folder):
+        return 0
+    names = sorted(f.getPath().toString() for f in fs.listStatus(folder) if f.getPath().getName().endswith(".json"))
+    for name in names:
+        text = "".join(r[0] for r in spark.read.text(name).collect())  # one short line
+        record = json.loads(text)
+        publish_staging(spark, record["staging"], path, [date.fromisoformat(d) for d in record["days"]])
+        _delete(spark, name)
+        _delete(spark, record["staging"])
+    return len(names)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -113,12 +166,7 @@ def publish_staging(spark: SparkSession, staging: str, path: str, day_list: list
     """
     staged = spark.read.parquet(staging) if _exists(spark, staging) else None
     if staged is not None:
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            staged.write.mode("overwrite").partitionBy(PART).parquet(path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
     staged_dates = set() if staged is None else {r[0] for r in staged.select(PART).distinct().collect()}
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

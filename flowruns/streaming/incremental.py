@@ -89,6 +89,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, source: Callable[[], Da
     """foreachBatch body: fold one micro-batch of readings into the stored run table."""
     if batch.isEmpty():
         return
+    sinks.complete_pending(spark, dest_path)
     runs = sinks.read_runs(spark, dest_path)
     table, changed = apply_new_readings(source(), runs, batch, chunk_seconds)
     sinks.replace_dates(table, dest_path, materialize(changed))

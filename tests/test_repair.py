@@ -59,10 +59,12 @@ def test_daily_batches_repaired_cut_by_cut(rd, whole):
     assert keyset(runs) == whole
 
 
-def test_capped_consolidation_only_repairs_inside_the_window(rd, whole):
-    out = keyset(jobs.consolidate(rd, FX.runs_cut(rd), FX.CUT, cap_days=2.0))
-    cut = keyset(FX.runs_cut(rd))
-    assert len(whole) <= len(out) <= len(cut)
+def test_capped_consolidation_repairs_the_devices_within_the_cap_and_names_the_others(rd, whole):
+    cut = FX.runs_cut(rd)
+    late = {r[S.DEVICE_ID] for r in jobs.deferred_extents(cut, FX.CUT, 2.0).collect()}
+    out = set(keyset(jobs.consolidate(rd, cut, FX.CUT, cap_days=2.0)))
+    want = {k for k in whole if k[0] not in late} | {k for k in keyset(cut) if k[0] in late}
+    assert out == want and late and set(keyset(cut)) != out
 
 
 def test_wide_seam_repair_equals_whole(rd, whole):

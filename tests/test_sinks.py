@@ -60,3 +60,23 @@ def test_runners_load_stitch_and_consolidate(spark):
     runner.run_backfill(spark, rd, f"{d}/bf", FX.CUT, "2024-02-01 00:00:00")
     runner.run_consolidate(spark, rd, f"{d}/bf", FX.CUT)
     assert _keys(sinks.read_runs(spark, f"{d}/bf")) == whole
+
+
+def test_append_by_name_raises_when_columns_differ(spark):
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="flowruns-test-")
+    sinks.append_by_name(spark.range(2).selectExpr("id a", "id b"), f"{d}/t")
+    for other in ("id a, id b, id c", "id a"):
+        with pytest.raises(ValueError):
+            sinks.append_by_name(spark.range(2).selectExpr(*other.split(", ")), f"{d}/t")
+
+
+def test_backfill_can_be_repeated(spark):
+    from flowruns.plans import runner
+
+    d = tempfile.mkdtemp(prefix="flowruns-test-")
+    rd = readings(spark, SF_SMALL)
+    for _ in range(2):
+        runner.run_backfill(spark, rd, f"{d}/bf", "2024-01-01 00:00:00", "2024-02-01 00:00:00")
+    assert _keys(sinks.read_runs(spark, f"{d}/bf")) == _keys(FX.runs_whole(rd))
