@@ -2,9 +2,9 @@
 
 One pass over the documents finds, in each, the places of all n-word runs that the test items
 have, and keeps the passages around them (word numbers, not text). The runs' frequencies are summed
-over all documents. Of each item the rarer half of its runs are its seeds (at least ``least_seeds``;
-there is no frequency above which a run is dropped, so an item whose copies are everywhere still has
-seeds). Passages are joined to the items of the seeds they hold, and each such pair is aligned
+over all documents. An item's seeds are its rare runs: all but those several times as frequent as
+its median run (at least ``least_seeds``; the measure is the item's own, so an item whose copies are
+everywhere still has seeds, and so has an edited copy beside many exact ones). Passages are joined to the items of the seeds they hold, and each such pair is aligned
 locally, word by word (match +2, mismatch -1, gap -1). A pair counts if its score reaches ``share``
 of the item's greatest score, so edited and paraphrased copies are found.
 
@@ -67,15 +67,19 @@ class Items:
         of = lambda x: np.maximum.reduceat(x, self.first) if len(x) else x
         self.before, self.after = of(self.place + margin), of(size - self.place + margin)
 
-    def seeds(self, frequency: np.ndarray, least: int) -> np.ndarray:
-        """Which occurrences are seeds: the rarer half of each item's, at least ``least``."""
+    def seeds(self, frequency: np.ndarray, least: int, common: int = 4) -> np.ndarray:
+        """Which occurrences are seeds: those of runs at most ``common`` times as frequent as the median of the
+        item's runs that occur at all, and its ``least`` rarest of these."""
         run = np.repeat(np.arange(len(self.runs)), self.count)
-        order = np.lexsort((self.place, frequency[run], self.item))
-        start = np.searchsorted(self.item[order], np.arange(len(self.ids)))
-        size = np.bincount(self.item, minlength=len(self.ids))
-        rank = np.arange(len(order)) - start[self.item[order]]
-        out = np.zeros(len(order), dtype=bool)
-        out[order] = rank < np.maximum((size + 1) // 2, least)[self.item[order]]
+        often, out = frequency[run], np.zeros(len(run), dtype=bool)
+        order = np.lexsort((self.place, often, self.item))
+        order = order[often[order] > 0]
+        start = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
+        for a, z in zip(start[:-1], start[1:]):
+            if z > a:
+                rank = order[a:z]
+                out[rank] = often[rank] <= common * often[rank[(z - a) // 2]]
+                out[rank[:least]] = True
         return out
 
 

@@ -1,0 +1,31 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, size long"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from flowruns.session import local_session
+
+    yield local_session("*", shuffle_partitions=4, app="flowruns-llm-tests")
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in every column, empty, blank and very long texts, ties, repeated rows, columns with clashing names."""
+    good = " ".join(f"word{i % 97} and the{i % 13}." for i in range(300))
+    rows = [(1, good, "en", "a", 5, "x", 9), (2, good, "en", "a", 5, "x", 9), (2, good, "en", "a", 5, "x", 9),
+            (3, None, None, None, None, None, None), (None, "", "en", None, 0, "", 0), (None, " \t\n ", None, "b", 3, "", 0),
+            (4, "tiny", "de", "b", 4, "y", 1), (5, "Lang " * 60_000, "en", "a", 1, "z", 2), (2, good + " more.", "en", "c", 5, "x", 9),
+            (6, "ÄÖ #é|" * 80, "de", "ß", 5, "q", 9)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
