@@ -31,13 +31,14 @@ from flowruns.llm.common import staged, table, text_key
 
 PIECE = re.compile(rb"[^.!?,;:\n]+[.!?,;:\n]*\s*|[.!?,;:\n]+\s*")
 SPACED = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+LETTER = re.compile(rb"[0-9A-Za-z\x80-\xff]")
 LONG = 24
 
 
 def sentences_of(text: bytes) -> tuple[list[int], list[bytes]]:
     """Bounds of the sentences (one more than there are) and their words, lower-case and joined.
 
-    Pieces without a word belong to the sentence before them; the sentences cover the text."""
+    Pieces without a letter or digit belong to the sentence before them; the sentences cover the text."""
     bounds, words = [0], []
     for m in PIECE.finditer(text):
         w = m[0].lower().split()
@@ -48,7 +49,7 @@ def sentences_of(text: bytes) -> tuple[list[int], list[bytes]]:
                 bounds.append(m.start() + at[z - 1])
                 words.append(b" ".join(w[a:z]))
             bounds[-1] = m.end()
-        elif words and not any(c.isalnum() or c[0] > 127 for c in w):
+        elif words and not LETTER.search(m[0]):
             bounds[-1] = m.end()
         else:
             bounds.append(m.end())
