@@ -244,7 +244,8 @@ def near_groups(docs: DataFrame, shingle: int = 4, budget: int = 4, text: str =
     roots = connected(links(distinct.select("fp"), budget))
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written out, so that the join on a large group's root is a plain one, which can be split
+    ids = staged(named.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
     named = staged(named.join(ids, "root").select("fp", "root", "component_id"), "named")
     return each.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
