@@ -1,6 +1,5 @@
 """Each operator against brute force, an exact round trip or held-out accuracy, and the defined cases."""
 
-import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
