@@ -65,7 +65,9 @@ def replace_covered(runs: DataFrame, bridges: DataFrame) -> DataFrame:
     b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
     cond = (runs[S.DEVICE_ID] == b["_bd"]) & (runs[S.START] >= b["_bs"]) & (runs[S.END] <= b["_be"])
     kept = runs.join(b, cond, "left_anti")
-    return kept.unionByName(bridges.select(*S.RUN_COLUMNS))
+    if S.START_DATE in runs.columns:
+        bridges = bridges.withColumn(S.START_DATE, F.to_date(S.START))
+    return kept.unionByName(bridges.select(*runs.columns))
 
 
 def range_delete(runs: DataFrame, extents: DataFrame) -> DataFrame:
@@ -93,19 +95,28 @@ def duplicate_ends(runs: DataFrame) -> DataFrame:
             .where(F.col("N") > 1))
 
 
-def _keep_first(runs: DataFrame, keys: list[str], order) -> DataFrame:
+def _keep_first(runs: DataFrame, duplicates: DataFrame, keys: list[str], order) -> DataFrame:
+    """One run, the first by ``order``, of each of the ``duplicates``' keys; all other runs as they are.
+
+    Only the runs of duplicate keys are sorted; the others pass an anti-join on the keys."""
+    dup = duplicates.select(*keys)
     w = Window.partitionBy(*keys).orderBy(*order)
-    return runs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    first = (runs.join(dup, keys, "left_semi").withColumn("_rn", F.row_number().over(w))
+             .where(F.col("_rn") == 1).drop("_rn"))
+    return runs.join(dup, keys, "left_anti").unionByName(first)
 
 
-def dedupe_same_start(runs: DataFrame) -> DataFrame:
+def dedupe_same_start(runs: DataFrame, duplicates: DataFrame | None = None) -> DataFrame:
     """Of the runs sharing ``(DEVICE_ID, START)`` keep one, the longest.
 
-    Exact duplicates keep one copy (a DELETE ... USING removes every copy).
+    Exact duplicates keep one copy (a DELETE ... USING removes every copy). ``duplicates`` passes the
+    result of ``duplicate_starts`` when the caller has it.
     """
-    return _keep_first(runs, [S.DEVICE_ID, S.START], [F.col(S.END).desc(), F.col(S.RECORDS).desc()])
+    duplicates = duplicate_starts(runs) if duplicates is None else duplicates
+    return _keep_first(runs, duplicates, [S.DEVICE_ID, S.START], [F.col(S.END).desc(), F.col(S.RECORDS).desc()])
 
 
-def dedupe_same_end(runs: DataFrame) -> DataFrame:
+def dedupe_same_end(runs: DataFrame, duplicates: DataFrame | None = None) -> DataFrame:
     """Of the runs sharing ``(DEVICE_ID, END)`` keep one, the earliest-starting."""
-    return _keep_first(runs, [S.DEVICE_ID, S.END], [F.col(S.START).asc(), F.col(S.RECORDS).desc()])
+    duplicates = duplicate_ends(runs) if duplicates is None else duplicates
+    return _keep_first(runs, duplicates, [S.DEVICE_ID, S.END], [F.col(S.START).asc(), F.col(S.RECORDS).desc()])

@@ -7,8 +7,8 @@ run of a non-idle reading is identified by the number of idle readings before it
 
 Scale design. A plain ``Window.partitionBy(DEVICE_ID)`` puts each device into one task,
 and one hot device may hold a third of all readings. Instead every window here is
-partitioned by ``(DEVICE_ID, chunk)``, where ``chunk`` is a fixed-width time bucket
-(``chunk_seconds``), and what crosses a chunk boundary is carried by a small per-chunk
+partitioned by ``(DEVICE_ID, chunk)``, where ``chunk`` is a time bucket (``Chunks``, or of
+the fixed width ``chunk_seconds``), and what crosses a chunk boundary is carried by a small per-chunk
 table (one row per device and chunk):
 
 1. ``local`` = running count of idle readings inside the chunk (window over the chunk);
@@ -25,6 +25,7 @@ chunk table and shifted across chunk boundaries there.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,13 +33,22 @@ from pyspark.sql import types as T
 
 from flowruns import schema as S
 from flowruns.functions.timecols import US_SQL
+from flowruns.session import materialize, small_side
 
-# ``chunk_seconds`` is a width in seconds, or "auto": chosen from the data so that no
-# (device, chunk) window holds more than AUTO_TARGET_ROWS readings.
+# ``chunk_seconds`` is a width in seconds, "auto", or the ``Chunks`` that "auto" resolved to.
 DEFAULT_CHUNK_SECONDS = "auto"
-HOUR = 3600
-MAX_CHUNK_SECONDS = 366 * 86400
 AUTO_TARGET_ROWS = 2_000_000
+# Nested bucket widths in microseconds, widest first: 366 days, day, hour, minute, second,
+# millisecond, microsecond. Each divides the one before it.
+LEVELS_US = (31_622_400_000_000, 86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1)
+
+
+class Chunks(NamedTuple):
+    """``hot[i]``: the (DEVICE_ID, _B) buckets of level ``i`` with more readings than the target.
+
+    A reading's chunk is its bucket on the first level where that bucket is not hot."""
+
+    hot: tuple[DataFrame, ...]
 
 
 def idle_flag() -> Column:
@@ -74,59 +84,79 @@ def clean(readings: DataFrame) -> DataFrame:
 
 
 def _bucket(width_us: int) -> Column:
-    """The time bucket of ``TIMESTAMP`` of ``width_us`` microseconds (integer division)."""
-    return F.expr(f"{US_SQL.format(c=S.TIMESTAMP)} div {int(width_us)}")
+    """Start, in microseconds, of the time bucket of ``width_us`` microseconds a reading lies in."""
+    us = US_SQL.format(c=S.TIMESTAMP)
+    return F.expr(f"{us} - pmod({us}, {int(width_us)})")
 
 
-def _hottest(readings: DataFrame, width_us: int) -> int | None:
-    """Readings in the fullest (device, bucket): partial aggregates, one number back."""
-    return (clean(readings).groupBy(S.DEVICE_ID, _bucket(width_us).alias("_B")).count()
-            .agg(F.max("count")).first()[0])
+def resolve_chunks(readings: DataFrame, chunk_seconds: float | str | Chunks = DEFAULT_CHUNK_SECONDS,
+                   target_rows: int = AUTO_TARGET_ROWS) -> float | Chunks:
+    """Return ``chunk_seconds``, or for ``"auto"`` the ``Chunks`` of these readings, such that no
+    (device, chunk) holds more than ``target_rows`` readings (unless they share one microsecond).
 
-
-def resolve_chunk_seconds(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
-                          target_rows: int = AUTO_TARGET_ROWS) -> float:
-    """Return ``chunk_seconds``, or for ``"auto"`` a width from the data such that no
-    (device, chunk) holds more than ``target_rows`` readings (unless they share one
-    microsecond).
-
-    Start from the fullest device-hour ``h``. If ``h <= target_rows`` the width is
-    ``3600 * target_rows / h`` (capped at ``MAX_CHUNK_SECONDS``): every chunk then sums
-    hours that each hold at most ``h``, so the bound holds by construction, and sparse
-    data gets wide chunks. Otherwise the width shrinks by ``target_rows / fullest chunk``
-    and is checked again, until the fullest chunk fits (bursts inside an hour are caught
-    by the check). Each step is one partially aggregated pass over (device, time).
+    Only buckets over the target are split, level by level, so a burst in one device leaves the
+    chunks of every other device, and of its own quiet times, wide. A level has at most
+    ``rows / target_rows`` hot buckets. Each level is one partially aggregated pass over (device,
+    time) of the readings in the hot buckets of the level before; the first finds none in sparse data.
     """
     if chunk_seconds != "auto":
-        return float(chunk_seconds)
-    hour_us = HOUR * 1_000_000
-    hottest = _hottest(readings, hour_us)
-    if not hottest:
-        width_us = hour_us
-    elif hottest <= target_rows:
-        width_us = min(MAX_CHUNK_SECONDS * 1_000_000, hour_us * target_rows // hottest)
-    else:
-        width_us = max(1, hour_us * target_rows // hottest)
-        while True:  # every step narrows the width, down to single microseconds
-            fullest = _hottest(readings, width_us)
-            if not fullest or fullest <= target_rows or width_us == 1:
-                break
-            width_us = max(1, width_us * target_rows // fullest)
-    return width_us / 1_000_000
-
-
-def with_chunk(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+        return chunk_seconds
+    left = clean(readings).select(S.DEVICE_ID, S.TIMESTAMP)
+    hot = []
+    for width_us in LEVELS_US[:-1]:
+        buckets = left.withColumn("_B", _bucket(width_us))
+        over = materialize(buckets.groupBy(S.DEVICE_ID, "_B").count().where(F.col("count") > target_rows)
+                           .select(S.DEVICE_ID, "_B"))
+        if over.isEmpty():
+            break
+        hot.append(small_side(over))
+        left = buckets.join(hot[-1], [S.DEVICE_ID, "_B"], "left_semi").drop("_B")
+    return Chunks(tuple(hot))
+
+
+def with_chunk(readings: DataFrame, chunk_seconds: float | str | Chunks = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Add the time bucket used to split one device over many tasks."""
-    width_us = max(1, round(resolve_chunk_seconds(readings, chunk_seconds) * 1_000_000))
-    return readings.withColumn(S.CHUNK, _bucket(width_us))
+    chunks = resolve_chunks(readings, chunk_seconds)
+    if not isinstance(chunks, Chunks):
+        return readings.withColumn(S.CHUNK, _bucket(max(1, round(chunks * 1_000_000))))
+    out = readings.withColumn(S.CHUNK, _bucket(LEVELS_US[0]))
+    for hot, width_us in zip(chunks.hot, LEVELS_US[1:]):
+        over = hot.select(F.col(S.DEVICE_ID).alias("_HD"), F.col("_B").alias("_HB"))
+        out = (out.join(over, (F.col(S.DEVICE_ID) == F.col("_HD")) & (F.col(S.CHUNK) == F.col("_HB")), "left")
+               .withColumn(S.CHUNK, F.when(F.col("_HB").isNotNull(), _bucket(width_us)).otherwise(F.col(S.CHUNK)))
+               .drop("_HD", "_HB"))
+    return out
+
 
+def _order(tiebreak: Sequence[str], last: Sequence[Column]) -> list[Column]:
+    """Time, ``tiebreak``, then ``last``, which settles equal timestamps in every computation alike."""
+    return [F.col(S.TIMESTAMP), *[F.col(c) for c in tiebreak], *last]
 
-def _order(tiebreak: Sequence[str]) -> list[Column]:
-    return [F.col(S.TIMESTAMP)] + [F.col(c) for c in tiebreak]
 
+def _chunk_window(order: Sequence[Column], keys: Sequence[str] = (S.DEVICE_ID,)):
+    return Window.partitionBy(*keys, S.CHUNK).orderBy(*order)
 
-def _chunk_window(tiebreak: Sequence[str], keys: Sequence[str] = (S.DEVICE_ID,)):
-    return Window.partitionBy(*keys, S.CHUNK).orderBy(*_order(tiebreak))
+
+def _local_ids(readings: DataFrame, chunk_seconds, tiebreak: Sequence[str], keys: Sequence[str]):
+    """The readings with ``_IDLE``, the same with ``_LOCAL`` (idle readings of the chunk so far), and
+    their chunk window.
+
+    At equal timestamps idle readings come last, unless ``tiebreak`` says otherwise. ``_IDLE`` is a
+    column, so that all windows share one sort."""
+    r = with_chunk(clean(readings), chunk_seconds).withColumn("_IDLE", idle_flag())
+    r = r.where(F.col(S.CHUNK).isNotNull())  # always so; without it a join adds it to one of its sides only
+    w = _chunk_window(_order(tiebreak, [F.col("_IDLE")]), keys)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return r, r.withColumn("_LOCAL", F.sum("_IDLE").over(so_far)), w
+
+
+def _before(keys: Sequence[str]):
+    """All earlier chunks of the device, in the per-chunk table."""
+    return Window.partitionBy(*keys).orderBy(S.CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _offset(keys: Sequence[str]) -> Column:
+    return F.coalesce(F.sum("_N_IDLE").over(_before(keys)), F.lit(0).cast("bigint"))
 
 
 def island_ids(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
@@ -134,26 +164,21 @@ def island_ids(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_S
     """The non-idle readings with ``RUN_ID`` (idle readings of the device so far).
 
     ``tiebreak`` names extra ordering columns for readings of one device with equal
-    timestamps (their order is otherwise undefined, as in any ordered window).
+    timestamps (idle readings come last among those still equal).
     ``batch_cols`` split each device further, so runs are found in each batch alone
     (how a destination that was loaded batch by batch looks before repair).
     """
     keys = [S.DEVICE_ID, *batch_cols]
-    r = with_chunk(clean(readings), chunk_seconds)
-    w_local = _chunk_window(tiebreak, keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = r.withColumn("_LOCAL", F.sum(idle_flag()).over(w_local))
+    r, local, _ = _local_ids(readings, chunk_seconds, tiebreak, keys)
 
     # One row per (device, chunk): partial aggregation happens before the shuffle.
-    per_chunk = r.groupBy(*keys, S.CHUNK).agg(F.sum(idle_flag()).alias("_N_IDLE"))
-    w_dev = Window.partitionBy(*keys).orderBy(S.CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(
-        *keys, S.CHUNK,
-        F.coalesce(F.sum("_N_IDLE").over(w_dev), F.lit(0).cast("bigint")).alias("_OFFSET"))
+    per_chunk = r.groupBy(*keys, S.CHUNK).agg(F.sum("_IDLE").alias("_N_IDLE"))
+    offsets = per_chunk.select(*keys, S.CHUNK, _offset(keys).alias("_OFFSET"))
 
-    kept = local.where(idle_flag() == 0)
+    kept = local.where(F.col("_IDLE") == 0)
     return (kept.join(offsets, [*keys, S.CHUNK], "inner")
             .withColumn(S.RUN_ID, F.col("_OFFSET") + F.col("_LOCAL"))
-            .drop("_OFFSET", "_LOCAL", S.CHUNK))
+            .drop("_OFFSET", "_LOCAL", "_IDLE", S.CHUNK))
 
 
 def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
@@ -164,9 +189,10 @@ def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: float
     its neighbour from the previous / next non-empty chunk through the per-chunk table.
     """
     r = with_chunk(clean(readings), chunk_seconds)
-    w = _chunk_window(tiebreak)
-    order_key = F.struct(*_order(tiebreak))
     cols = list(columns)
+    order = _order(tiebreak, [F.col(c) for c in cols])
+    w = _chunk_window(order)
+    order_key = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)])
 
     inner = r.select(
         "*",
@@ -199,12 +225,40 @@ def island_bounds(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUN
                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """Each non-idle reading with the START / END of its run.
 
-    The reference spreads a start flag forward and an end flag backward with ``last``
-    over two windows; with a run id the same values are ``min`` / ``max`` of the run,
-    computed as an aggregate and joined back (a very long run is then a skewed join key,
-    which AQE splits, rather than one window partition held by one task).
+    Inside a chunk the first / last reading of a run spreads its time over the run by ordered
+    windows. Only the run open at a chunk's start and the one open at its end reach into other
+    chunks; their bounds come from the per-chunk table: ``_IN`` is the earliest start among the
+    earlier chunks whose last run is the one open here, ``_OUT`` the latest end likewise. So the
+    readings need no second shuffle and no join on the run.
     """
-    ids = island_ids(readings, chunk_seconds, tiebreak)
-    bounds = ids.groupBy(S.DEVICE_ID, S.RUN_ID).agg(
-        F.min(S.TIMESTAMP).alias(S.START), F.max(S.TIMESTAMP).alias(S.END))
-    return ids.join(bounds, [S.DEVICE_ID, S.RUN_ID], "inner").drop(S.RUN_ID)
+    keys = [S.DEVICE_ID]
+    _, local, w = _local_ids(readings, chunk_seconds, tiebreak, keys)
+    ts, idle = F.col(S.TIMESTAMP), F.col("_IDLE")
+    flowing = idle == 0
+    to_here = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from_here = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    prev_idle = F.coalesce(F.lag(idle).over(w), F.lit(1)) == 1
+    next_idle = F.coalesce(F.lead(idle).over(w), F.lit(1)) == 1
+    marked = (local.withColumn("_S", F.when(flowing & prev_idle, ts)).withColumn("_E", F.when(flowing & next_idle, ts))
+              .withColumn("_S", F.last("_S", ignorenulls=True).over(to_here))
+              .withColumn("_E", F.first("_E", ignorenulls=True).over(from_here)))
+
+    # Per chunk: idle readings, the end of the run it starts in, the start of the run it ends in.
+    per_chunk = marked.groupBy(*keys, S.CHUNK).agg(
+        F.max("_LOCAL").alias("_N_IDLE"),
+        F.max(F.when(flowing & (F.col("_LOCAL") == 0), ts)).alias("_HEAD"),
+        F.max(F.when(flowing, F.struct("_LOCAL", "_S"))).alias("_LAST"))
+    tail = F.when(F.col("_LAST._LOCAL") == F.col("_N_IDLE"), F.col("_LAST._S"))
+    edges = per_chunk.select(*keys, S.CHUNK, "_N_IDLE", "_HEAD", tail.alias("_TAIL"), _offset(keys).alias("_FIRST_RUN"))
+    edges = (edges.withColumn("_LAST_RUN", F.col("_FIRST_RUN") + F.col("_N_IDLE"))
+             .withColumn("_OPEN_FROM", F.min("_TAIL").over(Window.partitionBy(*keys, "_LAST_RUN")))
+             .withColumn("_OPEN_TO", F.max("_HEAD").over(Window.partitionBy(*keys, "_FIRST_RUN"))))
+    w_dev = Window.partitionBy(*keys).orderBy(S.CHUNK)
+    edges = edges.select(*keys, S.CHUNK, "_N_IDLE", F.lag("_OPEN_FROM").over(w_dev).alias("_IN"),
+                         F.lead("_OPEN_TO").over(w_dev).alias("_OUT"))
+
+    return (marked.where(flowing).join(edges, [*keys, S.CHUNK], "inner")
+            .withColumn(S.START, F.when(F.col("_LOCAL") == 0, F.least("_S", "_IN")).otherwise(F.col("_S")))
+            .withColumn(S.END, F.when(F.col("_LOCAL") == F.col("_N_IDLE"), F.greatest("_E", "_OUT"))
+                        .otherwise(F.col("_E")))
+            .drop("_LOCAL", "_IDLE", "_S", "_E", "_N_IDLE", "_IN", "_OUT", S.CHUNK))

@@ -5,6 +5,7 @@ of each. Floating columns are rounded identically on both sides by ``present``.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -19,8 +20,11 @@ from flowruns.operators.runs import island_bounds, island_ids, neighbours, nonze
 from flowruns.operators.summary import summarize_runs, summarize_view
 from flowruns.plans import jobs
 from flowruns.sources import fixtures as FX
+from flowruns.session import ensure_checkpoint_dir
+from flowruns.sources import sinks
+from flowruns.sources.readers import read_source
 from flowruns.sources.readers import readings as load_readings
-from flowruns.sources.scans import extent_bounds, scan_after, scan_closed_devices, scan_half_open, scan_seam
+from flowruns.sources.scans import extent_bounds, scan_after, scan_closed_devices, scan_half_open, scan_seam, scan_seam_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +70,11 @@ def stored(runs: DataFrame) -> DataFrame:
     return jobs.materialize(runs)
 
 
+def _folder(spark, what: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/flowruns-{what}-{uuid.uuid4().hex}"
+
+
 def _cut_ts():
     return FX.ts(FX.CUT)
 
@@ -150,6 +159,15 @@ def build() -> dict[str, Query]:
         return spark.range(1).select(*[b[k].alias(k) for k in ("S", "S1", "E", "E1")])
     q["seam_bounds"] = _seam_bounds
 
+    def _scan_seam_windows(spark, sf):
+        daily = stored(FX.runs_daily(load_readings(spark, sf)))
+        return present(scan_seam_windows(daily, *FX.SEAM_WINDOWS))
+    q["scan_seam_windows"] = _scan_seam_windows
+
+    # Any Spark source; the filter reaches it
+    q["source_filtered"] = lambda spark, sf: read_source(spark, "parquet", f"{sf.rstrip('/')}/events.parquet").where(
+        (F.col("event_type") != "error") & (F.col("ts") >= _cut_ts())).select("event_id", "ts", "user_id", "event_type")
+
     # Extents
     q["device_extents"] = _seam_extents
     q["global_extent"] = lambda spark, sf: X.global_extent(_seam_extents(spark, sf))
@@ -183,15 +201,15 @@ def build() -> dict[str, Query]:
 
     def range_delete(spark, sf):
         rd = load_readings(spark, sf)
-        cut = FX.runs_cut(rd)
+        cut = stored(FX.runs_cut(rd))
         return present(P.range_delete(cut, X.consolidate_extents(cut, FX.CUT)))
     q["range_delete"] = range_delete
     q["duplicate_starts"] = lambda spark, sf: P.duplicate_starts(FX.runs_cut_with_bridges(load_readings(spark, sf))).select(
         S.DEVICE_ID, S.START, "N", S.END)
     q["duplicate_ends"] = lambda spark, sf: P.duplicate_ends(FX.runs_cut_with_bridges(load_readings(spark, sf))).select(
         S.DEVICE_ID, S.END, "N", S.START)
-    q["dedupe_same_start"] = lambda spark, sf: present(P.dedupe_same_start(FX.runs_cut_with_bridges(load_readings(spark, sf))))
-    q["dedupe_same_end"] = lambda spark, sf: present(P.dedupe_same_end(FX.runs_cut_with_bridges(load_readings(spark, sf))))
+    q["dedupe_same_start"] = lambda spark, sf: present(P.dedupe_same_start(stored(FX.runs_cut_with_bridges(load_readings(spark, sf)))))
+    q["dedupe_same_end"] = lambda spark, sf: present(P.dedupe_same_end(stored(FX.runs_cut_with_bridges(load_readings(spark, sf)))))
 
     def append_by_name(spark, sf):
         rd = load_readings(spark, sf)
@@ -200,6 +218,23 @@ def build() -> dict[str, Query]:
         return present(FX.runs_before(rd).unionByName(permuted), S.RUN_COLUMNS)
     q["append_by_name"] = append_by_name
 
+    def append_by_name_sink(spark, sf):
+        """S6 through the sink: two batches, the second with its columns in another order, read back."""
+        rd, path = load_readings(spark, sf), _folder(spark, "append")
+        after = FX.runs_from(rd)
+        sinks.append_by_name(FX.runs_before(rd), path)
+        sinks.append_by_name(after.select(*reversed(after.columns)), path)
+        return present(read_source(spark, "parquet", path), S.RUN_COLUMNS)
+    q["append_by_name_sink"] = append_by_name_sink
+
+    def checkpoint_sink(spark, sf):
+        """S7 through the sink: the checkpoint rows of two batches, read back."""
+        rd, path = load_readings(spark, sf), _folder(spark, "checkpoints")
+        for batch in (FX.runs_before(rd), FX.runs_from(rd)):
+            sinks.append_checkpoint(batch.agg(F.max(S.END).alias(S.TIMESTAMP)), path)
+        return sinks.read_checkpoints(spark, path)
+    q["checkpoint_sink"] = checkpoint_sink
+
     # Jobs
     q["job_backfill"] = lambda spark, sf: present(jobs.backfill(load_readings(spark, sf), FX.BACKFILL_FROM, FX.BACKFILL_TO))
 
@@ -211,7 +246,11 @@ def build() -> dict[str, Query]:
     def job_consolidate_daily(spark, sf):
         """G4 over all daily cuts at once: a table loaded day by day becomes whole."""
         rd = load_readings(spark, sf)
-        return present(jobs.consolidate_range(rd, stored(FX.runs_daily(rd)), FX.DAILY_FROM, FX.DAILY_TO))
+        daily = stored(FX.runs_daily(rd))
+        lo, hi = extent_bounds(daily)
+        if lo is None:
+            return present(daily)
+        return present(jobs.consolidate_range(rd, daily, lo, hi + dt.timedelta(seconds=1)))
     q["job_consolidate_daily"] = job_consolidate_daily
 
     def job_repair_seam(spark, sf):
@@ -221,6 +260,17 @@ def build() -> dict[str, Query]:
         return present(jobs.repair_seam(rd, cut, s, FX.SEAM_SECONDS))
     q["job_repair_seam"] = job_repair_seam
 
+    def job_repair_seam_windows(spark, sf):
+        rd = load_readings(spark, sf)
+        return present(jobs.repair_seam_windows(rd, stored(FX.runs_cut(rd)), *FX.SEAM_WINDOWS))
+    q["job_repair_seam_windows"] = job_repair_seam_windows
+
+    def job_consolidate_heal(spark, sf):
+        """G4 on a table that holds both the fragments and the whole of every run the cut split."""
+        rd = load_readings(spark, sf)
+        return present(jobs.consolidate(rd, stored(FX.runs_cut_with_bridges(rd)), FX.CUT))
+    q["job_consolidate_heal"] = job_consolidate_heal
+
     def job_consolidate_capped(spark, sf):
         """G4 with a cap: only devices whose extent spans at most two days are repaired."""
         rd = load_readings(spark, sf)
@@ -230,11 +280,9 @@ def build() -> dict[str, Query]:
     def job_publish_recovery(spark, sf):
         """A consolidation stops after part of its dates are published; the next job completes it."""
         from flowruns.plans import runner
-        from flowruns.session import ensure_checkpoint_dir
-        from flowruns.sources import sinks
 
         rd = load_readings(spark, sf)
-        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flowruns-recovery-{uuid.uuid4().hex}"
+        root = _folder(spark, "recovery")
         sinks.write_runs(FX.runs_cut(rd), f"{root}/runs")
         table, changed = jobs.consolidate_delta(rd, sinks.read_runs(spark, f"{root}/runs"), FX.CUT)
         staging, days, _ = sinks.stage_dates(table, f"{root}/runs", changed)
@@ -242,18 +290,16 @@ def build() -> dict[str, Query]:
             spark.read.parquet(staging).where(F.col(sinks.PART) < F.lit(days[-1])).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic").partitionBy(sinks.PART).parquet(f"{root}/runs")
         runner.run_consolidate(spark, rd, f"{root}/runs", FX.CUT)
-        return present(sinks.read_runs(spark, f"{root}/runs"))
+        return present(sinks.read_runs(spark, f"{root}/runs"), S.RUN_COLUMNS)
     q["job_publish_recovery"] = job_publish_recovery
 
     def streamed(spark, sf, step) -> DataFrame:
         """The run table after streaming the events in ``STREAM_STEPS`` deliveries (``step``: a column from 0);
         after each, the table must equal a full recompute of what was delivered."""
-        from flowruns.session import ensure_checkpoint_dir
-        from flowruns.sources import sinks
         from flowruns.sources.readers import readings_from_events, table
         from flowruns.streaming.incremental import start_stream
 
-        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flowruns-stream-{uuid.uuid4().hex}"
+        root = _folder(spark, "stream")
         events = table(spark, sf, "events")
         for k in range(STREAM_STEPS):
             events.where(step(events) == k).repartition(STREAM_FILES).write.mode("append").parquet(f"{root}/source")
@@ -263,7 +309,7 @@ def build() -> dict[str, Query]:
             now, want = (df.select(*KEYS, S.RECORDS) for df in (sinks.read_runs(spark, f"{root}/runs"), full))
             if not (now.exceptAll(want).isEmpty() and want.exceptAll(now).isEmpty()):
                 raise AssertionError(f"the streamed table differs from a full recompute after step {k}")
-        return present(sinks.read_runs(spark, f"{root}/runs"))
+        return present(sinks.read_runs(spark, f"{root}/runs"), S.RUN_COLUMNS)
 
     def incremental_equals_full(spark, sf):
         """The events arrive in time order, one micro-batch a delivery."""

@@ -12,47 +12,34 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
 from flowruns.functions import day_diff, ntz
-from flowruns.operators.extents import (
-    adjacent_extents,
-    checkpoint_lookup,
-    consolidate_extents,
-    device_extents,
+from flowruns.operators.extents import adjacent_extents, consolidate_extents, device_extents
+from flowruns.operators.repair import (
+    confirm_bridges,
+    dedupe_same_end,
+    dedupe_same_start,
+    duplicate_ends,
+    duplicate_starts,
+    recompute_extents,
+    replace_covered,
+    runs_within,
 )
-from flowruns.operators.repair import confirm_bridges, recompute_extents, replace_covered, runs_within
-from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, resolve_chunk_seconds
+from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, resolve_chunks
 from flowruns.operators.summary import summarize_runs
-from flowruns.session import ensure_checkpoint_dir
-from flowruns.sources.scans import scan_half_open, scan_per_extent, scan_seam
+from flowruns.session import materialize, small_side
+from flowruns.sources.scans import scan_half_open, scan_per_extent, scan_seam, scan_seam_windows, scan_started
 
 
 def _ts(v) -> Column:
     return ntz(v)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint to the shared checkpoint folder (survives lost executors)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-# Largest per-device table, in bytes, that a job broadcasts. Larger ones go through a shuffle
-# join (AQE splits skewed partitions).
-BROADCAST_MAX_BYTES = 64 << 20
-
-
-def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast a materialized per-device table only when its size, measured here, is within
-    ``max_bytes`` (8 bytes a column and the device ids); otherwise leave the join strategy to Spark/AQE."""
-    n, ids = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(S.DEVICE_ID)), F.lit(0))).first()
-    return F.broadcast(df) if n * 8 * (len(df.columns) + 1) + ids <= max_bytes else df
-
-
 def _stats(extents: DataFrame) -> tuple:
     """Row count and global bounds of a materialized extent table, in one action."""
     row = extents.agg(F.count(F.lit(1)).alias("n"), F.min(S.START).alias("lo"), F.max(S.END).alias("hi")).first()
@@ -88,16 +75,44 @@ def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFram
         return runs, None
     extents = small_side(extents)
     if chunk_seconds == "auto":  # one estimate for the whole repair, from the re-read scope
-        chunk_seconds = resolve_chunk_seconds(scan_per_extent(readings, extents, lo, hi))
-    bridges = materialize(bridge_islands(readings, runs, extents, chunk_seconds, tiebreak, lo, hi))
+        chunk_seconds = resolve_chunks(scan_per_extent(readings, extents, lo, hi))
+    # a bridge and all it replaces start between the extents' bounds
+    near = scan_started(runs, lo, hi)
+    bridges = materialize(bridge_islands(readings, near, extents, chunk_seconds, tiebreak, lo, hi))
     bridges = small_side(bridges)
     b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
-    cond = (runs[S.DEVICE_ID] == b["_bd"]) & (runs[S.START] >= b["_bs"]) & (runs[S.END] <= b["_be"])
-    changed = (runs.join(b, cond, "left_semi").select(S.START).unionByName(bridges.select(S.START))
-               .select(F.to_date(S.START).alias("START_DATE")).distinct())
+    cond = (near[S.DEVICE_ID] == b["_bd"]) & (near[S.START] >= b["_bs"]) & (near[S.END] <= b["_be"])
+    changed = start_dates(near.join(b, cond, "left_semi"), bridges)
     return replace_covered(runs, bridges), changed
 
 
+def start_dates(*runs: DataFrame) -> DataFrame:
+    """The distinct start dates of all the given runs."""
+    starts = reduce(DataFrame.unionByName, [r.select(S.START) for r in runs])
+    return starts.select(F.to_date(S.START).alias(S.START_DATE)).distinct()
+
+
+def heal_duplicates(runs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """S9 then S10 over the whole table: ``(table, changed start dates or None)``.
+
+    Finding the duplicate keys reads three columns; with none, the table is returned as it is."""
+    changed = []
+    for find, dedupe, keys in ((duplicate_starts, dedupe_same_start, [S.DEVICE_ID, S.START]),
+                               (duplicate_ends, dedupe_same_end, [S.DEVICE_ID, S.END])):
+        keyed = materialize(find(runs).select(*keys))
+        if not keyed.isEmpty():
+            keyed = small_side(keyed)
+            changed.append(start_dates(runs.join(keyed, keys, "left_semi")))
+            runs = dedupe(runs, keyed)
+    return runs, reduce(DataFrame.unionByName, changed).distinct() if changed else None
+
+
+def _healed(repaired: tuple[DataFrame, DataFrame | None]) -> tuple[DataFrame, DataFrame | None]:
+    table, changed = heal_duplicates(repaired[0])
+    both = [c for c in (repaired[1], changed) if c is not None]
+    return table, reduce(DataFrame.unionByName, both).distinct() if both else None
+
+
 def repair_extents(readings: DataFrame, runs: DataFrame, extents: DataFrame,
                    chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Recompute the given per-device extents and replace the fragments they join."""
@@ -109,7 +124,7 @@ def consolidate_delta(readings: DataFrame, runs: DataFrame, at, cap_days: float
     extents = consolidate_extents(runs, at)
     if cap_days is not None:
         extents = extents.where(_within_cap(cap_days))
-    return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)
+    return _healed(repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak))
 
 
 def _within_cap(cap_days: float) -> Column:
@@ -123,7 +138,8 @@ def deferred_extents(runs: DataFrame, at, cap_days: float) -> DataFrame:
 
 def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
                 chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Join the runs a cut at ``at`` split, per device, and replace their fragments.
+    """Join the runs a cut at ``at`` split, per device, and replace their fragments; then keep one
+    of the stored runs that share a device and START, or a device and END (``heal_duplicates``).
 
     With ``cap_days`` only devices whose own extent spans at most that many days are repaired, each
     fully; the others are what ``deferred_extents`` returns, for a job with a greater cap.
@@ -136,7 +152,9 @@ def consolidate_range_delta(readings: DataFrame, runs: DataFrame, frm, to,
     """G4 over every cut in ``[frm, to)`` at once (see ``consolidate_range``)."""
     st, en = F.col(S.START), F.col(S.END)
     overlapping = runs.where((st < _ts(to)) & (en >= _ts(frm)))
-    return repair_extents_delta(readings, runs, device_extents(overlapping), chunk_seconds, tiebreak)
+    if S.START_DATE in runs.columns:
+        overlapping = overlapping.where(F.col(S.START_DATE) <= F.to_date(_ts(to)))
+    return _healed(repair_extents_delta(readings, runs, device_extents(overlapping), chunk_seconds, tiebreak))
 
 
 def consolidate_range(readings: DataFrame, runs: DataFrame, frm, to,
@@ -165,25 +183,50 @@ def repair_seam(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds:
     return repair_seam_delta(readings, runs, batch_start, seam_seconds, chunk_seconds, tiebreak)[0]
 
 
+def stitch_delta(readings: DataFrame, kept: DataFrame, new_runs: DataFrame,
+                 chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+    """``kept`` stored runs and later ``new_runs`` as one table, the last kept and the first new run of
+    a device bridged where the readings show one run. Returns ``(table, changed start dates or None)``.
+
+    Only devices with new runs, and only three columns of ``kept``, are read for the extents."""
+    if S.START_DATE in kept.columns:
+        new_runs = new_runs.withColumn(S.START_DATE, F.to_date(S.START))
+    merged = kept.unionByName(new_runs.select(*kept.columns))
+    before = kept.join(new_runs.select(S.DEVICE_ID).distinct(), S.DEVICE_ID, "left_semi")
+    keys = [S.DEVICE_ID, S.START, S.END]
+    both = (before.select(*keys).withColumn("_NEW", F.lit(False))
+            .unionByName(new_runs.select(*keys).withColumn("_NEW", F.lit(True))))
+    extents = adjacent_extents(both, ~F.col("_NEW"), F.col("_NEW"))
+    return repair_extents_delta(readings, merged, extents, chunk_seconds, tiebreak)
+
+
+def repair_seam_windows_delta(readings: DataFrame, runs: DataFrame, start, start1, end, end1,
+                              chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+    extents = device_extents(scan_seam_windows(runs, start, start1, end, end1))
+    return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)
+
+
+def repair_seam_windows(readings: DataFrame, runs: DataFrame, start, start1, end, end1,
+                        chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
+                        tiebreak: Sequence[str] = ()) -> DataFrame:
+    """G3 with two windows of their own: the runs that start in ``[start, start1)`` or end in ``[end, end1)``."""
+    return repair_seam_windows_delta(readings, runs, start, start1, end, end1, chunk_seconds, tiebreak)[0]
+
+
 def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,
                       chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
     """``incremental`` returning ``(new run table, new checkpoint row, changed start dates)``."""
-    spark = readings.sparkSession
-    cp = checkpoint_lookup(spark, checkpoints, runs).first()[S.TIMESTAMP]
+    cp = checkpoints.agg(F.max(S.TIMESTAMP)).first()[0]
+    if cp is None:  # only then the destination is read for its newest END (A12)
+        cp = runs.agg(F.max(S.END)).first()[0]
     ts, end = F.col(S.TIMESTAMP), F.col(S.END)
 
-    def dates(*dfs):
-        u = dfs[0].select(S.START)
-        for d in dfs[1:]:
-            u = u.unionByName(d.select(S.START))
-        return u.select(F.to_date(S.START).alias("START_DATE")).distinct()
-
     def ckpt(new_runs):
         return new_runs.agg(F.max(S.END).alias(S.TIMESTAMP)).where(F.col(S.TIMESTAMP).isNotNull())
 
     if cp is None:  # nothing loaded yet: everything is new
         new_runs = materialize(summarize_runs(readings, chunk_seconds, tiebreak))
-        return new_runs, ckpt(new_runs), dates(new_runs)
+        return new_runs, ckpt(new_runs), start_dates(new_runs)
 
     lo = cp - dt.timedelta(seconds=int(lateness_seconds))
     touched_runs = runs.where(end > _ts(lo))
@@ -196,14 +239,11 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
              .join(touched, S.DEVICE_ID, "left")
              .where((ts > _ts(lo)) | (F.col("_FROM").isNotNull() & (ts >= F.col("_FROM"))))
              .drop("_FROM"))
-    chunk_seconds = resolve_chunk_seconds(batch, chunk_seconds)
+    chunk_seconds = resolve_chunks(batch, chunk_seconds)
     new_runs = materialize(summarize_runs(batch, chunk_seconds, tiebreak))
 
-    kept = runs.where(end <= _ts(lo)).select(*S.RUN_COLUMNS)
-    merged = kept.withColumn("_NEW", F.lit(False)).unionByName(new_runs.withColumn("_NEW", F.lit(True)))
-    extents = adjacent_extents(merged, ~F.col("_NEW"), F.col("_NEW"))
-    out, bridged = repair_extents_delta(readings, merged.drop("_NEW"), extents, chunk_seconds, tiebreak)
-    changed = dates(touched_runs, new_runs)
+    out, bridged = stitch_delta(readings, runs.where(end <= _ts(lo)), new_runs, chunk_seconds, tiebreak)
+    changed = start_dates(touched_runs, new_runs)
     if bridged is not None:
         changed = changed.unionByName(bridged).distinct()
     return out, ckpt(new_runs), changed

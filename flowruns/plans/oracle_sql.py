@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from flowruns import schema as S
 from flowruns.plans.catalog import CAP_DAYS, TIE_NUDGE
-from flowruns.sources.fixtures import BACKFILL_FROM, BACKFILL_TO, CUT, SEAM_SECONDS
+from flowruns.sources.fixtures import BACKFILL_FROM, BACKFILL_TO, CUT, SEAM_SECONDS, SEAM_WINDOWS
 
 CUT_TS = f"TIMESTAMP '{CUT}'"
 
@@ -125,6 +125,13 @@ def seam_cte(runs: str, s: str, name: str = "seam") -> str:
      OR (END_TIMESTAMP >= date_trunc('second', {s}) - INTERVAL {w} SECOND AND END_TIMESTAMP < {s}))"""
 
 
+def seam_windows_cte(runs: str) -> str:
+    start, start1, end, end1 = (f"TIMESTAMP '{t}'" for t in SEAM_WINDOWS)
+    return f"""seam AS (
+  SELECT * FROM {runs} WHERE (START_TIMESTAMP >= {start} AND START_TIMESTAMP < {start1})
+     OR (END_TIMESTAMP >= {end} AND END_TIMESTAMP < {end1}))"""
+
+
 DEV_EXT = """dev_ext AS (
   SELECT DEVICE_ID, min(START_TIMESTAMP) AS START_TIMESTAMP, max(END_TIMESTAMP) AS END_TIMESTAMP
   FROM seam GROUP BY DEVICE_ID)"""
@@ -253,6 +260,12 @@ WHERE NOT EXISTS (SELECT 1 FROM ext x WHERE x.DEVICE_ID = c.DEVICE_ID AND c.STAR
     q["incremental_equals_full"] = q["island_summary"]
     q["incremental_late_rows"] = q["island_summary"]
     q["job_publish_recovery"] = q["island_summary"]
+    q["job_consolidate_heal"] = q["island_summary"]
+    q["append_by_name_sink"] = q["append_by_name"]
+    q["checkpoint_sink"] = q["checkpoint_after_batch"]
+    q["scan_seam_windows"] = _w(READINGS, DAILY, seam_windows_cte("daily")) + f"SELECT {present(RUNS)} FROM seam"
+    q["source_filtered"] = f"""SELECT event_id, ts, user_id, event_type FROM events
+WHERE event_type <> 'error' AND ts >= {CUT_TS}"""
     near = f"ext WHERE CAST({epoch_s('END_TIMESTAMP')} - {epoch_s('START_TIMESTAMP')} AS DOUBLE) / 86400.0 <= {CAP_DAYS}"
     q["job_consolidate_capped"] = _w(READINGS, WHOLE, CUT_RUNS, CROSSING, EXT, f"""joined AS (
   SELECT * FROM crossing WHERE DEVICE_ID IN (SELECT DEVICE_ID FROM {near}))""") + f"""SELECT {present(RUNS)} FROM (
@@ -272,8 +285,9 @@ WHERE NOT EXISTS (SELECT 1 FROM ext x WHERE x.DEVICE_ID = c.DEVICE_ID AND c.STAR
     AND EXISTS (SELECT 1 FROM stored s WHERE s.DEVICE_ID = r.DEVICE_ID AND s.END_TIMESTAMP = r.END_TIMESTAMP)
     AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.DEVICE_ID = r.DEVICE_ID AND s.START_TIMESTAMP = r.START_TIMESTAMP
                     AND s.END_TIMESTAMP = r.END_TIMESTAMP))"""
-    q["job_repair_seam"] = _w(READINGS, CUT_RUNS, seam_cte("cut", seam_s), DEV_EXT, in_ext,
-                              runs_cte("recomputed", source="in_ext"), stored, bridges) + f"""SELECT {present(RUNS)} FROM (
+    for name, seam_part in (("job_repair_seam", seam_cte("cut", seam_s)), ("job_repair_seam_windows", seam_windows_cte("cut"))):
+        q[name] = _w(READINGS, CUT_RUNS, seam_part, DEV_EXT, in_ext,
+                     runs_cte("recomputed", source="in_ext"), stored, bridges) + f"""SELECT {present(RUNS)} FROM (
   SELECT * FROM cut c WHERE NOT EXISTS (SELECT 1 FROM bridges b WHERE b.DEVICE_ID = c.DEVICE_ID
       AND c.START_TIMESTAMP >= b.START_TIMESTAMP AND c.END_TIMESTAMP <= b.END_TIMESTAMP)
   UNION ALL SELECT * FROM bridges)"""

@@ -15,6 +15,7 @@ from flowruns.functions import ntz
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS
 from flowruns.plans import jobs
 from flowruns.sources import sinks
+from flowruns.sources.scans import scan_started
 
 
 def _stored(spark: SparkSession, dest_path: str) -> DataFrame:
@@ -36,8 +37,8 @@ def run_backfill(spark: SparkSession, readings: DataFrame, dest_path: str, frm,
     stored = _stored(spark, dest_path)
     new = jobs.materialize(jobs.backfill(readings, frm, to, chunk_seconds))
     inside = (F.col(S.START) >= ntz(frm)) & (F.col(S.START) < ntz(to))
-    changed = new.select(S.START).unionByName(stored.where(inside).select(S.START))
-    _publish(stored.where(~inside).unionByName(new), changed.select(F.to_date(S.START).alias(sinks.PART)).distinct(), dest_path)
+    changed = jobs.start_dates(new, scan_started(stored, frm, to).where(inside))
+    _publish(stored.where(~inside).unionByName(sinks.dated(new)), changed, dest_path)
 
 
 def run_incremental(spark: SparkSession, readings: DataFrame, dest_path: str, checkpoint_path: str,
@@ -59,6 +60,13 @@ def run_repair_seam(spark: SparkSession, readings: DataFrame, dest_path: str, ba
     _publish(*jobs.repair_seam_delta(readings, runs, batch_start, seam_seconds, chunk_seconds), dest_path)
 
 
+def run_repair_seam_windows(spark: SparkSession, readings: DataFrame, dest_path: str, start, start1, end, end1,
+                            chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
+    """Repair the runs that start in ``[start, start1)`` or end in ``[end, end1)``."""
+    runs = _stored(spark, dest_path)
+    _publish(*jobs.repair_seam_windows_delta(readings, runs, start, start1, end, end1, chunk_seconds), dest_path)
+
+
 def run_consolidate(spark: SparkSession, readings: DataFrame, dest_path: str, at, cap_days: float | None = None,
                     chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS) -> None:
     """Join the runs a cut at ``at`` split."""

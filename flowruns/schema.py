@@ -19,6 +19,9 @@ DURATION = "DURATION"
 ACT_START = "ACT_START_TIMESTAMP"
 ACT_END = "ACT_END_TIMESTAMP"
 
+# The stored run table is partitioned by the date of START_TIMESTAMP.
+START_DATE = "START_DATE"
+
 # Internal helper columns (never part of an output schema).
 RUN_ID = "RUN_ID"
 CHUNK = "_CHUNK"

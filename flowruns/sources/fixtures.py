@@ -21,6 +21,8 @@ CUT = "2024-01-15 00:00:00"
 SEAM_SECONDS = 6 * 3600
 BACKFILL_FROM = "2024-01-08 00:00:00"
 BACKFILL_TO = "2024-01-22 00:00:00"
+# Two seam windows of their own, [start, start1) and [end, end1), of unequal widths.
+SEAM_WINDOWS = ("2024-01-15 00:00:00", "2024-01-16 06:00:00", "2024-01-14 12:00:00", "2024-01-15 00:00:00")
 # The span the daily fixture's cuts lie in (every day boundary of the data).
 DAILY_FROM = "2024-01-01 00:00:00"
 DAILY_TO = "2024-02-01 00:00:00"

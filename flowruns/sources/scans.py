@@ -76,5 +76,20 @@ def scan_seam(runs: DataFrame, batch_start, seam_seconds: int = 1) -> DataFrame:
     scan as one pushed OR filter when the bounds are literals.
     """
     b = seam_bounds(_lit_or_col(batch_start), seam_seconds)
+    return scan_seam_windows(runs, b["S"], b["S1"], b["E"], b["E1"])
+
+
+def scan_seam_windows(runs: DataFrame, start, start1, end, end1) -> DataFrame:
+    """S5 with two windows of their own: runs with START in ``[start, start1)`` or END in ``[end, end1)``."""
     st, en = F.col(S.START), F.col(S.END)
-    return runs.where(((st >= b["S"]) & (st < b["S1"])) | ((en >= b["E"]) & (en < b["E1"])))
+    return runs.where(((st >= _lit_or_col(start)) & (st < _lit_or_col(start1)))
+                      | ((en >= _lit_or_col(end)) & (en < _lit_or_col(end1))))
+
+
+def scan_started(runs: DataFrame, lo, hi) -> DataFrame:
+    """Runs that start in ``[lo, hi]``. On the stored table the dates also choose the folders read."""
+    lo, hi = _lit_or_col(lo), _lit_or_col(hi)
+    out = runs.where((F.col(S.START) >= lo) & (F.col(S.START) <= hi))
+    if S.START_DATE in runs.columns:
+        out = out.where((F.col(S.START_DATE) >= F.to_date(lo)) & (F.col(S.START_DATE) <= F.to_date(hi)))
+    return out

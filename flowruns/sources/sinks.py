@@ -23,7 +23,7 @@ from pyspark.sql.utils import AnalysisException
 from flowruns import schema as S
 from flowruns.session import ensure_checkpoint_dir
 
-PART = "START_DATE"
+PART = S.START_DATE
 #: Folder of publish records beside the table's partitions (readers skip names that start with "_").
 PENDING = "_pending"
 
@@ -53,11 +53,12 @@ def append_by_name(df: DataFrame, path: str, fmt: str = "parquet", columns: list
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The stored run table (without its partition column); empty when not written yet."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], S.RUNS_SCHEMA)
+    """The stored run table, with its partition column ``START_DATE`` last, so that filters on it
+    choose the folders that are read; empty when not written yet."""
     schema = T.StructType(list(S.RUNS_SCHEMA.fields) + [T.StructField(PART, T.DateType())])
-    return spark.read.schema(schema).parquet(path).select(*S.RUN_COLUMNS)
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*S.RUN_COLUMNS, PART)
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
@@ -81,10 +82,15 @@ def _layout(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", PART).sortWithinPartitions(PART, S.DEVICE_ID, S.START)
 
 
+def dated(runs: DataFrame) -> DataFrame:
+    """The run columns and ``START_DATE``: the stored partition column where there is one."""
+    out = runs if PART in runs.columns else runs.withColumn(PART, F.to_date(S.START))
+    return out.select(*S.RUN_COLUMNS, PART)
+
+
 def write_runs(runs: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a whole run table, partitioned by start date."""
-    rows = runs.select(*S.RUN_COLUMNS).withColumn(PART, F.to_date(S.START))
-    _layout(rows).write.mode(mode).partitionBy(PART).parquet(path)
+    _layout(dated(runs)).write.mode(mode).partitionBy(PART).parquet(path)
 
 
 def replace_dates(new_table: DataFrame, path: str, dates: DataFrame, staging_root: str | None = None) -> str:
@@ -112,8 +118,7 @@ def stage_dates(new_table: DataFrame, path: str, dates: DataFrame, staging_root:
     day_list = sorted({r[0] for r in dates.select(PART).distinct().collect() if r[0] is not None})
     if not day_list:
         return staging, [], None
-    rows = (new_table.select(*S.RUN_COLUMNS).withColumn(PART, F.to_date(S.START))
-            .where(F.col(PART).isin(day_list)))
+    rows = dated(new_table).where(F.col(PART).isin(day_list))  # reaches the stored table's folders
     _layout(rows).write.mode("overwrite").partitionBy(PART).parquet(staging)
     return staging, day_list, _write_record(spark, path, staging, day_list)
 

@@ -20,11 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowruns import schema as S
 from flowruns.functions import ntz
-from flowruns.operators.extents import adjacent_extents
-from flowruns.operators.repair import confirm_bridges, recompute_extents, runs_within
-from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, clean, resolve_chunk_seconds
+from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, clean, resolve_chunks
 from flowruns.operators.summary import summarize_runs
-from flowruns.plans.jobs import materialize, small_side
+from flowruns.plans.jobs import start_dates, stitch_delta
+from flowruns.session import materialize, small_side
 from flowruns.sources import sinks
 
 
@@ -55,33 +54,16 @@ def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataF
     ts = F.col(S.TIMESTAMP)
     reread = (readings.where(ts >= ntz(lo))
               .join(frm, S.DEVICE_ID, "inner").where(ts >= F.col("_FROM")).drop("_FROM"))
-    chunk_seconds = resolve_chunk_seconds(reread, chunk_seconds)
+    chunk_seconds = resolve_chunks(reread, chunk_seconds)
     new_runs = materialize(summarize_runs(reread, chunk_seconds, tiebreak))
 
     dropped = runs.join(frm, S.DEVICE_ID, "inner").where(F.col(S.END) >= F.col("_FROM")).drop("_FROM")
     kept = runs.join(dropped.select(S.DEVICE_ID, S.START, S.END), [S.DEVICE_ID, S.START, S.END], "left_anti")
-    merged = (kept.select(*S.RUN_COLUMNS).withColumn("_NEW", F.lit(False))
-              .unionByName(new_runs.withColumn("_NEW", F.lit(True))))
-
+    kept = kept.select(*runs.columns)
     # Bridge the last untouched run of a device with its first recomputed run.
-    extents = small_side(materialize(adjacent_extents(merged, ~F.col("_NEW"), F.col("_NEW"))))
-    merged = merged.drop("_NEW")
-    bounds = extents.agg(F.min(S.START), F.max(S.END)).first()
-    if bounds[0] is not None:
-        bridges = small_side(materialize(confirm_bridges(
-            recompute_extents(readings, extents, chunk_seconds, tiebreak, bounds[0], bounds[1]),
-            runs_within(merged, extents))))
-    else:
-        bridges = runs.sparkSession.createDataFrame([], S.RUNS_SCHEMA)
-    b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
-    cond = (merged[S.DEVICE_ID] == b["_bd"]) & (merged[S.START] >= b["_bs"]) & (merged[S.END] <= b["_be"])
-    covered = merged.join(b, cond, "left_semi")
-    table = merged.join(b, cond, "left_anti").unionByName(bridges.select(*S.RUN_COLUMNS))
-
-    changed = (dropped.select(S.START).unionByName(new_runs.select(S.START))
-               .unionByName(covered.select(S.START)).unionByName(bridges.select(S.START))
-               .select(F.to_date(S.START).alias(sinks.PART)).distinct())
-    return table, changed
+    table, bridged = stitch_delta(readings, kept, new_runs, chunk_seconds, tiebreak)
+    changed = start_dates(dropped, new_runs)
+    return table, changed if bridged is None else changed.unionByName(bridged).distinct()
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, source: Callable[[], DataFrame], dest_path: str,

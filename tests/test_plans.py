@@ -3,11 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from flowruns import schema as S
-from flowruns.operators.runs import resolve_chunk_seconds
+from flowruns.operators.runs import resolve_chunks, with_chunk
 from flowruns.operators.summary import summarize_runs
 from flowruns.plans import jobs
 from flowruns.sources import fixtures as FX
@@ -73,21 +74,46 @@ def test_auto_chunk_splits_a_dense_device(spark):
             for i in range(20000)]
     rows += [("cold", t0 + dt.timedelta(minutes=i), 1.0, 1.0, 20, 2, 0) for i in range(50)]
     rdf = spark.createDataFrame(rows, S.READINGS_SCHEMA)
-    width = resolve_chunk_seconds(rdf, "auto", target_rows=1000)
-    assert 1 <= width < 3600
-    from pyspark.sql import functions as F
-
-    from flowruns.operators.runs import with_chunk
-    biggest = with_chunk(rdf, width).groupBy(S.DEVICE_ID, S.CHUNK).count().agg(F.max("count")).first()[0]
-    assert biggest <= 1000  # no window task holds more than the target, though one device has 99.75 %
-    a = sorted(tuple(r) for r in summarize_runs(rdf, width).select(S.DEVICE_ID, S.START, S.END, S.RECORDS).collect())
+    chunks = resolve_chunks(rdf, "auto", target_rows=1000)
+    per_chunk = with_chunk(rdf, chunks).groupBy(S.DEVICE_ID, S.CHUNK).count().collect()
+    # no window task holds more than the target, though one device has 99.75 % ...
+    assert max(r["count"] for r in per_chunk) <= 1000
+    # ... and the sparse device beside it keeps one chunk
+    assert sum(1 for r in per_chunk if r[S.DEVICE_ID] == "cold") == 1
+    a = sorted(tuple(r) for r in summarize_runs(rdf, chunks).select(S.DEVICE_ID, S.START, S.END, S.RECORDS).collect())
     b = sorted(tuple(r) for r in summarize_runs(rdf, 86400).select(S.DEVICE_ID, S.START, S.END, S.RECORDS).collect())
     assert a == b and sum(x[3] for x in a) == sum(1 for r in rows if r[2] != 0.0)
 
 
-def test_auto_chunk_widens_for_sparse_devices(spark):
-    width = resolve_chunk_seconds(readings(spark, SF_SMALL), "auto")
-    assert width >= 86400
+def test_auto_chunk_stays_wide_for_sparse_devices(spark):
+    rd = readings(spark, SF_SMALL)
+    assert with_chunk(rd).select(S.CHUNK).distinct().count() == 1
+
+
+def test_a_grown_source_is_split_anew(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+
+    def source(n):
+        return spark.createDataFrame([("a", t0 + dt.timedelta(seconds=i), 1.0, 1.0, 20, 2, 0) for i in range(n)],
+                                     S.READINGS_SCHEMA)
+
+    for n in (100, 5100):
+        chunks = resolve_chunks(source(n), "auto", target_rows=200)
+        assert with_chunk(source(n), chunks).groupBy(S.CHUNK).count().agg(F.max("count")).first()[0] <= 200
+
+
+def test_bounds_shuffle_the_readings_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(E.queries()["island_bounds"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "RUN_ID" not in p  # no join on the run
+    # one exchange of the readings, used by both branches; the per-chunk table crosses two
+    assert p.count("ReusedExchange") == 1 and p.count("- Exchange hashpartitioning") == 3
 
 
 @pytest.mark.parametrize("name,needle", [("scan_after_checkpoint", "GreaterThan(ts"),

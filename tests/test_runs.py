@@ -8,7 +8,7 @@ import pytest
 
 from brute import runs as brute_runs
 from flowruns import schema as S
-from flowruns.operators.runs import island_ids, neighbours
+from flowruns.operators.runs import island_bounds, island_ids, neighbours
 from flowruns.operators.summary import summarize_runs
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -151,3 +151,21 @@ def test_session_zone_timestamps_are_accepted(spark):
     a = sorted(tuple(r) for r in summarize_runs(ntz).select(S.START, S.END, S.RECORDS).collect())
     b = sorted(tuple(r) for r in summarize_runs(ltz).select(S.START, S.END, S.RECORDS).collect())
     assert a == b and len(a) == 2
+
+
+@pytest.mark.parametrize("chunk", [7, 60, 600, 86400 * 30])
+def test_bounds_across_chunks_equal_those_of_the_runs(spark, chunk):
+    rnd = random.Random(11)
+    rows = []
+    for dev, idle in (("a", 0.02), ("b", 0.3), ("c", 0.9), ("d", 0.0), ("e", 1.0)):
+        for i in range(200):  # repeated and equal timestamps among them
+            flow = 0.0 if rnd.random() < idle else rnd.choice([None, 1.0, 2.0])
+            rows.append(_r(dev, rnd.choice([i * 37, 37 * rnd.randrange(200)]), flow))
+    df = _df(spark, rows)
+    want = summarize_runs(df, 86400 * 30).select(S.DEVICE_ID, S.START, S.END, S.RECORDS)
+    got = island_bounds(df, chunk)
+    assert got.columns == [*df.columns, S.START, S.END]
+    per_run = got.groupBy(S.DEVICE_ID, S.START, S.END).count()
+    # runs of one device may share both bounds only when they lie in one instant
+    merged = want.groupBy(S.DEVICE_ID, S.START, S.END).sum(S.RECORDS)
+    assert sorted(map(tuple, per_run.collect())) == sorted(map(tuple, merged.collect()))

@@ -80,3 +80,34 @@ def test_backfill_can_be_repeated(spark):
     for _ in range(2):
         runner.run_backfill(spark, rd, f"{d}/bf", "2024-01-01 00:00:00", "2024-02-01 00:00:00")
     assert _keys(sinks.read_runs(spark, f"{d}/bf")) == _keys(FX.runs_whole(rd))
+
+
+def test_repairs_read_only_the_dates_they_can_change(spark):
+    d = tempfile.mkdtemp(prefix="flowruns-test-")
+    rd = readings(spark, SF_SMALL)
+    sinks.write_runs(FX.runs_cut(rd), f"{d}/runs")
+    stored = sinks.read_runs(spark, f"{d}/runs")
+    day = F.lit("2024-01-15").cast("date")
+    table, changed = jobs.repair_seam_windows_delta(rd, stored, *FX.SEAM_WINDOWS)
+    assert sinks.PART in table.columns and changed.count() > 0
+
+    def filters(df):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        return [line.split("PartitionFilters: ")[1].split("],")[0]
+                for line in text.splitlines() if "PartitionFilters: " in line and f"{d}/runs" in line]
+
+    for df in (sinks.dated(table).where(F.col(sinks.PART).isin([day])), changed):
+        got = filters(df)
+        assert got and all(sinks.PART in f for f in got), got
+
+
+def test_consolidation_heals_duplicates_and_lists_their_dates(spark):
+    rd = readings(spark, SF_SMALL)
+    both = jobs.materialize(FX.runs_cut_with_bridges(rd).unionByName(FX.runs_cut(rd).limit(7)))
+    table, changed = jobs.consolidate_delta(rd, both, FX.CUT)
+    whole = FX.runs_whole(rd)
+    assert _keys(table) == _keys(whole)
+    k = [S.DEVICE_ID, S.START, S.END]
+    gone = both.select(*k).exceptAll(whole.select(*k)).select(F.to_date(S.START)).distinct()
+    assert gone.exceptAll(changed).isEmpty()
+    assert jobs.heal_duplicates(whole)[1] is None
