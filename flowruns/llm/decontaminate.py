@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: shared n-gram seeds, then Smith-Waterman alignment.
 
 One pass over the documents finds, in each, the places of all n-word runs that the test items
-have, and keeps the passages around them (word numbers, not text). The runs' frequencies are summed
-over all documents. An item's seeds are its rare runs: all but those several times as frequent as
-its median run (at least ``least_seeds``; the measure is the item's own, so an item whose copies are
-everywhere still has seeds, and so has an edited copy beside many exact ones). Passages are joined to the items of the seeds they hold, and each such pair is aligned
-locally, word by word (match +2, mismatch -1, gap -1). A pair counts if its score reaches ``share``
+have, and keeps the passages around them (word numbers, not text). Every run that a passage shares with
+an item is a seed: around each, a window of the passage as long as the item and its margins; overlapping
+windows of an item are one. Each window is aligned locally with the item, word by word (match +2,
+mismatch -1, gap -1), unless it holds too few of the item's words to reach the limit at all. So how
+often a run occurs in the documents decides nothing, and many edited copies beside few exact ones are
+found. Equal passages of a task are aligned once. A pair counts if its score reaches ``share``
 of the item's greatest score, so edited and paraphrased copies are found.
 
 The test items travel to the tasks as one broadcast block of at most ``BLOCK_BYTES`` of text; a
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 from flowruns.llm.common import staged, table, text_key
 
 BLOCK_BYTES = 8 << 20
+#: A task remembers the result of about so many different passages (a hash and mostly an empty list each).
+KNOWN = 200_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 WORDS = re.compile(r"\w+")
 
@@ -62,24 +66,33 @@ class Items:
         order = np.argsort(h, kind="stable")
         self.runs, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
         self.item, self.place = (np.array([o[c] for o in occ], dtype=np.int64)[order] for c in (1, 2))
-        size = np.array([len(w) for w in self.words], dtype=np.int64)[self.item] if occ else np.zeros(0, np.int64)
+        self.size = np.array([len(w) for w in self.words], dtype=np.int64)
+        size = self.size[self.item] if occ else np.zeros(0, np.int64)
         margin = size // 4 + n
         of = lambda x: np.maximum.reduceat(x, self.first) if len(x) else x
         self.before, self.after = of(self.place + margin), of(size - self.place + margin)
-
-    def seeds(self, frequency: np.ndarray, least: int, common: int = 4) -> np.ndarray:
-        """Which occurrences are seeds: those of runs at most ``common`` times as frequent as the median of the
-        item's runs that occur at all, and its ``least`` rarest of these."""
-        run = np.repeat(np.arange(len(self.runs)), self.count)
-        often, out = frequency[run], np.zeros(len(run), dtype=bool)
-        order = np.lexsort((self.place, often, self.item))
-        order = order[often[order] > 0]
-        start = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-        for a, z in zip(start[:-1], start[1:]):
-            if z > a:
-                rank = order[a:z]
-                out[rank] = often[rank] <= common * often[rank[(z - a) // 2]]
-                out[rank[:least]] = True
+        self.bags = [np.unique(w, return_counts=True) for w in self.words]
+
+    def windows(self, ids: np.ndarray, runs: np.ndarray, places: np.ndarray, share: float) -> list[tuple[int, np.ndarray]]:
+        """(item, words) of the windows of a passage that can reach ``share`` of an item they share a run with."""
+        count = self.count[runs]
+        o = np.repeat(self.first[runs] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        item, at = self.item[o], np.repeat(places, count) - self.place[o]
+        _, last = np.unique(item * (1 << 32) + at + (1 << 31), return_index=True)  # by item and start, each once
+        item, at = item[last], at[last]
+        size = self.size[item]
+        lo, hi = np.maximum(at - size // 4 - self.n, 0), np.minimum(at + size + size // 4 + self.n, len(ids))
+        # an item's windows have one length, so their ends are in order too
+        new = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (lo[1:] > hi[:-1])]))
+        out = []
+        for x, y in zip(new.tolist(), np.append(new[1:], len(item)).tolist()):
+            i, part = int(item[x]), ids[lo[x]:hi[y - 1]]
+            # at best every word that both hold matches
+            words, most = self.bags[i]
+            held, often = np.unique(part, return_counts=True)
+            k = np.minimum(np.searchsorted(held, words), len(held) - 1)
+            if np.minimum(np.where(held[k] == words, often[k], 0), most).sum() >= share * len(self.words[i]):
+                out.append((i, part))
         return out
 
 
@@ -135,33 +148,31 @@ def passages(docs: DataFrame, items, key: str, text: str) -> DataFrame:
     return slim.mapInArrow(run, f"doc_id {kind}, text_hash long, ids array<int>, runs array<int>, places array<int>")
 
 
-def aligned(found: DataFrame, items, seeds, share: float, item_type: str) -> DataFrame:
-    """(doc_id, text_hash, item_id, score) of the passages that align with an item of one of their seeds."""
+def aligned(found: DataFrame, items, share: float, item_type: str) -> DataFrame:
+    """(doc_id, text_hash, item_id, score) of the passages that align with an item they share a run with."""
     def run(batches):
-        block, seed = items.value, seeds.value
+        block, known = items.value, {}
         for b in batches:
-            pairs = []
-            ids, runs, places = (b.column(c).to_pylist() for c in (2, 3, 4))
+            pairs, equal, new = [], defaultdict(list), {}
+            lists = [(c.values.to_numpy(), c.offsets.to_numpy()) for c in (b.column(c) for c in (2, 3, 4))]
             for r in range(b.num_rows):
-                spans = defaultdict(lambda: [1 << 30, 0])
-                for k, p in zip(runs[r], places[r]):
-                    for o in range(block.first[k], block.first[k] + block.count[k]):
-                        if seed[o]:
-                            i, size = int(block.item[o]), len(block.words[block.item[o]])
-                            lo = p - int(block.place[o]) - size // 4 - block.n
-                            s = spans[i]
-                            s[0], s[1] = min(s[0], max(lo, 0)), max(s[1], lo + size + 2 * (size // 4 + block.n))
-                words = np.array(ids[r], dtype=np.int32)
-                pairs += [(r, i, words[lo:hi]) for i, (lo, hi) in spans.items()]
+                ids, runs, places = (v[at[r]:at[r + 1]] for v, at in lists)
+                key = blake2b(ids.tobytes(), digest_size=16).digest()
+                equal[key].append(r)
+                if key not in known and key not in new:
+                    new[key] = []
+                    pairs += [(key, i, part) for i, part in block.windows(ids, runs, places, share)]
             pairs.sort(key=lambda x: len(x[2]))
-            out = []
             while pairs:
                 # as many pairs at once as fit about 4M cells a row, so long passages go a few at a time
                 take = max(1, min(len(pairs), 256, (4 << 20) // max(1, len(pairs[min(len(pairs), 256) - 1][2]))))
                 now, pairs = pairs[:take], pairs[take:]
                 best = align([block.words[i] for _, i, _ in now], [w for _, _, w in now])
-                out += [(r, i, s / (MATCH * len(block.words[i]))) for (r, i, _), s in zip(now, best.tolist())]
-            out = [x for x in out if x[2] >= share]
+                for (key, i, _), s in zip(now, best.tolist()):
+                    if (score := s / (MATCH * len(block.words[i]))) >= share:
+                        new[key].append((i, score))
+            out = [(r, *x) for key, rows in equal.items() for x in new.get(key, known.get(key, ())) for r in rows]
+            known.update(new if len(known) < KNOWN else ())
             if out:
                 pick = pa.array([x[0] for x in out])
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pick), b.column(1).take(pick), pa.array([block.ids[x[1]] for x in out]),
@@ -171,7 +182,7 @@ def aligned(found: DataFrame, items, seeds, share: float, item_type: str) -> Dat
     return found.mapInArrow(run, f"doc_id {kind}, text_hash long, item_id {item_type}, score double")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 4, share: float = 0.5, least_seeds: int = 8, text: str = "text",
+def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 4, share: float = 0.5, text: str = "text",
                  key: str = "doc_id", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, text_hash, item_id, score) of every document that holds a copy of a test item."""
     spark = docs.sparkSession
@@ -181,16 +192,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 4, share: float
     blocks, parts = max(1, -(-size // BLOCK_BYTES)), []
     for block in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()
-        here = Items(sorted(((r.i, r.t) for r in rows), key=lambda r: (r[0] is None, r)), n)
-        items = spark.sparkContext.broadcast(here)
+        items = spark.sparkContext.broadcast(Items(sorted(((r.i, r.t) for r in rows), key=lambda r: (r[0] is None, r)), n))
         found = staged(passages(docs, items, key, text), "passages")
-        counts = found.select(F.explode("runs").alias("k")).groupBy("k").agg(F.count("*").alias("n")).collect()  # runs of this block only
-        frequency = np.zeros(len(here.runs), dtype=np.int64)
-        for r in counts:
-            frequency[r.k] = r.n
-        seeds = spark.sparkContext.broadcast(here.seeds(frequency, least_seeds))
         # passages may sit in few files: spread the alignment evenly
-        parts.append(staged(aligned(found.repartition("doc_id", "text_hash"), items, seeds, share, item_type), "aligned"))
+        parts.append(staged(aligned(found.repartition("doc_id", "text_hash"), items, share, item_type), "aligned"))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)

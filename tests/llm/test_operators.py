@@ -279,6 +279,18 @@ def test_contaminated_finds_exact_and_edited_copies_only(spark, texts):
     assert contaminated(docs, bench.limit(0)).count() == 0 == contaminated(docs.limit(0), bench).count()
 
 
+def test_many_edited_copies_beside_one_exact_copy_are_found(spark):
+    from flowruns.llm.decontaminate import contaminated
+
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy(F.desc(F.length("text"))).limit(4)
+    rows = []
+    for r in bench.collect():
+        rows += [(len(rows), r.text)]
+        rows += [(len(rows) + k, " ".join(w if (j + 1) % 6 else f"changed{k}" for j, w in enumerate(r.text.split()))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    assert {r.doc_id for r in contaminated(docs, bench).collect()} == {r[0] for r in rows}
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     from flowruns.llm import decontaminate as d
 
