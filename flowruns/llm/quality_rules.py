@@ -1,9 +1,11 @@
 """Quality rules: divergence of a document's histograms from its language's reference.
 
 Two histograms of every document are compared with those of its language by Jensen-Shannon
-distance (base 2, from 0 to 1): character classes (upper case, digits, marks, all others) and
-common words (the ``top_words`` words most frequent in the language, and
-all others as one bin). The references are counted over all documents. A document is
+distance (base 2, from 0 to 1): character classes (``CLASSES``) and common words (the ``top_words``
+words most frequent in the language; the ``BANDS[-1]`` most frequent after these, in one bin per band
+of ranks; and all others as one bin). The bands hold about a third of a language's words, so a text
+without any common word is beyond the limit, while a short text's chance choice of words hardly
+counts. The references are counted over all documents. A document is
 rejected if either distance exceeds its limit; histograms of fewer than ``min_chars`` characters
 or ``min_words`` words say too little and are not judged (the guards).
 
@@ -12,7 +14,7 @@ three words.
 
 Everything is DataFrame functions. Per-document figures come from the document's own row (arrays
 of words and sorted hashes), so no document is shuffled; the references are partial sums per
-task and one row per language, joined by broadcast after a check of their number.
+task and one row per language (its words in ``SLOTS`` slots by hash, so a word is looked up in one step), joined by broadcast after a check of their number.
 
 Defined cases: a null or blank text has no words, fails the base rules and is not kept; null
 languages form a language of their own; a language whose documents are all blank has no reference
@@ -28,8 +30,14 @@ from flowruns.llm.common import BLANKS, staged, table
 
 #: Characters that count as symbols.
 SYMBOLS = "[#*$%&|<>]"
-#: Beyond so many languages the references (under 4 KB each) are joined by shuffle, not broadcast.
-BROADCAST_LANGS = 2_000
+#: Character classes that are counted: A-Z and other capitals, digits, ASCII marks, a-z, blanks, other letters, all else.
+CLASSES = 7
+#: Ranks, after the top words, that end a band of common words. (Up to 1000 words in all, Spark cuts the ranking in the
+#: tasks before its shuffle, spark.sql.optimizer.windowGroupLimitThreshold.)
+BANDS = (64, 256, 896)
+SLOTS = 1024
+#: Beyond so many languages the references (mostly under 50 KB each) are joined by shuffle, not broadcast.
+BROADCAST_LANGS = 1_000
 
 
 def words_of(text: Column) -> Column:
@@ -46,14 +54,18 @@ def kept_chars(text: Column, others: str) -> Column:
 
 
 def char_classes(text: Column) -> Column:
-    """Counts of [upper case, digits, ASCII marks, all else] in a text. Plain lower-case letters and
-    spaces go in one pass; the classes are counted in the little that is left."""
+    """Counts of ``CLASSES`` in a text. Plain lower-case letters and spaces go in one pass, and the other
+    classes are counted in the little that is left."""
     t = F.coalesce(text, F.lit(""))
     def counts(rest: Column) -> Column:
-        upper, digit, mark = (kept_chars(rest, others) for others in (r"\P{Lu}+", r"\P{Nd}+", r"\P{Punct}+"))
-        return F.struct(upper.alias("u"), digit.alias("d"), mark.alias("m"))
-    four = lambda c: F.array(*[x.cast("double") for x in (c["u"], c["d"], c["m"], F.length(t) - c["u"] - c["d"] - c["m"])])
-    return bind(bind(F.regexp_replace(t, "[a-z ]+", ""), counts), four)
+        upper, digit, mark, blank, letter = (kept_chars(rest, others) for others in (
+            r"\P{Lu}+", r"\P{Nd}+", r"\P{Punct}+", r"[^\x20\x09-\x0D]+", r"[\P{L}\p{Lu}]+"))
+        space = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit("")))
+        return F.struct(upper.alias("u"), digit.alias("d"), mark.alias("m"), (F.length(t) - F.length(rest) - space).alias("a"),
+                        (blank + space).alias("b"), space.alias("s"), letter.alias("l"), F.length(rest).alias("n"))
+    def every(c: Column) -> Column:
+        return F.array(*[x.cast("double") for x in (c["u"], c["d"], c["m"], c["a"], c["b"], c["l"], c["n"] - c["u"] - c["d"] - c["m"] - (c["b"] - c["s"]) - c["l"])])
+    return bind(bind(F.regexp_replace(t, "[a-z ]+", ""), counts), every)
 
 
 def repeated_words(df: DataFrame, words: str, name: str) -> DataFrame:
@@ -105,26 +117,41 @@ def distance(p: Column, q: Column) -> Column:
     return bind(F.struct(total(p).alias("p"), total(q).alias("q")), with_totals)
 
 
+def slot(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
+
+
+def mark(i: int) -> str:
+    """The character that stands for the words of bin ``i`` while they are counted."""
+    return chr(0x100 + i)
+
+
 def references(docs: DataFrame, text: str, lang: str, top_words: int) -> DataFrame:
-    """One row per language: its common words, their counts and the rest's, and its character classes."""
+    """One row per language: its common words by slot, the counts of their bins and the rest's, and its character classes."""
     chars = docs.select(F.col(lang).cast("string").alias("lang"), char_classes(F.col(text)).alias("c")).groupBy("lang").agg(
-        F.array(*[F.sum(F.col("c")[i]) for i in range(4)]).alias("ref_chars"))
+        F.array(*[F.sum(F.col("c")[i]) for i in range(CLASSES)]).alias("ref_chars"))
     words = docs.select(F.col(lang).cast("string").alias("lang"), F.explode(words_of(F.col(text))).alias("word"))
     counts = staged(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counts.withColumn("k", F.row_number().over(order)).where(F.col("k") <= top_words).groupBy("lang").agg(
-        F.sort_array(F.collect_list(F.struct("k", "word", "n"))).alias("top"))
+    band = F.col("k") - 1
+    for i, end in enumerate(BANDS):
+        band = F.when(F.col("k") > top_words + (0, *BANDS)[i], top_words + i).otherwise(band)
+    bins = top_words + len(BANDS)
+    top = counts.withColumn("k", F.row_number().over(order)).where(F.col("k") <= top_words + BANDS[-1]).withColumn("band", band.cast("int"))
+    shown = F.array(*[F.sum(F.when(F.col("band") == i, F.col("n")).otherwise(0)).cast("double") for i in range(bins)])
+    top = top.groupBy("lang").agg(F.collect_list(F.struct(slot(F.col("word")).alias("slot"), "word", "band")).alias("top"), shown.alias("shown"))
     total = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     both = top.join(total, top["lang"].eqNullSafe(total["lang"])).drop(total["lang"])
-    shown = F.transform("top", lambda x: x["n"].cast("double"))
-    rest = F.col("all").cast("double") - F.aggregate(shown, F.lit(0.0), lambda s, x: s + x)
-    both = both.select("lang", F.transform("top", lambda x: x["word"]).alias("common"),
-                       F.array_max(F.transform("top", lambda x: F.octet_length(x["word"]))).alias("longest"), F.concat(shown, F.array(rest)).alias("ref_words"))
+    rest = F.col("all").cast("double") - F.aggregate("shown", F.lit(0.0), lambda s, x: s + x)
+    marks = F.array(*[F.lit(mark(i)) for i in range(bins)])
+    slots = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.map_from_entries(F.transform(
+        F.filter("top", lambda x: x["slot"] == i), lambda x: F.struct(x["word"], F.get(marks, x["band"])))))
+    both = both.select("lang", slots.alias("slots"), F.concat("shown", F.array(rest)).alias("ref_words"))
     return chars.join(both, chars["lang"].eqNullSafe(both["lang"]), "left").drop(both["lang"])
 
 
 def judged(docs: DataFrame, top_words: int = 16, min_words: int = 50, min_chars: int = 200, most_chars: float = 0.2,
-           most_words: float = 0.45, text: str = "text", lang: str = "lang") -> DataFrame:
+           most_words: float = 0.36, text: str = "text", lang: str = "lang") -> DataFrame:
     """(row, figures) of every row of ``docs``: ``row`` is the row itself, ``figures`` a struct of
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance,
     word_distance, kept."""
@@ -135,12 +162,13 @@ def judged(docs: DataFrame, top_words: int = 16, min_words: int = 50, min_chars:
     out = out.join(refs, F.col("row")[lang].cast("string").eqNullSafe(F.col("_lang")), "left")
 
     def word_figures(w: Column) -> Column:
-        common = F.filter(w, lambda x: (F.octet_length(x) <= F.col("longest")) & F.array_contains(F.col("common"), x))
-        def counts(hits):
-            seen = F.transform(F.col("common"), lambda c: F.size(F.filter(hits, lambda h: h == c)).cast("double"))
-            return F.concat(seen, F.array((F.size(w) - F.size(hits)).cast("double")))
+        # one character per common word, so that a bin is counted by what is gone without its character
+        hits = F.array_join(F.transform(w, lambda x: F.get(F.col("slots"), slot(x))[x]), "")
+        def counts(h):
+            seen = [(F.length(h) - F.length(F.replace(h, F.lit(mark(i)), F.lit("")))).cast("double") for i in range(top_words + len(BANDS))]
+            return F.array(*seen, (F.size(w) - F.length(h)).cast("double"))
         return F.struct(F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-                        distance(bind(common, counts), F.col("ref_words")).alias("word_distance"))
+                        distance(bind(hits, counts), F.col("ref_words")).alias("word_distance"))
 
     out = repeated_words(out.withColumn("words", words_of(t)), "words", "n_repeat_words")
     out = out.select("row", "n_repeat_words", word_figures(F.col("words")).alias("w"),

@@ -361,6 +361,27 @@ def test_quality_rejects_junk_and_keeps_columns(spark, odd_docs, no_docs):
     assert (d.a, d.b) == (1.0, 0.0)
 
 
+def test_quality_rejects_wrong_languages_and_texts_without_common_words(spark):
+    from flowruns.llm.quality_rules import judged
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    good = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1").select("doc_id")
+    plain = [r for r in docs.join(good, "doc_id").where("length(text) > 1500").orderBy("doc_id").collect()]
+    wrong = [next(r.text for r in plain if r.lang == a) for a in ("en", "fr", "de", "es")]
+    rng = np.random.default_rng(3)
+    letters = lambda first, n: "".join(chr(first + x) for x in rng.integers(0, n, 7))
+    odd = [(-1 - i, t, lang) for i, (t, lang) in enumerate(zip(wrong, ("de", "es", "en", "fr")))]
+    odd += [(-10, " ".join(letters(97, 26) for _ in range(200)), "en"), (-11, " ".join(letters(0x3B1, 16) for _ in range(200)), "en"),
+            (-12, " ".join(letters(0x4E00, 900) for _ in range(200)), "de"), (-13, " ".join(letters(0x1F600, 40) for _ in range(200)), "en")]
+    out = judged(docs.union(spark.createDataFrame(odd, docs.schema)))
+    out = {r.doc_id: r for r in out.select("row.doc_id", "figures.*").collect()}
+    assert not any(out[x[0]].base_failed or out[x[0]].kept for x in odd)
+    assert all(out[x].word_distance > 0.36 for x in (-1, -2, -3, -4, -10))
+    assert all(out[x].char_distance > 0.2 for x in (-11, -12, -13))
+    judge = [out[r.doc_id] for r in plain if not out[r.doc_id].base_failed]
+    assert sum(r.kept for r in judge) >= 0.99 * len(judge)
+
+
 # 8 classifier
 def test_classifier_on_held_out_rows(spark):
     from flowruns.llm.classifier import op8_rule_quality
