@@ -1,8 +1,10 @@
 """Substring dedup by sliding spans of sentences.
 
 A text is cut into sentences, and these into their clauses, so that a long sentence beside an edited one
-can still be matched (ends are ``. ! ? , ; :`` and line ends; a piece of over ``LONG`` words without one is cut after words chosen by their hash; "sentence"
-below means such a piece). From each sentence starts a
+can still be matched (ends are ``. ! ? , ; :``, their full-width and other scripts' kin, and line ends; a piece of over ``LONG``
+words without one is cut after the least word hash of every ``GAP`` words on end, so its parts have at most ``GAP`` words and
+equal words are cut alike, but for ``GAP`` at both ends; "sentence" below means such a piece). Characters of scripts without
+blanks count as words. From each sentence starts a
 span: the shortest run of consecutive sentences with at least ``sentences`` sentences and ``words``
 words. Spans are hashed (128 bits of their lower-case words) and joined over all documents. Of equal spans
 the first (by doc_id, text, place) stays; every sentence covered by any other is removed.
@@ -29,10 +31,34 @@ from pyspark.sql import DataFrame, functions as F
 
 from flowruns.llm.common import staged, table, text_key
 
-PIECE = re.compile(rb"[^.!?,;:\n]+[.!?,;:\n]*\s*|[.!?,;:\n]+\s*")
+#: Ends: ASCII marks, and those of CJK, full-width, Arabic, Devanagari, Ethiopic, Burmese and Khmer texts, in UTF-8.
+END = (rb"(?:[.!?,;:\n]|\xe3\x80[\x81\x82]|\xef\xbc[\x81\x8c\x8e\x9a\x9b\x9f]|\xef\xbd[\xa1\xa4]|\xe2\x80[\xa6\xbc]|\xe2\x81[\x87-\x89]"
+       rb"|\xd8[\x8c\x9b\x9f]|\xdb\x94|\xe0\xa5[\xa4\xa5]|\xe1\x8d[\xa1-\xa8]|\xe1\x81[\x8a\x8b]|\xe1\x9f[\x94\x95])")
+LEAD = rb"\xd8\xdb\xe0-\xe3\xef"
+PIECE = re.compile(rb"(?:[^.!?,;:\n" + LEAD + rb"]++|(?!" + END + rb")[" + LEAD + rb"])++" + END + rb"*\s*|" + END + rb"+\s*")
+PLAIN = re.compile(rb"[^.!?,;:\n]+[.!?,;:\n]*\s*|[.!?,;:\n]+\s*")  # the same for texts without the first bytes below
+OTHER = re.compile(rb"[\xd8\xdb\xe0-\xe9\xef]")
+#: A character of a script without blanks (Chinese, Japanese, Thai, Lao, Burmese, Khmer).
+UNSPACED = rb"(?:[\xe3-\xe9][\x80-\xbf]{2}|\xe0[\xb8-\xbb][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf])"
+WIDE = re.compile(UNSPACED)
+UNIT = re.compile(rb"(?:" + UNSPACED + rb"|(?:(?!" + UNSPACED + rb")[^\x20\x09-\x0D])+)[\x20\x09-\x0D]*")
 SPACED = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 LETTER = re.compile(rb"[0-9A-Za-z\x80-\xff]")
 LONG = 24
+GAP = 8
+
+
+def cuts_of(words: list[bytes]) -> list[int]:
+    """Places after the least hash (the last of equal ones) of every ``GAP`` words on end."""
+    h, best, out = [crc32(x) for x in words], -1, []
+    for i in range(GAP - 1, len(h)):
+        if best <= i - GAP:
+            best = min(range(i, i - GAP, -1), key=h.__getitem__)
+        elif h[i] <= h[best]:
+            best = i
+        if not out or out[-1] != best + 1:
+            out.append(best + 1)
+    return out[:-1] if out[-1] == len(h) else out
 
 
 def sentences_of(text: bytes) -> tuple[list[int], list[bytes]]:
@@ -40,11 +66,13 @@ def sentences_of(text: bytes) -> tuple[list[int], list[bytes]]:
 
     Pieces without a letter or digit belong to the sentence before them; the sentences cover the text."""
     bounds, words = [0], []
-    for m in PIECE.finditer(text):
-        w = m[0].lower().split()
+    other = OTHER.search(text)
+    for m in (PIECE if other else PLAIN).finditer(text):
+        word = UNIT if other and WIDE.search(m[0]) else SPACED
+        w = m[0].lower().split() if word is SPACED else [x[0].strip() for x in UNIT.finditer(m[0].lower())]
         if len(w) > LONG:
-            at = [x.end() for x in SPACED.finditer(m[0])]  # ends of the words, with the blanks after them
-            cuts = [i + 1 for i, x in enumerate(w[:-1]) if crc32(x) % 8 == 0]
+            at = [x.end() for x in word.finditer(m[0])]  # ends of the words, with the blanks after them
+            cuts = cuts_of(w)
             for a, z in zip([0, *cuts], [*cuts, len(w)]):
                 bounds.append(m.start() + at[z - 1])
                 words.append(b" ".join(w[a:z]))

@@ -460,6 +460,30 @@ def test_repeated_passages_lose_all_but_the_first(spark):
         assert marks(b"".join(words)) == marks(t.lower().encode())
 
 
+def test_repeats_in_texts_without_marks_or_blanks(spark):
+    from flowruns.llm.substring import GAP, cuts_of, without_repeats
+
+    rng = np.random.default_rng(5)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    han = lambda n: "".join("".join(chr(0x4E00 + x) for x in rng.integers(0, 9000, 9)) + "，。！"[i % 3] for i in range(n))
+    docs, passages = [], [words(51) for _ in range(100)]
+    for p in passages:
+        docs += [(len(docs) + k, f"{words(40)} {p} {words(40)}") for k in range(2)]
+    same, inside, unmarked = han(8), han(7), "".join(chr(0x4E00 + x) for x in rng.integers(0, 9000, 120))
+    docs += [(1000, same), (1001, same), (1002, f"{han(4)}{inside}{han(4)}"), (1003, f"{han(4)}{inside}{han(4)}"), (1004, unmarked), (1005, unmarked)]
+    out = {r.row.doc_id: r.text for r in without_repeats(spark.createDataFrame(docs, "doc_id int, text string")).collect()}
+    texts = dict(docs)
+    for i, p in enumerate(passages):
+        assert out[2 * i] == texts[2 * i]
+        kept = out[2 * i + 1].split()
+        assert len(kept) <= 80 + 51 - 20 and set(kept) >= set(texts[2 * i + 1].split()) - set(p.split())
+    assert [out[k] for k in (1000, 1002, 1004)] == [same, texts[1002], unmarked]
+    assert out[1001] == "" and len(out[1005]) <= GAP and out[1003] == texts[1003].replace(inside, "")
+    for n in (25, 100):
+        cuts = cuts_of(words(n).encode().split())
+        assert max(np.diff([0, *cuts, n])) <= GAP
+
+
 # pipeline
 def test_pipeline_against_plain_python(spark, texts, odd_docs, no_docs):
     import corpus_pipeline as p
