@@ -6,11 +6,15 @@ aggregates used as scalar subqueries, never collected into driver-side strings.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
 from flowruns.functions import add_seconds, day_diff, next_day, ntz, trunc_day
+from flowruns.session import materialize, small_side
+from flowruns.sources.versions import Version
 
 
 def _ts(v) -> Column:
@@ -58,6 +62,24 @@ def adjacent_extents(runs: DataFrame, before: Column, after: Column) -> DataFram
     return agg.where(F.col(S.START).isNotNull() & F.col(S.END).isNotNull())
 
 
+def last_starts(runs: DataFrame, devices: DataFrame, version: Version | None = None) -> DataFrame:
+    """(DEVICE_ID, START): the latest START among the ``runs`` of each of the ``devices``.
+
+    ``version`` is the stored version that ``runs`` was read from: its dates are then read from the newest back, in
+    steps that double, for the devices not found yet; most have a run on the newest few."""
+    def latest(rows: DataFrame, left: DataFrame) -> DataFrame:
+        return rows.join(left, S.DEVICE_ID, "left_semi").groupBy(S.DEVICE_ID).agg(F.max(S.START).alias(S.START))
+
+    if version is None:
+        return latest(runs, devices)
+    days, step, left, found = sorted(version.dates, reverse=True), 4, small_side(materialize(devices)), []
+    while days and not left.isEmpty():
+        found.append(materialize(latest(runs.where(version.on(days[:step])), left)))
+        left = small_side(materialize(left.join(found[-1], S.DEVICE_ID, "left_anti")))
+        days, step = days[step:], 2 * step
+    return reduce(DataFrame.unionByName, found) if found else latest(runs, devices)
+
+
 def consolidate_extents(runs: DataFrame, at) -> DataFrame:
     """The pair of runs on either side of the cut ``at`` of each device."""
     t = _ts(at)

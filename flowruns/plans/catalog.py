@@ -13,15 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
-from flowruns.functions import seam_bounds
+from flowruns.functions import epoch_seconds, seam_bounds
 from flowruns.operators import extents as X
 from flowruns.operators import repair as P
+from flowruns.operators.late import late_intervals
 from flowruns.operators.runs import island_bounds, island_ids, neighbours, nonzero_readings, prune_readings, zero_flag
 from flowruns.operators.summary import summarize_runs, summarize_view
-from flowruns.plans import jobs
+from flowruns.plans import jobs, runner
 from flowruns.sources import fixtures as FX
 from flowruns.session import ensure_checkpoint_dir
-from flowruns.sources import sinks
+from flowruns.sources import sinks, versions
 from flowruns.sources.readers import read_source
 from flowruns.sources.readers import readings as load_readings
 from flowruns.sources.scans import extent_bounds, scan_after, scan_closed_devices, scan_half_open, scan_seam, scan_seam_windows
@@ -278,21 +279,59 @@ def build() -> dict[str, Query]:
     q["job_consolidate_capped"] = job_consolidate_capped
 
     def job_publish_recovery(spark, sf):
-        """A consolidation stops after part of its dates are published; the next job completes it."""
-        from flowruns.plans import runner
-
+        """A consolidation stops after it wrote its rows, before it took a version; the next job does it all."""
         rd = load_readings(spark, sf)
         root = _folder(spark, "recovery")
-        sinks.write_runs(FX.runs_cut(rd), f"{root}/runs")
-        table, changed = jobs.consolidate_delta(rd, sinks.read_runs(spark, f"{root}/runs"), FX.CUT)
-        staging, days, _ = sinks.stage_dates(table, f"{root}/runs", changed)
-        if days:
-            spark.read.parquet(staging).where(F.col(sinks.PART) < F.lit(days[-1])).write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic").partitionBy(sinks.PART).parquet(f"{root}/runs")
+        base = sinks.write_runs(FX.runs_cut(rd), f"{root}/runs")
+        table, changed = jobs.consolidate_delta(rd, sinks.read_runs(spark, f"{root}/runs"), FX.CUT, version=base)
+        if changed is not None:
+            rows = sinks.dated(table).join(changed, sinks.PART, "left_semi")
+            versions.write_publish(rows.select(*S.RUN_COLUMNS, sinks.PART), f"{root}/runs", base.number + 1)
         runner.run_consolidate(spark, rd, f"{root}/runs", FX.CUT)
         return present(sinks.read_runs(spark, f"{root}/runs"), S.RUN_COLUMNS)
     q["job_publish_recovery"] = job_publish_recovery
 
+    def job_concurrent_publish(spark, sf):
+        """A load overtakes a consolidation of the same table: the load publishes while the consolidation
+        computes, which then starts again from the newer version, so that no row of either is lost."""
+        rd, root = load_readings(spark, sf), _folder(spark, "overlap")
+        sinks.write_runs(FX.runs_daily(rd.where(F.col(S.TIMESTAMP) < _cut_ts())), f"{root}/runs")
+        loads = []
+
+        def consolidation(runs, version):
+            table, changed = jobs.consolidate_range_delta(rd, runs, FX.DAILY_FROM, FX.DAILY_TO, version=version)
+            changed = None if changed is None else jobs.materialize(changed)
+            if not loads:
+                loads.append(runner.run_incremental(spark, rd, f"{root}/runs", f"{root}/checkpoints"))
+            return table, changed
+
+        versions.commit(spark, f"{root}/runs", consolidation, heals=True)
+        return present(sinks.read_runs(spark, f"{root}/runs"), S.RUN_COLUMNS)
+    q["job_concurrent_publish"] = job_concurrent_publish
+
+    def zone_map_scan(spark, sf):
+        """S5's END arm on the stored table: the zone map chooses the folders."""
+        rd, path = load_readings(spark, sf), f"{_folder(spark, 'zones')}/runs"
+        version = sinks.write_runs(FX.runs_cut(rd), path)
+        return present(scan_seam_windows(sinks.read_runs(spark, path), *FX.SEAM_WINDOWS, version), S.RUN_COLUMNS)
+    q["zone_map_scan"] = zone_map_scan
+
+    def job_range_delete(spark, sf):
+        """S8 as a job on the stored table."""
+        rd, path = load_readings(spark, sf), f"{_folder(spark, 'delete')}/runs"
+        sinks.write_runs(FX.runs_cut(rd), path)
+        stored_runs = sinks.read_runs(spark, path)
+        runner.run_delete(spark, X.consolidate_extents(stored_runs, FX.CUT), path)
+        return present(sinks.read_runs(spark, path), S.RUN_COLUMNS)
+    q["job_range_delete"] = job_range_delete
+
+    def _late_intervals(spark, sf):
+        """What the late tenth of the readings can change in the runs of the others."""
+        rd = load_readings(spark, sf)
+        late = epoch_seconds(S.TIMESTAMP) % FX.LATE_EVERY == 0
+        return late_intervals(stored(FX.runs_whole(rd.where(~late))), rd.where(late)).select(S.DEVICE_ID, S.START, S.END)
+    q["late_intervals"] = _late_intervals
+
     def streamed(spark, sf, step) -> DataFrame:
         """The run table after streaming the events in ``STREAM_STEPS`` deliveries (``step``: a column from 0);
         after each, the table must equal a full recompute of what was delivered."""

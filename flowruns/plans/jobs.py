@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from flowruns import schema as S
 from flowruns.functions import day_diff, ntz
-from flowruns.operators.extents import adjacent_extents, consolidate_extents, device_extents
+from flowruns.operators.extents import consolidate_extents, device_extents, last_starts
 from flowruns.operators.repair import (
     confirm_bridges,
     dedupe_same_end,
     dedupe_same_start,
     duplicate_ends,
     duplicate_starts,
+    range_delete,
     recompute_extents,
     replace_covered,
     runs_within,
@@ -34,6 +35,7 @@ from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, resolve_chunks
 from flowruns.operators.summary import summarize_runs
 from flowruns.session import materialize, small_side
 from flowruns.sources.scans import scan_half_open, scan_per_extent, scan_seam, scan_seam_windows, scan_started
+from flowruns.sources.versions import Version
 
 
 def _ts(v) -> Column:
@@ -86,30 +88,55 @@ def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFram
     return replace_covered(runs, bridges), changed
 
 
+def delete_delta(runs: DataFrame, extents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``(the runs without those inside their device's extents, changed start dates)``."""
+    extents = materialize(extents)
+    n, lo, hi = _stats(extents)
+    if not n:
+        return runs, None
+    extents = small_side(extents)
+    near = scan_started(runs, lo, hi + dt.timedelta(seconds=1))  # END is compared in whole seconds
+    gone = near.join(range_delete(near, extents).select(S.DEVICE_ID, S.START, S.END), [S.DEVICE_ID, S.START, S.END], "left_anti")
+    return range_delete(runs, extents), start_dates(gone)
+
+
 def start_dates(*runs: DataFrame) -> DataFrame:
     """The distinct start dates of all the given runs."""
     starts = reduce(DataFrame.unionByName, [r.select(S.START) for r in runs])
     return starts.select(F.to_date(S.START).alias(S.START_DATE)).distinct()
 
 
-def heal_duplicates(runs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def heal_duplicates(runs: DataFrame, version: Version | None = None, changed: DataFrame | None = None
+                    ) -> tuple[DataFrame, DataFrame | None]:
     """S9 then S10 over the whole table: ``(table, changed start dates or None)``.
 
-    Finding the duplicate keys reads three columns; with none, the table is returned as it is."""
-    changed = []
-    for find, dedupe, keys in ((duplicate_starts, dedupe_same_start, [S.DEVICE_ID, S.START]),
-                               (duplicate_ends, dedupe_same_end, [S.DEVICE_ID, S.END])):
-        keyed = materialize(find(runs).select(*keys))
+    Finding the duplicate keys reads three columns; with none, the table is returned as it is. ``version`` is the stored
+    version that ``runs`` comes from, and ``changed`` the dates that differ from it: what the last healing left is
+    without duplicates, so only the dates written since are searched, and for equal ENDs the dates whose zones meet theirs."""
+    fresh = same_end = F.lit(True)
+    if version is not None:
+        days = set(version.changed_since(version.healed)) | ({r[0] for r in changed.collect()} if changed is not None else set())
+        if not days:
+            return runs, None
+        fresh = version.on(days)
+        lo, hi = runs.where(fresh).agg(F.min(S.END), F.max(S.END)).first()
+        same_end = fresh if lo is None else fresh | version.ending(lo, hi)
+    out = []
+    for find, dedupe, keys, where in ((duplicate_starts, dedupe_same_start, [S.DEVICE_ID, S.START], fresh),
+                                      (duplicate_ends, dedupe_same_end, [S.DEVICE_ID, S.END], same_end)):
+        keyed = materialize(find(runs.where(where)).select(*keys))
         if not keyed.isEmpty():
             keyed = small_side(keyed)
-            changed.append(start_dates(runs.join(keyed, keys, "left_semi")))
+            out.append(start_dates(runs.where(where).join(keyed, keys, "left_semi")))
             runs = dedupe(runs, keyed)
-    return runs, reduce(DataFrame.unionByName, changed).distinct() if changed else None
+    return runs, reduce(DataFrame.unionByName, out).distinct() if out else None
 
 
-def _healed(repaired: tuple[DataFrame, DataFrame | None]) -> tuple[DataFrame, DataFrame | None]:
-    table, changed = heal_duplicates(repaired[0])
-    both = [c for c in (repaired[1], changed) if c is not None]
+def _healed(repaired: tuple[DataFrame, DataFrame | None], version: Version | None) -> tuple[DataFrame, DataFrame | None]:
+    table, changed = repaired
+    changed = None if changed is None else materialize(changed)
+    table, more = heal_duplicates(table, version, changed)
+    both = [c for c in (changed, more) if c is not None]
     return table, reduce(DataFrame.unionByName, both).distinct() if both else None
 
 
@@ -120,11 +147,11 @@ def repair_extents(readings: DataFrame, runs: DataFrame, extents: DataFrame,
 
 
 def consolidate_delta(readings: DataFrame, runs: DataFrame, at, cap_days: float | None = None,
-                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (), version: Version | None = None):
     extents = consolidate_extents(runs, at)
     if cap_days is not None:
         extents = extents.where(_within_cap(cap_days))
-    return _healed(repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak))
+    return _healed(repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak), version)
 
 
 def _within_cap(cap_days: float) -> Column:
@@ -148,13 +175,15 @@ def consolidate(readings: DataFrame, runs: DataFrame, at, cap_days: float | None
 
 
 def consolidate_range_delta(readings: DataFrame, runs: DataFrame, frm, to,
-                            chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                            chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (), version: Version | None = None):
     """G4 over every cut in ``[frm, to)`` at once (see ``consolidate_range``)."""
     st, en = F.col(S.START), F.col(S.END)
     overlapping = runs.where((st < _ts(to)) & (en >= _ts(frm)))
     if S.START_DATE in runs.columns:
         overlapping = overlapping.where(F.col(S.START_DATE) <= F.to_date(_ts(to)))
-    return _healed(repair_extents_delta(readings, runs, device_extents(overlapping), chunk_seconds, tiebreak))
+    if version is not None:
+        overlapping = overlapping.where(version.ending(runs.sparkSession.range(1).select(_ts(frm)).first()[0]))
+    return _healed(repair_extents_delta(readings, runs, device_extents(overlapping), chunk_seconds, tiebreak), version)
 
 
 def consolidate_range(readings: DataFrame, runs: DataFrame, frm, to,
@@ -171,8 +200,8 @@ def consolidate_range(readings: DataFrame, runs: DataFrame, frm, to,
 
 
 def repair_seam_delta(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds: int = 1,
-                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
-    extents = device_extents(scan_seam(runs, _ts(batch_start), seam_seconds))
+                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (), version: Version | None = None):
+    extents = device_extents(scan_seam(runs, _ts(batch_start), seam_seconds, version))
     return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)
 
 
@@ -184,25 +213,23 @@ def repair_seam(readings: DataFrame, runs: DataFrame, batch_start, seam_seconds:
 
 
 def stitch_delta(readings: DataFrame, kept: DataFrame, new_runs: DataFrame,
-                 chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                 chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (), version: Version | None = None):
     """``kept`` stored runs and later ``new_runs`` as one table, the last kept and the first new run of
     a device bridged where the readings show one run. Returns ``(table, changed start dates or None)``.
 
-    Only devices with new runs, and only three columns of ``kept``, are read for the extents."""
+    Only devices with new runs, and only three columns of ``kept`` (of the newest dates of its ``version``, where
+    the device has a run there), are read for the extents."""
     if S.START_DATE in kept.columns:
         new_runs = new_runs.withColumn(S.START_DATE, F.to_date(S.START))
     merged = kept.unionByName(new_runs.select(*kept.columns))
-    before = kept.join(new_runs.select(S.DEVICE_ID).distinct(), S.DEVICE_ID, "left_semi")
-    keys = [S.DEVICE_ID, S.START, S.END]
-    both = (before.select(*keys).withColumn("_NEW", F.lit(False))
-            .unionByName(new_runs.select(*keys).withColumn("_NEW", F.lit(True))))
-    extents = adjacent_extents(both, ~F.col("_NEW"), F.col("_NEW"))
+    first = new_runs.groupBy(S.DEVICE_ID).agg(F.min(S.END).alias(S.END))
+    extents = last_starts(kept, first.select(S.DEVICE_ID), version).join(first, S.DEVICE_ID)
     return repair_extents_delta(readings, merged, extents, chunk_seconds, tiebreak)
 
 
 def repair_seam_windows_delta(readings: DataFrame, runs: DataFrame, start, start1, end, end1,
-                              chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
-    extents = device_extents(scan_seam_windows(runs, start, start1, end, end1))
+                              chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (), version: Version | None = None):
+    extents = device_extents(scan_seam_windows(runs, start, start1, end, end1, version))
     return repair_extents_delta(readings, runs, extents, chunk_seconds, tiebreak)
 
 
@@ -214,7 +241,7 @@ def repair_seam_windows(readings: DataFrame, runs: DataFrame, start, start1, end
 
 
 def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,
-                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()):
+                      chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (), version: Version | None = None):
     """``incremental`` returning ``(new run table, new checkpoint row, changed start dates)``."""
     cp = checkpoints.agg(F.max(S.TIMESTAMP)).first()[0]
     if cp is None:  # only then the destination is read for its newest END (A12)
@@ -230,6 +257,8 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
 
     lo = cp - dt.timedelta(seconds=int(lateness_seconds))
     touched_runs = runs.where(end > _ts(lo))
+    if version is not None:  # the folders that hold such a run
+        touched_runs = touched_runs.where(version.ending(lo))
     touched = materialize(touched_runs.groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM")))
     first_from = touched.agg(F.min("_FROM")).first()[0]
     touched = small_side(touched)
@@ -242,7 +271,7 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
     chunk_seconds = resolve_chunks(batch, chunk_seconds)
     new_runs = materialize(summarize_runs(batch, chunk_seconds, tiebreak))
 
-    out, bridged = stitch_delta(readings, runs.where(end <= _ts(lo)), new_runs, chunk_seconds, tiebreak)
+    out, bridged = stitch_delta(readings, runs.where(end <= _ts(lo)), new_runs, chunk_seconds, tiebreak, version)
     changed = start_dates(touched_runs, new_runs)
     if bridged is not None:
         changed = changed.unionByName(bridged).distinct()

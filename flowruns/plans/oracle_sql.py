@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from flowruns import schema as S
 from flowruns.plans.catalog import CAP_DAYS, TIE_NUDGE
-from flowruns.sources.fixtures import BACKFILL_FROM, BACKFILL_TO, CUT, SEAM_SECONDS, SEAM_WINDOWS
+from flowruns.sources.fixtures import BACKFILL_FROM, BACKFILL_TO, CUT, LATE_EVERY, SEAM_SECONDS, SEAM_WINDOWS
 
 CUT_TS = f"TIMESTAMP '{CUT}'"
 
@@ -261,6 +261,30 @@ WHERE NOT EXISTS (SELECT 1 FROM ext x WHERE x.DEVICE_ID = c.DEVICE_ID AND c.STAR
     q["incremental_late_rows"] = q["island_summary"]
     q["job_publish_recovery"] = q["island_summary"]
     q["job_consolidate_heal"] = q["island_summary"]
+    q["job_concurrent_publish"] = q["island_summary"]
+    q["job_range_delete"] = q["range_delete"]
+    q["zone_map_scan"] = _w(READINGS, CUT_RUNS, seam_windows_cte("cut")) + f"SELECT {present(RUNS)} FROM seam"
+    # Late readings: the runs of a device are disjoint, so their ENDs are in the order of their STARTs.
+    is_late = f"""({epoch_s('"TIMESTAMP"')} % {LATE_EVERY} = 0)"""
+    q["late_intervals"] = _w(READINGS, runs_cte("on_time", where=f"NOT {is_late}"), f"""spans AS (
+  SELECT DEVICE_ID, min("TIMESTAMP") AS lo, max("TIMESTAMP") AS hi, bool_or({KEPT}) AS flows
+  FROM readings WHERE DEVICE_ID IS NOT NULL AND "TIMESTAMP" IS NOT NULL AND {is_late}
+  GROUP BY DEVICE_ID, date_trunc('hour', "TIMESTAMP"))""", """around AS (
+  SELECT s.*, (SELECT max(START_TIMESTAMP) FROM on_time r WHERE r.DEVICE_ID = s.DEVICE_ID AND r.START_TIMESTAMP <= s.lo) AS p_start,
+    (SELECT max(END_TIMESTAMP) FROM on_time r WHERE r.DEVICE_ID = s.DEVICE_ID AND r.START_TIMESTAMP <= s.lo) AS p_end,
+    (SELECT max(END_TIMESTAMP) FROM on_time r WHERE r.DEVICE_ID = s.DEVICE_ID AND r.START_TIMESTAMP <= s.hi) AS q_end,
+    (SELECT min(END_TIMESTAMP) FROM on_time r WHERE r.DEVICE_ID = s.DEVICE_ID AND r.START_TIMESTAMP > s.hi) AS n_end
+  FROM spans s)""", """wide AS (
+  SELECT DEVICE_ID, CASE WHEN flows AND p_end IS NULL AND q_end IS NULL AND n_end IS NULL THEN min(lo) OVER (PARTITION BY DEVICE_ID)
+      WHEN p_start IS NOT NULL AND (flows OR p_end >= lo) THEN p_start ELSE lo END AS a,
+    greatest(hi, coalesce(q_end, hi), CASE WHEN flows AND n_end IS NOT NULL AND (q_end IS NULL OR q_end < hi) THEN n_end ELSE hi END,
+      CASE WHEN flows AND p_end IS NULL AND q_end IS NULL AND n_end IS NULL THEN max(hi) OVER (PARTITION BY DEVICE_ID) ELSE hi END) AS b,
+    flows OR q_end >= lo AS used
+  FROM around QUALIFY used)""", """marked AS (
+  SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY DEVICE_ID ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    THEN 0 ELSE 1 END AS fresh FROM wide)""", """numbered AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY DEVICE_ID ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM marked)""") + \
+        "SELECT DEVICE_ID, min(a) AS START_TIMESTAMP, max(b) AS END_TIMESTAMP FROM numbered GROUP BY DEVICE_ID, k"
     q["append_by_name_sink"] = q["append_by_name"]
     q["checkpoint_sink"] = q["checkpoint_after_batch"]
     q["scan_seam_windows"] = _w(READINGS, DAILY, seam_windows_cte("daily")) + f"SELECT {present(RUNS)} FROM seam"

@@ -26,6 +26,8 @@ SEAM_WINDOWS = ("2024-01-15 00:00:00", "2024-01-16 06:00:00", "2024-01-14 12:00:
 # The span the daily fixture's cuts lie in (every day boundary of the data).
 DAILY_FROM = "2024-01-01 00:00:00"
 DAILY_TO = "2024-02-01 00:00:00"
+# Readings whose whole seconds this divides arrive late.
+LATE_EVERY = 10
 
 
 def ts(v: str) -> Column:

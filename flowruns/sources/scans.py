@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from flowruns import schema as S
 from flowruns.functions import ntz, seam_bounds
+from flowruns.sources.versions import Version
 
 
 def _lit_or_col(v) -> Column:
@@ -62,28 +63,36 @@ def scan_per_extent(readings: DataFrame, extents: DataFrame, lo=None, hi=None) -
     lo = extents.select(F.min(S.START)).scalar() if lo is None else _lit_or_col(lo)
     hi = extents.select(F.max(S.END)).scalar() if hi is None else _lit_or_col(hi)
     ts = F.col(S.TIMESTAMP)
+    more = [c for c in extents.columns if c not in (S.DEVICE_ID, S.START, S.END)]
     x = extents.select(F.col(S.DEVICE_ID).alias("_xd"), F.col(S.START).alias("_xs"),
-                       F.col(S.END).alias("_xe"))
+                       F.col(S.END).alias("_xe"), *more)
     r = readings.where((ts >= lo) & (ts <= hi))
     cond = (r[S.DEVICE_ID] == x["_xd"]) & (ts >= x["_xs"]) & (ts <= x["_xe"])
     return r.join(x, cond, "inner").drop("_xd", "_xs", "_xe")
 
 
-def scan_seam(runs: DataFrame, batch_start, seam_seconds: int = 1) -> DataFrame:
+def scan_seam(runs: DataFrame, batch_start, seam_seconds: int = 1, version: Version | None = None) -> DataFrame:
     """Runs that start just after or end just before ``batch_start``.
 
     ``START in [s, trunc(s)+seam)`` or ``END in [trunc(s)-seam, s)``; both arms reach the
     scan as one pushed OR filter when the bounds are literals.
     """
     b = seam_bounds(_lit_or_col(batch_start), seam_seconds)
-    return scan_seam_windows(runs, b["S"], b["S1"], b["E"], b["E1"])
+    return scan_seam_windows(runs, b["S"], b["S1"], b["E"], b["E1"], version)
 
 
-def scan_seam_windows(runs: DataFrame, start, start1, end, end1) -> DataFrame:
-    """S5 with two windows of their own: runs with START in ``[start, start1)`` or END in ``[end, end1)``."""
+def scan_seam_windows(runs: DataFrame, start, start1, end, end1, version: Version | None = None) -> DataFrame:
+    """S5 with two windows of their own: runs with START in ``[start, start1)`` or END in ``[end, end1)``.
+
+    ``version`` is the stored version that ``runs`` was read from: only folders of dates in the first window, or
+    whose zone meets the second, are then read."""
     st, en = F.col(S.START), F.col(S.END)
-    return runs.where(((st >= _lit_or_col(start)) & (st < _lit_or_col(start1)))
-                      | ((en >= _lit_or_col(end)) & (en < _lit_or_col(end1))))
+    bounds = [_lit_or_col(v) for v in (start, start1, end, end1)]
+    out = runs.where(((st >= bounds[0]) & (st < bounds[1])) | ((en >= bounds[2]) & (en < bounds[3])))
+    if version is None:
+        return out
+    s, s1, e, e1 = runs.sparkSession.range(1).select(*bounds).first()  # literals or one-row values
+    return out.where(F.col(S.START_DATE).between(F.lit(s.date()), F.lit(s1.date())) | version.ending(e, e1))
 
 
 def scan_started(runs: DataFrame, lo, hi) -> DataFrame:

@@ -1,37 +1,20 @@
-"""S6-S8 sinks: append by column name, checkpoint append, and partition replacement.
-
-The run table is stored partitioned by the date of ``START_TIMESTAMP``. A repair
-rewrites only the dates it changes: the new rows of those dates go to a staging folder
-first (the job still reads the table while it computes them), and then replace the same
-dates of the table with a dynamic-partition overwrite that reads only the staging copy.
-Before the second step a publish record (staging folder, dates) is written beside the table;
-``complete_pending`` publishes what an interrupted job left, and every runner calls it first.
+"""S6-S8 sinks: append by column name, checkpoint append, and replacement of start dates.
+
+The run table is stored by the date of ``START_TIMESTAMP``, in versions (``sources.versions``): a repair
+writes the new rows of the dates it changes beside the old ones, and publishes them as the next version.
 """
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from flowruns import schema as S
-from flowruns.session import ensure_checkpoint_dir
+from flowruns.sources import versions
+from flowruns.sources.versions import exists
 
 PART = S.START_DATE
-#: Folder of publish records beside the table's partitions (readers skip names that start with "_").
-PENDING = "_pending"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def append_by_name(df: DataFrame, path: str, fmt: str = "parquet", columns: list[str] | None = None,
@@ -41,7 +24,7 @@ def append_by_name(df: DataFrame, path: str, fmt: str = "parquet", columns: list
     Raises when a column of the target is missing in ``df`` or the other way round."""
     spark = df.sparkSession
     cols = columns
-    if cols is None and _exists(spark, path):
+    if cols is None and exists(spark, path):
         try:
             cols = spark.read.format(fmt).options(**(options or {})).load(path).columns
         except AnalysisException:
@@ -53,16 +36,13 @@ def append_by_name(df: DataFrame, path: str, fmt: str = "parquet", columns: list
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The stored run table, with its partition column ``START_DATE`` last, so that filters on it
+    """The newest version of the stored run table, with its partition column ``START_DATE`` last, so that filters on it
     choose the folders that are read; empty when not written yet."""
-    schema = T.StructType(list(S.RUNS_SCHEMA.fields) + [T.StructField(PART, T.DateType())])
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*S.RUN_COLUMNS, PART)
+    return versions.read_version(spark, versions.latest(spark, path))
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], S.CHECKPOINT_SCHEMA)
     return spark.read.schema(S.CHECKPOINT_SCHEMA).parquet(path)
 
@@ -72,112 +52,30 @@ def append_checkpoint(checkpoint_row: DataFrame, path: str) -> None:
     checkpoint_row.select(F.col(S.TIMESTAMP).cast("timestamp_ntz").alias(S.TIMESTAMP)).write.mode("append").parquet(path)
 
 
-def _layout(rows: DataFrame) -> DataFrame:
-    """Balanced files per start date, sorted by device and start inside each file.
-
-    ``rebalance`` lets AQE size the write tasks (a busy date is split over several, small
-    dates share one) instead of every task writing a file for every date it holds; the
-    sort keeps parquet row-group statistics tight for device / time filters.
-    """
-    return rows.hint("rebalance", PART).sortWithinPartitions(PART, S.DEVICE_ID, S.START)
-
-
 def dated(runs: DataFrame) -> DataFrame:
     """The run columns and ``START_DATE``: the stored partition column where there is one."""
     out = runs if PART in runs.columns else runs.withColumn(PART, F.to_date(S.START))
     return out.select(*S.RUN_COLUMNS, PART)
 
 
-def write_runs(runs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a whole run table, partitioned by start date."""
-    _layout(dated(runs)).write.mode(mode).partitionBy(PART).parquet(path)
+def write_runs(runs: DataFrame, path: str) -> versions.Version:
+    """Write a whole run table, in place of all stored rows."""
+    base = versions.latest(runs.sparkSession, path)
+    rows = dated(runs).where(F.col(PART).isNotNull())
+    days = sorted(set(base.dates) | {r[0] for r in rows.select(PART).distinct().collect()})
+    return versions.publish(base, rows, days)
 
 
-def replace_dates(new_table: DataFrame, path: str, dates: DataFrame, staging_root: str | None = None) -> str:
-    """``stage_dates``, then publish and clean up. Returns the staging path."""
-    spark = new_table.sparkSession
-    staging, day_list, record = stage_dates(new_table, path, dates, staging_root)
-    if day_list:
-        publish_staging(spark, staging, path, day_list)
-        _delete(spark, record)
-        _delete(spark, staging)
-    return staging
-
-
-def stage_dates(new_table: DataFrame, path: str, dates: DataFrame, staging_root: str | None = None) -> tuple[str, list, str | None]:
-    """First step to replace the partitions ``dates`` (one column ``START_DATE``) of the run table at
-    ``path`` by the rows of ``new_table`` in those dates: stage the rows, then write the publish
-    record. Returns the staging path, the dates and the record's path.
-
-    The changed dates (a short list: one value per day touched) are settled first, since
-    they may be derived from the table that is about to be rewritten.
-    """
+def replace_dates(new_table: DataFrame, path: str, dates: DataFrame, base: versions.Version | None = None) -> versions.Version:
+    """Replace the start dates ``dates`` (one column ``START_DATE``) of the table by the rows of
+    ``new_table`` in those dates; only these are computed. ``base`` is the version that ``new_table`` was computed
+    from: if there is a newer one, ``versions.Conflict`` is raised and nothing is changed."""
     spark = new_table.sparkSession
-    root = staging_root or ensure_checkpoint_dir(spark)
-    staging = f"{root.rstrip('/')}/flowruns-staging-{uuid.uuid4().hex}"
-    day_list = sorted({r[0] for r in dates.select(PART).distinct().collect() if r[0] is not None})
-    if not day_list:
-        return staging, [], None
-    rows = dated(new_table).where(F.col(PART).isin(day_list))  # reaches the stored table's folders
-    _layout(rows).write.mode("overwrite").partitionBy(PART).parquet(staging)
-    return staging, day_list, _write_record(spark, path, staging, day_list)
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _write_record(spark: SparkSession, path: str, staging: str, days: list) -> str:
-    """Write the publish record (under a temporary name, then renamed, so that it is whole)."""
-    name = f"{path.rstrip('/')}/{PENDING}/{time.time_ns():020d}-{uuid.uuid4().hex}"
-    fs, tmp = _fs(spark, name + ".tmp")
-    out = fs.create(tmp)
-    out.write(bytearray(json.dumps({"staging": staging, "days": [d.isoformat() for d in days]}).encode()))
-    out.close()
-    fs.rename(tmp, _fs(spark, name + ".json")[1])
-    return name + ".json"
-
-
-def complete_pending(spark: SparkSession, path: str) -> int:
-    """Publish what interrupted jobs staged for the table, oldest first; returns how many there were.
-
-    Publishing again what was published in part is safe: it replaces whole dates."""
-    fs, folder = _fs(spark, f"{path.rstrip('/')}/{PENDING}")
-    if not fs.exists(folder):
-        return 0
-    names = sorted(f.getPath().toString() for f in fs.listStatus(folder) if f.getPath().getName().endswith(".json"))
-    for name in names:
-        text = "".join(r[0] for r in spark.read.text(name).collect())  # one short line
-        record = json.loads(text)
-        publish_staging(spark, record["staging"], path, [date.fromisoformat(d) for d in record["days"]])
-        _delete(spark, name)
-        _delete(spark, record["staging"])
-    return len(names)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def publish_staging(spark: SparkSession, staging: str, path: str, day_list: list) -> None:
-    """Second step of ``replace_dates``: overwrite the changed dates from the staging copy.
-
-    Dates that lost every row have no staged folder; their folder in the table is removed.
-    """
-    staged = spark.read.parquet(staging) if _exists(spark, staging) else None
-    if staged is not None:
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
-    staged_dates = set() if staged is None else {r[0] for r in staged.select(PART).distinct().collect()}
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for d in day_list:
-        if d not in staged_dates:
-            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PART}={d.isoformat()}")
-            fs = p.getFileSystem(conf)
-            if fs.exists(p):
-                fs.delete(p, True)
+    base = base or versions.latest(spark, path)
+    return versions.commit(spark, path, lambda rows, now: (_same(base, now, new_table), dates), attempts=1)
+
+
+def _same(base: versions.Version, now: versions.Version, table: DataFrame) -> DataFrame:
+    if now.number != base.number:
+        raise versions.Conflict(f"version {base.number} of {base.path} was replaced by {now.number}")
+    return dated(table)

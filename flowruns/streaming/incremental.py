@@ -2,11 +2,10 @@
 
 ``readStream`` over the reading files, ``trigger(availableNow=True)`` (or a processing
 time trigger), and ``foreachBatch``: each micro-batch only says *which devices got
-readings from which time on*. For each such device the stored runs from the run that
-contains that time onward are recomputed from the source table (so late rows are
-handled exactly, with no lateness bound), the last untouched run is bridged with the
-first recomputed one when the readings show they are one run, and only the start dates
-that changed are rewritten. Spark's stream checkpoint records which files were done,
+readings at which times*. The stored runs they can change become disjoint intervals per device
+(``operators.late``), each interval is recomputed from the source table (so late rows are
+handled exactly, with no lateness bound, and cost the runs beside them), and only the start dates
+that changed are published. Spark's stream checkpoint records which files were done,
 in place of a checkpoint table; a replayed micro-batch recomputes the same rows.
 """
 
@@ -19,51 +18,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowruns import schema as S
-from flowruns.functions import ntz
+from flowruns.operators.late import late_intervals
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, clean, resolve_chunks
 from flowruns.operators.summary import summarize_runs
-from flowruns.plans.jobs import start_dates, stitch_delta
+from flowruns.plans.jobs import start_dates
 from flowruns.session import materialize, small_side
-from flowruns.sources import sinks
-
-
-def affected_from(runs: DataFrame, new_readings: DataFrame) -> DataFrame:
-    """Per device with new readings: the time from which its runs must be recomputed.
-
-    ``_FROM = least(first new reading, START of the first stored run ending at or after
-    it)``. One row per device, so at most the number of devices.
-    """
-    first = clean(new_readings).groupBy(S.DEVICE_ID).agg(F.min(S.TIMESTAMP).alias("_T"))
-    hit = (runs.join(first, S.DEVICE_ID, "inner").where(F.col(S.END) >= F.col("_T"))
-           .groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_S")))
-    return (first.join(hit, S.DEVICE_ID, "left")
-            .select(S.DEVICE_ID, F.least(F.col("_T"), F.coalesce(F.col("_S"), F.col("_T"))).alias("_FROM")))
+from flowruns.sources import sinks, versions
+from flowruns.sources.scans import extent_bounds, scan_per_extent, scan_started
+from flowruns.sources.versions import Version
 
 
 def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataFrame,
-                       chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = ()
-                       ) -> tuple[DataFrame, DataFrame]:
+                       chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
+                       version: Version | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The run table after ``new_readings`` (already part of ``readings``) arrived.
 
-    Returns ``(new run table, changed start dates)``.
+    Each interval they touch (``operators.late``) is recomputed from its own readings, and takes the place of the stored
+    runs inside it. ``version`` is the stored version that ``runs`` was read from. Returns
+    ``(new run table, changed start dates or None)``.
     """
-    frm = small_side(materialize(affected_from(runs, new_readings)))
-    lo = frm.agg(F.min("_FROM")).first()[0]
+    touched = materialize(late_intervals(runs, new_readings, version))
+    lo, hi = extent_bounds(touched)
     if lo is None:
-        return runs, runs.sparkSession.createDataFrame([], f"{sinks.PART} date")
-    ts = F.col(S.TIMESTAMP)
-    reread = (readings.where(ts >= ntz(lo))
-              .join(frm, S.DEVICE_ID, "inner").where(ts >= F.col("_FROM")).drop("_FROM"))
+        return runs, None
+    touched = small_side(touched)
+    reread = scan_per_extent(readings, touched, lo, hi)
     chunk_seconds = resolve_chunks(reread, chunk_seconds)
-    new_runs = materialize(summarize_runs(reread, chunk_seconds, tiebreak))
+    new_runs = materialize(summarize_runs(reread, chunk_seconds, tiebreak, batch_cols=["_INTERVAL"]))
 
-    dropped = runs.join(frm, S.DEVICE_ID, "inner").where(F.col(S.END) >= F.col("_FROM")).drop("_FROM")
-    kept = runs.join(dropped.select(S.DEVICE_ID, S.START, S.END), [S.DEVICE_ID, S.START, S.END], "left_anti")
-    kept = kept.select(*runs.columns)
-    # Bridge the last untouched run of a device with its first recomputed run.
-    table, bridged = stitch_delta(readings, kept, new_runs, chunk_seconds, tiebreak)
-    changed = start_dates(dropped, new_runs)
-    return table, changed if bridged is None else changed.unionByName(bridged).distinct()
+    near = scan_started(runs, lo, hi)
+    x = touched.select(F.col(S.DEVICE_ID).alias("_xd"), F.col(S.START).alias("_xs"), F.col(S.END).alias("_xe"))
+    inside = lambda r: (r[S.DEVICE_ID] == x["_xd"]) & (r[S.START] >= x["_xs"]) & (r[S.END] <= x["_xe"])
+    kept, dropped = runs.join(x, inside(runs), "left_anti"), near.join(x, inside(near), "left_semi")
+    if S.START_DATE in runs.columns:
+        new_runs = new_runs.withColumn(S.START_DATE, F.to_date(S.START))
+    return kept.unionByName(new_runs.select(*runs.columns)), start_dates(dropped, new_runs)
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, source: Callable[[], DataFrame], dest_path: str,
@@ -71,10 +60,13 @@ def process_batch(spark: SparkSession, batch: DataFrame, source: Callable[[], Da
     """foreachBatch body: fold one micro-batch of readings into the stored run table."""
     if batch.isEmpty():
         return
-    sinks.complete_pending(spark, dest_path)
-    runs = sinks.read_runs(spark, dest_path)
-    table, changed = apply_new_readings(source(), runs, batch, chunk_seconds)
-    sinks.replace_dates(table, dest_path, materialize(changed))
+    batch = materialize(clean(batch).select(S.DEVICE_ID, S.TIMESTAMP, S.FLOW_RATE))  # a repeat reads the files no second time
+
+    def job(runs, version):
+        table, changed = apply_new_readings(source(), runs, batch, chunk_seconds, version=version)
+        return sinks.dated(table), None if changed is None else materialize(changed)
+
+    versions.commit(spark, dest_path, job)
 
 
 def start_stream(spark: SparkSession, source_path: str, source_schema, dest_path: str, checkpoint_location: str,

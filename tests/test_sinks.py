@@ -40,7 +40,7 @@ def test_consolidate_written_through_staging(spark):
     changed = (new.select(*k).exceptAll(stored.select(*k))
                .unionByName(stored.select(*k).exceptAll(new.select(*k)))
                .select(F.to_date(S.START).alias(sinks.PART)).distinct())
-    sinks.replace_dates(new, f"{d}/runs", changed, staging_root=d)
+    sinks.replace_dates(new, f"{d}/runs", changed)
     assert _keys(sinks.read_runs(spark, f"{d}/runs")) == _keys(FX.runs_whole(rd))
 
 

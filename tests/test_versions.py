@@ -1,0 +1,232 @@
+"""The stored table's versions: overlapping, repeated and stopped jobs, zone map, plain folders, clean-up."""
+
+import datetime as dt
+import os
+import shutil
+import tempfile
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from flowruns import schema as S
+from flowruns.operators.late import late_intervals
+from flowruns.plans import jobs, runner
+from flowruns.sources import fixtures as FX
+from flowruns.sources import sinks, versions
+from flowruns.sources.readers import readings
+from flowruns.sources.scans import scan_seam_windows
+
+ALL = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
+
+
+def keys(df):
+    return sorted(tuple(r) for r in df.select(S.DEVICE_ID, S.START, S.END).collect())
+
+
+@pytest.fixture()
+def path():
+    return f"{tempfile.mkdtemp(prefix='flowruns-test-')}/runs"
+
+
+@pytest.fixture(scope="module")
+def rd(spark):
+    return jobs.materialize(readings(spark, SF_SMALL))
+
+
+@pytest.fixture(scope="module")
+def whole(rd):
+    return keys(FX.runs_whole(rd))
+
+
+def day_runs(spark, day, n=2):
+    t = dt.datetime.combine(day, dt.time(1))
+    rows = [(f"d{i}", t, t + dt.timedelta(hours=i), 1, *[1.0] * 3, 1, 1, *[1.0] * 6, 1, 1, 1, 0) for i in range(n)]
+    return sinks.dated(spark.createDataFrame(rows, S.RUNS_SCHEMA))
+
+
+def test_a_job_that_was_overtaken_publishes_nothing(spark, rd, whole, path):
+    base = sinks.write_runs(FX.runs_cut(rd), path)
+    table, changed = jobs.consolidate_delta(rd, sinks.read_runs(spark, path), FX.CUT, version=base)
+    days = sorted(r[0] for r in changed.collect())
+    rows = jobs.materialize(sinks.dated(table).where(F.col(sinks.PART).isin(days)))
+    runner.run_consolidate(spark, rd, path, FX.CUT)  # another job is first
+    folders = set(os.listdir(path))
+    with pytest.raises(versions.Conflict):
+        versions.publish(base, rows, days)
+    with pytest.raises(versions.Conflict):
+        sinks.replace_dates(table, path, changed, base)
+    assert keys(sinks.read_runs(spark, path)) == whole
+    assert set(os.listdir(path)) == folders  # what the loser wrote is gone
+
+
+def test_an_overtaken_job_starts_again(spark, path):
+    sinks.write_runs(day_runs(spark, dt.date(2024, 1, 1)), path)
+    seen = []
+
+    def job(runs, version):
+        seen.append(version.number)
+        if len(seen) == 1:
+            versions.commit(spark, path, lambda r, v: (r.unionByName(day_runs(spark, dt.date(2024, 1, 2))), jobs.start_dates(day_runs(spark, dt.date(2024, 1, 2)))))
+        more = day_runs(spark, dt.date(2024, 1, 2), 4).where(f"{S.DEVICE_ID} IN ('d2', 'd3')")
+        return runs.unionByName(more), jobs.start_dates(more)
+
+    versions.commit(spark, path, job)
+    assert seen == [1, 2]
+    assert sinks.read_runs(spark, path).groupBy(sinks.PART).count().orderBy(sinks.PART).collect() == [(dt.date(2024, 1, 1), 2), (dt.date(2024, 1, 2), 4)]
+
+
+def test_a_backfill_goes_on_when_only_other_dates_changed(spark, path):
+    base = sinks.write_runs(day_runs(spark, dt.date(2024, 1, 1)), path)
+    other, mine = dt.date(2024, 1, 5), dt.date(2024, 1, 9)
+    versions.publish(base, day_runs(spark, other), [other])
+    out = versions.publish(base, day_runs(spark, mine, 3), [mine], reads=(mine, mine))
+    assert out.number == 3 and set(out.dates) == {dt.date(2024, 1, 1), other, mine}
+    with pytest.raises(versions.Conflict):
+        versions.publish(base, day_runs(spark, mine), [mine], reads=(dt.date(2024, 1, 4), mine))
+    assert sinks.read_runs(spark, path).count() == 7
+
+
+def test_jobs_side_by_side_all_get_in(spark, path):
+    sinks.write_runs(day_runs(spark, dt.date(2024, 1, 1)), path)
+    failed = []
+
+    def load(k):
+        try:
+            rows = day_runs(spark, dt.date(2024, 1, 1), 20).where(F.col(S.DEVICE_ID) == f"d{10 + k}")
+            versions.commit(spark, path, lambda r, v: (r.unionByName(rows), jobs.start_dates(rows)))
+        except Exception as e:  # shown by the assertion below
+            failed.append(e)
+
+    threads = [threading.Thread(target=load, args=(k,)) for k in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failed
+    assert sorted(r[0] for r in sinks.read_runs(spark, path).select(S.DEVICE_ID).collect()) == ["d0", "d1", "d10", "d11", "d12", "d13"]
+    assert versions.latest(spark, path).number == 5
+
+
+def test_only_one_of_two_creates_a_file(spark, path):
+    os.makedirs(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.versions.link./in", f"file://{path}")
+    conf.set("fs.viewfs.impl.disable.cache", "true")
+    for root in (path, "viewfs://versions/in"):  # a link; a rename
+        assert versions._create_once(spark, f"{root}/{len(root)}.json", "first")
+        assert not versions._create_once(spark, f"{root}/{len(root)}.json", "second")
+        assert versions._text(spark, f"{root}/{len(root)}.json") == "first"
+    assert not [n for n in os.listdir(path) if n.endswith(".tmp")]
+
+
+def test_all_readings_idle_empties_the_dates_and_blocks_nothing(spark, rd, path):
+    runner.run_backfill(spark, rd, path, "2024-01-03 00:00:00", "2024-01-06 00:00:00")
+    runner.run_backfill(spark, rd, path, "2024-01-10 00:00:00", "2024-01-12 00:00:00")
+    others = keys(sinks.read_runs(spark, path).where(F.col(S.START) >= FX.ts("2024-01-10 00:00:00")))
+    idle = rd.withColumn(S.FLOW_RATE, F.lit(0.0))
+    runner.run_backfill(spark, idle, path, "2024-01-03 00:00:00", "2024-01-06 00:00:00")
+    assert keys(sinks.read_runs(spark, path)) == others and others
+    runner.run_backfill(spark, idle, path, "2024-01-10 00:00:00", "2024-01-12 00:00:00")
+    assert keys(sinks.read_runs(spark, path)) == []
+    runner.run_backfill(spark, rd, path, *ALL)
+    assert keys(sinks.read_runs(spark, path)) == keys(FX.runs_whole(rd))
+
+
+def test_a_lost_folder_is_an_error_not_an_empty_date(spark, rd, path):
+    sinks.write_runs(FX.runs_cut(rd), path)
+    shutil.move(next(f"{path}/{n}" for n in os.listdir(path) if n.startswith("PUBLISH=")), f"{path}-moved")
+    with pytest.raises(Exception, match="(?i)path"):
+        sinks.read_runs(spark, path).count()
+    with pytest.raises(Exception, match="(?i)path"):
+        runner.run_consolidate(spark, rd, path, FX.CUT)
+
+
+def test_a_plain_folder_is_version_0(spark, rd, whole, path):
+    sinks.dated(FX.runs_cut(rd)).write.partitionBy(sinks.PART).parquet(path)
+    assert versions.latest(spark, path).number == 0
+    assert keys(sinks.read_runs(spark, path)) == keys(FX.runs_cut(rd))
+    runner.run_consolidate(spark, rd, path, FX.CUT)
+    now = versions.latest(spark, path)
+    assert now.number == 1 and {z.publish == "" for z in now.dates.values()} == {True, False}
+    assert keys(sinks.read_runs(spark, path)) == whole
+
+
+def test_deleted_ranges_as_a_job(spark, rd, path):
+    sinks.write_runs(FX.runs_cut(rd), path)
+    some = spark.createDataFrame([("d1", *(dt.datetime(2024, 1, d) for d in (5, 20)))], S.EXTENT_SCHEMA)
+    before = keys(sinks.read_runs(spark, path))
+    number = runner.run_delete(spark, some, path).number
+    after = keys(sinks.read_runs(spark, path))
+    assert number == 2 and set(before) - set(after) == {k for k in before if k[0] == "d1" and k[1] >= dt.datetime(2024, 1, 5) and k[2] <= dt.datetime(2024, 1, 20)}
+    assert runner.run_delete(spark, some.where("false"), path).number == 2
+
+
+def partition_filters(df, path):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("PartitionFilters: ")[1].split("]")[0] for line in text.splitlines() if "PartitionFilters: " in line and path in line]
+
+
+def test_bounds_on_end_choose_folders(spark, rd, path, monkeypatch):
+    version = sinks.write_runs(FX.runs_cut(rd), path)
+    stored = sinks.read_runs(spark, path)
+    ends = stored.groupBy(sinks.PART).agg(F.min(S.END), F.max(S.END), F.count("*")).collect()
+    assert {d: tuple(z[2:]) for d, z in version.dates.items()} == {r[0]: tuple(r[1:]) for r in ends}
+    lo = dt.datetime(2024, 1, 20)
+    for frm, to in ((lo, None), (None, lo), (lo, lo + dt.timedelta(hours=3)), (dt.datetime(2030, 1, 1), None)):
+        want = stored if frm is None else stored.where(F.col(S.END) >= F.lit(frm).cast("timestamp_ntz"))
+        want = want if to is None else want.where(F.col(S.END) <= F.lit(to).cast("timestamp_ntz"))
+        assert want.exceptAll(want.where(version.ending(frm, to))).isEmpty()
+    read = stored.where(version.ending(lo)).select(sinks.PART).distinct().count()
+    assert 0 < read < len(version.dates)
+    seam = scan_seam_windows(stored, *FX.SEAM_WINDOWS, version)
+    assert all(sinks.PART in f for f in partition_filters(seam, path))
+    assert keys(seam) == keys(scan_seam_windows(stored, *FX.SEAM_WINDOWS))
+
+    scans = []  # what the load and the late intervals read of the stored table
+    real = jobs.materialize
+
+    def watched(df):
+        scans.extend(partition_filters(df, path))
+        return real(df)
+
+    for module in ("flowruns.plans.jobs", "flowruns.operators.late", "flowruns.operators.extents"):
+        monkeypatch.setattr(f"{module}.materialize", watched)
+    before = versions.commit(spark, path, lambda r, v: (r, None))
+    ck = spark.createDataFrame([(lo,)], S.CHECKPOINT_SCHEMA)
+    jobs.incremental_delta(rd, stored, ck, version=before)
+    assert scans and all(sinks.PART in f for f in scans), scans
+    scans.clear()
+    late_intervals(stored, rd.where(F.col(S.TIMESTAMP) >= FX.ts("2024-01-20 00:00:00")).limit(3), before)
+    assert scans and all(sinks.PART in f for f in scans), scans
+
+
+def test_healing_reads_only_dates_published_since_the_last_one(spark, rd, whole, path, monkeypatch):
+    sinks.write_runs(FX.runs_cut_with_bridges(rd), path)
+    healed = runner.run_consolidate(spark, rd, path, FX.CUT)
+    assert keys(sinks.read_runs(spark, path)) == whole
+    assert healed.healed == healed.number and healed.changed_since(healed.healed) == []
+    # copies of two dates' runs are published by another job
+    stored = sinks.read_runs(spark, path)
+    some = stored.where(F.to_date(S.START).isin([dt.date(2024, 1, 9), dt.date(2024, 1, 10)]))
+    later = versions.commit(spark, path, lambda r, v: (r.unionByName(some), jobs.start_dates(some)))
+    assert later.changed_since(later.healed) == [dt.date(2024, 1, 9), dt.date(2024, 1, 10)]
+    found = []
+    real = jobs.duplicate_starts
+    monkeypatch.setattr(jobs, "duplicate_starts", lambda r: found.extend(partition_filters(real(r), path)) or real(r))
+    out = runner.run_consolidate(spark, rd, path, FX.CUT)
+    assert found and all(sinks.PART in f for f in found)
+    assert keys(sinks.read_runs(spark, path)) == whole and out.changed_since(out.healed) == []
+
+
+def test_vacuum_keeps_what_versions_name(spark, path):
+    day = dt.date(2024, 1, 1)
+    for n in range(1, 5):
+        sinks.write_runs(day_runs(spark, day, n), path)
+    versions.write_publish(day_runs(spark, day), path, 9)  # a job that stopped
+    assert versions.vacuum(spark, path, keep=2) == []  # all too young
+    gone = versions.vacuum(spark, path, keep=2, older_than_seconds=-5)
+    assert len([g for g in gone if g.startswith("PUBLISH=")]) == 3 and len(gone) == 5
+    assert sinks.read_runs(spark, path).count() == 4
+    assert versions.read_version(spark, versions.version(spark, path, 3)).count() == 3
