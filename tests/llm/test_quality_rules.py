@@ -1,0 +1,124 @@
+"""op7: distances and verdicts against a plain-Python statement, and the guard on the references."""
+
+import math
+import string
+import unicodedata
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from flowruns.llm import quality_rules as Q
+from test_operators import SF, WORD, plain_figures
+
+
+def classes(text):
+    """Capitals, digits, ASCII marks, a-z, blanks, other letters, all else."""
+    def kind(c):
+        cat = unicodedata.category(c)
+        return (0 if cat == "Lu" else 1 if cat == "Nd" else 2 if c in string.punctuation else 3 if "a" <= c <= "z"
+                else 4 if c in " \t\n\x0b\x0c\r" else 5 if cat[0] == "L" else 6)
+    n = Counter(map(kind, text))
+    return [n[i] for i in range(7)]
+
+
+def js(p, q):
+    if not sum(p) or not sum(q):
+        return None
+    x, y = [v / sum(p) for v in p], [v / sum(q) for v in q]
+    part = lambda a, b: a * math.log2(2 * a / (a + b)) if a else 0.0
+    return math.sqrt(max(0.0, sum(part(a, b) + part(b, a) for a, b in zip(x, y)) / 2))
+
+
+def plain(rows, top=16, bands=(64, 256, 896), least_docs=10, least_words=4000):
+    """(char distance, word distance, kept) of every (text, lang)."""
+    words, chars, docs = defaultdict(Counter), defaultdict(lambda: [0] * 7), Counter()
+    for t, la in rows:
+        found = WORD.findall(t or "")
+        words[la].update(found)
+        docs[la] += bool(found)
+        chars[la] = [a + b for a, b in zip(chars[la], classes(t or ""))]
+    order = {la: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0].encode()))][:top + bands[-1]] for la, c in words.items()}
+    says = [la for la in words if docs[la] >= least_docs and words[la].total() >= least_words]
+
+    def reference(la):
+        if la in says or not says:
+            return la if says else None
+        share = {x: sum(words[la][w] for w in order[x]) for x in says}
+        share = {x: n for x, n in share.items() if n} or {max(says, key=lambda x: words[x].total()): 0}
+        return max(share, key=lambda x: (share[x], words[x].total()))
+
+    def bins(counts, la):
+        at, out = {w: k for k, w in enumerate(order[la])}, [0] * (top + len(bands) + 1)
+        for w, n in counts.items():
+            k = at.get(w)
+            out[-1 if k is None else k if k < top else top + sum(k >= top + b for b in bands[:-1])] += n
+        return out
+
+    ref = {la: reference(la) for la in words}
+    shown = {la: bins(words[la], la) for la in says}
+    out = []
+    for t, la in rows:
+        f, r = plain_figures(t), ref[la]
+        c = js(classes(t or ""), chars[r]) if r in shown else None
+        w = js(bins(Counter(WORD.findall(t or "")), r), shown[r]) if r in shown else None
+        far = (f[1] >= 200 and c is not None and c > 0.2) or (f[0] >= 50 and w is not None and w > 0.36)
+        out.append((c, w, not f[5] and not far))
+    return out
+
+
+def same(got, want):
+    close = lambda a, b: (a is None) == (b is None) and (a is None or abs(a - b) < 1e-6)
+    return close(got[0], want[0]) and close(got[1], want[1]) and got[2] == want[2]
+
+
+def check(df, rows):
+    got = {r.doc_id: (r.char_distance, r.word_distance, r.kept) for r in Q.judged(df).select("row.doc_id", "figures.*").collect()}
+    want = plain([r[1:] for r in rows])
+    for (i, _, _), w in zip(rows, want):
+        assert same(got[i], w), (i, got[i], w)
+    return got
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+
+
+def test_distances_and_verdicts_equal_plain_python(spark, rows):
+    got = check(spark.read.parquet(f"{SF}/documents.parquet"), rows)
+    assert any(g[2] for g in got.values()) and not all(g[2] for g in got.values())
+
+
+def test_a_language_that_says_too_little_is_held_against_another(spark, rows):
+    rng = np.random.default_rng(1)
+    text = lambda first, n: " ".join("".join(chr(first + x) for x in rng.integers(0, n, 7)) for _ in range(200))
+    english = max((t for _, t, la in rows if la == "en"), key=len)
+    german = max((t for _, t, la in rows if la == "de"), key=len)
+    more = [(-1, text(0x3B1, 16), "xx"), (-2, text(0x21, 14), None), (-3, english, "yy"), (-4, german, "zz"), (-5, None, "ww"), (-6, text(97, 26), "vv")]
+    df = spark.createDataFrame(rows + more, "doc_id long, text string, lang string")
+    got = check(df, rows + more)
+    assert [got[i][2] for i in (-1, -2, -3, -4, -5, -6)] == [False, False, True, True, False, False]
+
+
+def test_without_any_reference_the_base_rules_judge(spark):
+    good = " ".join(f"word{i}" for i in range(80))
+    df = spark.createDataFrame([(1, good, "en"), (2, "few words", "en"), (3, good, None)], "doc_id long, text string, lang string")
+    assert sorted((r.row.doc_id, r.figures.kept, r.figures.word_distance) for r in Q.judged(df).collect()) == [(1, True, None), (2, False, None), (3, True, None)]
+
+
+def test_references_too_large_to_broadcast_give_the_same(spark, rows, monkeypatch):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    want = sorted(map(repr, Q.judged(df).select("row.doc_id", "figures").collect()))
+    monkeypatch.setattr(Q, "BROADCAST_BYTES", 0)
+    assert sorted(map(repr, Q.judged(df).select("row.doc_id", "figures").collect())) == want
+
+
+def test_repeated_windows_of_equal_hash_bits(spark):
+    """Long texts keep few hash bits; equality of windows is by their words."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(["a", "b", "c", "dd", "eee"], n)) for n in (2, 3, 4, 5, 40, 500)] + [" ".join(map(str, range(3000))), " ".join(map(str, [*range(2000), 5, 6, 7]))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").withColumn("w", Q.words_of(F.col("t")))
+    got = {r.i: r.n for r in Q.repeated_words(df, "w", "n").collect()}
+    assert [got[i] for i in range(len(texts))] == [plain_figures(t)[4] for t in texts]
