@@ -18,7 +18,7 @@ from flowruns import schema as S
 from flowruns.functions import epoch_seconds
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS
 from flowruns.operators.summary import summarize_runs
-from flowruns.sources.scans import scan_per_extent
+from flowruns.sources.scans import scan_extents
 
 
 def extent_join(recomputed: DataFrame, extents: DataFrame) -> DataFrame:
@@ -36,9 +36,9 @@ def extent_exact(joined: DataFrame) -> DataFrame:
 
 def recompute_extents(readings: DataFrame, extents: DataFrame,
                       chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
-                      lo=None, hi=None) -> DataFrame:
+                      lo=None, hi=None, broadcast: bool = True) -> DataFrame:
     """Runs of each device recomputed from its readings inside its own extent."""
-    return summarize_runs(scan_per_extent(readings, extents, lo, hi), chunk_seconds, tiebreak)
+    return summarize_runs(scan_extents(readings, extents, lo, hi, broadcast), chunk_seconds, tiebreak)
 
 
 def runs_within(runs: DataFrame, extents: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from flowruns import schema as S
 from flowruns.functions.timecols import US_SQL
-from flowruns.session import materialize, small_side
+from flowruns.session import small_table
 
 # ``chunk_seconds`` is a width in seconds, "auto", or the ``Chunks`` that "auto" resolved to.
 DEFAULT_CHUNK_SECONDS = "auto"
@@ -105,11 +105,11 @@ def resolve_chunks(readings: DataFrame, chunk_seconds: float | str | Chunks = DE
     hot = []
     for width_us in LEVELS_US[:-1]:
         buckets = left.withColumn("_B", _bucket(width_us))
-        over = materialize(buckets.groupBy(S.DEVICE_ID, "_B").count().where(F.col("count") > target_rows)
-                           .select(S.DEVICE_ID, "_B"))
-        if over.isEmpty():
+        over, seen = small_table(buckets.groupBy(S.DEVICE_ID, "_B").count().where(F.col("count") > target_rows)
+                                 .select(S.DEVICE_ID, "_B"))
+        if not seen.n:
             break
-        hot.append(small_side(over))
+        hot.append(over)
         left = buckets.join(hot[-1], [S.DEVICE_ID, "_B"], "left_semi").drop("_B")
     return Chunks(tuple(hot))
 
@@ -159,6 +159,49 @@ def _offset(keys: Sequence[str]) -> Column:
     return F.coalesce(F.sum("_N_IDLE").over(_before(keys)), F.lit(0).cast("bigint"))
 
 
+def _many(chunk_seconds) -> bool:
+    """Whether a device may have many chunks: not where "auto" found no hot bucket, so all are 366 days wide."""
+    return not isinstance(chunk_seconds, Chunks) or bool(chunk_seconds.hot)
+
+
+def _in_blocks(per_chunk: DataFrame) -> DataFrame:
+    """The chunk table with ``_BLOCK``, the day of each chunk's start."""
+    return per_chunk.withColumn("_BLOCK", F.expr(f"{S.CHUNK} - pmod({S.CHUNK}, {LEVELS_US[1]})"))
+
+
+def chunk_offsets(per_chunk: DataFrame, keys: Sequence[str], many: bool = True) -> DataFrame:
+    """(keys, chunk, _OFFSET): the idle readings of all earlier chunks of the device.
+
+    With ``many`` chunks the sum has two levels, the chunks of a day and the days of a device, so that no window
+    holds all chunks of a device."""
+    if not many:
+        return per_chunk.select(*keys, S.CHUNK, _offset(keys).alias("_OFFSET"))
+    block = [*keys, "_BLOCK"]
+    inside = _in_blocks(per_chunk).select(*block, S.CHUNK, "_N_IDLE", _offset(block).alias("_INSIDE"))
+    days = inside.groupBy(*block).agg(F.sum("_N_IDLE").alias("_N_IDLE"))
+    earlier = F.coalesce(F.sum("_N_IDLE").over(Window.partitionBy(*keys).orderBy("_BLOCK").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint"))
+    days = days.select(*block, earlier.alias("_DAYS"))
+    return inside.join(days, block).select(*keys, S.CHUNK, (F.col("_INSIDE") + F.col("_DAYS")).alias("_OFFSET"))
+
+
+def chunk_neighbours(per_chunk: DataFrame, many: bool = True) -> DataFrame:
+    """(device, chunk, _PREV_TAIL, _NEXT_HEAD): the ``_TAIL`` of the chunk before and the ``_HEAD`` of the one after,
+    in two levels like ``chunk_offsets``."""
+    def beside(w):
+        return F.lag("_TAIL").over(w).alias("_PREV_TAIL"), F.lead("_HEAD").over(w).alias("_NEXT_HEAD")
+
+    if not many:
+        return per_chunk.select(S.DEVICE_ID, S.CHUNK, *beside(Window.partitionBy(S.DEVICE_ID).orderBy(S.CHUNK)))
+    block = [S.DEVICE_ID, "_BLOCK"]
+    chunks = _in_blocks(per_chunk)
+    inside = chunks.select(*block, S.CHUNK, *beside(Window.partitionBy(*block).orderBy(S.CHUNK)))
+    days = chunks.groupBy(*block).agg(F.min_by("_HEAD", S.CHUNK).alias("_HEAD"), F.max_by("_TAIL", S.CHUNK).alias("_TAIL"))
+    days = days.select(*block, *beside(Window.partitionBy(S.DEVICE_ID).orderBy("_BLOCK"))).withColumnsRenamed(
+        {"_PREV_TAIL": "_DAY_TAIL", "_NEXT_HEAD": "_DAY_HEAD"})
+    return inside.join(days, block).select(S.DEVICE_ID, S.CHUNK, F.coalesce("_PREV_TAIL", "_DAY_TAIL").alias("_PREV_TAIL"),
+                                           F.coalesce("_NEXT_HEAD", "_DAY_HEAD").alias("_NEXT_HEAD"))
+
+
 def island_ids(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
                tiebreak: Sequence[str] = (), batch_cols: Sequence[str] = ()) -> DataFrame:
     """The non-idle readings with ``RUN_ID`` (idle readings of the device so far).
@@ -169,11 +212,12 @@ def island_ids(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_S
     (how a destination that was loaded batch by batch looks before repair).
     """
     keys = [S.DEVICE_ID, *batch_cols]
+    chunk_seconds = resolve_chunks(readings, chunk_seconds)
     r, local, _ = _local_ids(readings, chunk_seconds, tiebreak, keys)
 
     # One row per (device, chunk): partial aggregation happens before the shuffle.
     per_chunk = r.groupBy(*keys, S.CHUNK).agg(F.sum("_IDLE").alias("_N_IDLE"))
-    offsets = per_chunk.select(*keys, S.CHUNK, _offset(keys).alias("_OFFSET"))
+    offsets = chunk_offsets(per_chunk, keys, _many(chunk_seconds))
 
     kept = local.where(F.col("_IDLE") == 0)
     return (kept.join(offsets, [*keys, S.CHUNK], "inner")
@@ -188,6 +232,7 @@ def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: float
     Computed inside each (device, chunk) window; the first / last reading of a chunk takes
     its neighbour from the previous / next non-empty chunk through the per-chunk table.
     """
+    chunk_seconds = resolve_chunks(readings, chunk_seconds)
     r = with_chunk(clean(readings), chunk_seconds)
     cols = list(columns)
     order = _order(tiebreak, [F.col(c) for c in cols])
@@ -204,11 +249,7 @@ def neighbours(readings: DataFrame, columns: Sequence[str], chunk_seconds: float
     edge = F.struct(*[F.col(c) for c in cols])
     per_chunk = r.groupBy(S.DEVICE_ID, S.CHUNK).agg(
         F.min_by(edge, order_key).alias("_HEAD"), F.max_by(edge, order_key).alias("_TAIL"))
-    w_dev = Window.partitionBy(S.DEVICE_ID).orderBy(S.CHUNK)
-    across = per_chunk.select(
-        S.DEVICE_ID, S.CHUNK,
-        F.lag("_TAIL").over(w_dev).alias("_PREV_TAIL"),
-        F.lead("_HEAD").over(w_dev).alias("_NEXT_HEAD"))
+    across = chunk_neighbours(per_chunk, _many(chunk_seconds))
 
     j = inner.join(across, [S.DEVICE_ID, S.CHUNK], "inner")
     out = j.select(

@@ -12,53 +12,45 @@ from flowruns.functions import epoch_seconds
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, island_ids
 
 
-def sample_sd(c: str) -> Column:
+def _sd(c: str) -> str:
     """Sample standard deviation; one value gives 0.0, none gives NULL, NaN gives 0.0.
 
     (Older Spark returned NaN for a single value and the job turned NaN into 0.0; Spark 4
     returns NULL there, so the single-value case is written out.)
     """
-    return (F.when(F.count(c) == 1, F.lit(0.0))
-            .otherwise(F.nanvl(F.stddev_samp(c), F.lit(0.0))))
-
-
-def mode_count(k: int) -> Column:
-    """``count(case when MODE = k then 1 end)``."""
-    return F.count(F.when(F.col(S.MODE) == k, F.lit(1))).cast("bigint")
+    return f"CASE WHEN count({c}) = 1 THEN 0.0D ELSE nanvl(stddev_samp({c}), 0.0D) END"
+
+
+def _mode(k: int) -> str:
+    """Readings in mode ``k``."""
+    return f"CAST(count(CASE WHEN {S.MODE} = {k} THEN 1 END) AS BIGINT)"
+
+
+#: The aggregates of the run summary (A2-A7) and their columns, in output order.
+AGGREGATES = [
+    (f"min({S.TIMESTAMP})", S.START),
+    (f"max({S.TIMESTAMP})", S.END),
+    ("CAST(count(1) AS BIGINT)", S.RECORDS),
+    (f"max({S.FLOW_RATE})", "MAX_FLOW_RATE"),
+    (f"avg({S.FLOW_RATE})", "AVG_FLOW_RATE"),
+    (f"sum({S.FLOW_RATE})", "SUM_FLOW_RATE"),
+    (f"CAST(min({S.TEMPERATURE}) AS INT)", "MIN_TEMPERATURE"),
+    (f"CAST(max({S.TEMPERATURE}) AS INT)", "MAX_TEMPERATURE"),
+    (f"avg({S.TEMPERATURE})", "AVG_TEMPERATURE"),
+    (f"min({S.PRESSURE})", "MIN_PRESSURE"),
+    (f"max({S.PRESSURE})", "MAX_PRESSURE"),
+    (f"avg({S.PRESSURE})", "AVG_PRESSURE"),
+    (_sd(S.PRESSURE), "SD_PRESSURE"),
+    (_sd(S.FLOW_RATE), "SD_FLOW_RATE"),
+    (_mode(2), "SYSTEM_MODE_2"),
+    (_mode(3), "SYSTEM_MODE_3"),
+    (_mode(5), "SYSTEM_MODE_5"),
+]
 
 
 def run_aggregates() -> list[Column]:
-    """The aggregate list of the run summary (A2-A7), in output order.
-
-    Written as SQL expressions: the same aggregates as ``sample_sd`` / ``mode_count``,
-    built with one call into the JVM each.
-    """
-    def sd(c: str) -> str:
-        return f"CASE WHEN count({c}) = 1 THEN 0.0D ELSE nanvl(stddev_samp({c}), 0.0D) END"
-
-    def mode(k: int) -> str:
-        return f"CAST(count(CASE WHEN {S.MODE} = {k} THEN 1 END) AS BIGINT)"
-
-    exprs = [
-        (f"min({S.TIMESTAMP})", S.START),
-        (f"max({S.TIMESTAMP})", S.END),
-        ("CAST(count(1) AS BIGINT)", S.RECORDS),
-        (f"max({S.FLOW_RATE})", "MAX_FLOW_RATE"),
-        (f"avg({S.FLOW_RATE})", "AVG_FLOW_RATE"),
-        (f"sum({S.FLOW_RATE})", "SUM_FLOW_RATE"),
-        (f"CAST(min({S.TEMPERATURE}) AS INT)", "MIN_TEMPERATURE"),
-        (f"CAST(max({S.TEMPERATURE}) AS INT)", "MAX_TEMPERATURE"),
-        (f"avg({S.TEMPERATURE})", "AVG_TEMPERATURE"),
-        (f"min({S.PRESSURE})", "MIN_PRESSURE"),
-        (f"max({S.PRESSURE})", "MAX_PRESSURE"),
-        (f"avg({S.PRESSURE})", "AVG_PRESSURE"),
-        (sd(S.PRESSURE), "SD_PRESSURE"),
-        (sd(S.FLOW_RATE), "SD_FLOW_RATE"),
-        (mode(2), "SYSTEM_MODE_2"),
-        (mode(3), "SYSTEM_MODE_3"),
-        (mode(5), "SYSTEM_MODE_5"),
-    ]
-    return [F.expr(f"{e} AS {name}") for e, name in exprs]
+    """``AGGREGATES`` as columns; written as SQL expressions, one call into the JVM each."""
+    return [F.expr(f"{e} AS {name}") for e, name in AGGREGATES]
 
 
 def duration() -> Column:
@@ -82,28 +74,8 @@ def summarize_runs(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHU
     return summarize_ids(island_ids(readings, chunk_seconds, tiebreak, batch_cols), batch_cols)
 
 
-SUMMARY_SQL = """
-SELECT DEVICE_ID,
-       min(TIMESTAMP) AS START_TIMESTAMP,
-       max(TIMESTAMP) AS END_TIMESTAMP,
-       CAST(count(*) AS BIGINT) AS RECORDS,
-       max(FLOW_RATE) AS MAX_FLOW_RATE,
-       avg(FLOW_RATE) AS AVG_FLOW_RATE,
-       sum(FLOW_RATE) AS SUM_FLOW_RATE,
-       min(TEMPERATURE) AS MIN_TEMPERATURE,
-       max(TEMPERATURE) AS MAX_TEMPERATURE,
-       avg(TEMPERATURE) AS AVG_TEMPERATURE,
-       min(PRESSURE) AS MIN_PRESSURE,
-       max(PRESSURE) AS MAX_PRESSURE,
-       avg(PRESSURE) AS AVG_PRESSURE,
-       CASE WHEN count(PRESSURE) = 1 THEN 0.0 ELSE nanvl(stddev_samp(PRESSURE), 0.0) END AS SD_PRESSURE,
-       CASE WHEN count(FLOW_RATE) = 1 THEN 0.0 ELSE nanvl(stddev_samp(FLOW_RATE), 0.0) END AS SD_FLOW_RATE,
-       CAST(count(CASE WHEN MODE = 2 THEN 1 END) AS BIGINT) AS SYSTEM_MODE_2,
-       CAST(count(CASE WHEN MODE = 3 THEN 1 END) AS BIGINT) AS SYSTEM_MODE_3,
-       CAST(count(CASE WHEN MODE = 5 THEN 1 END) AS BIGINT) AS SYSTEM_MODE_5
-FROM {view}
-GROUP BY DEVICE_ID, RUN_ID
-"""
+SUMMARY_SQL = (f"SELECT {S.DEVICE_ID}, " + ", ".join(f"{e} AS {name}" for e, name in AGGREGATES)
+               + f" FROM {{view}} GROUP BY {S.DEVICE_ID}, {S.RUN_ID}")
 
 
 def summarize_view(spark, ids: DataFrame, view: str = "run_readings") -> DataFrame:

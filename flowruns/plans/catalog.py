@@ -17,6 +17,7 @@ from flowruns.functions import epoch_seconds, seam_bounds
 from flowruns.operators import extents as X
 from flowruns.operators import repair as P
 from flowruns.operators.late import late_intervals
+from flowruns.operators.merge import merge_fragments, summarize_parts
 from flowruns.operators.runs import island_bounds, island_ids, neighbours, nonzero_readings, prune_readings, zero_flag
 from flowruns.operators.summary import summarize_runs, summarize_view
 from flowruns.plans import jobs, runner
@@ -25,7 +26,7 @@ from flowruns.session import ensure_checkpoint_dir
 from flowruns.sources import sinks, versions
 from flowruns.sources.readers import read_source
 from flowruns.sources.readers import readings as load_readings
-from flowruns.sources.scans import extent_bounds, scan_after, scan_closed_devices, scan_half_open, scan_seam, scan_seam_windows
+from flowruns.sources.scans import extent_bounds, scan_after, scan_closed_devices, scan_extent_buckets, scan_half_open, scan_seam, scan_seam_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -325,6 +326,26 @@ def build() -> dict[str, Query]:
         return present(sinks.read_runs(spark, path), S.RUN_COLUMNS)
     q["job_range_delete"] = job_range_delete
 
+    def _merge_fragments(spark, sf):
+        """The fragments of a load day by day, merged without a second look at their readings."""
+        rd = load_readings(spark, sf)
+        parts = stored(summarize_parts(rd.withColumn("_BATCH", F.to_date(S.TIMESTAMP)), batch_cols=["_BATCH"]))
+        return present(merge_fragments(rd, parts), S.RUN_COLUMNS)
+    q["merge_fragments"] = _merge_fragments
+
+    def extent_bucket_join(spark, sf):
+        """J5 by time buckets, as for extents too many to broadcast."""
+        rd = load_readings(spark, sf)
+        ext = stored(_cut_extents(rd))
+        return scan_extent_buckets(rd, ext, *extent_bounds(ext))
+    q["extent_bucket_join"] = extent_bucket_join
+
+    def checkpoint_observed(spark, sf):
+        """The checkpoint row of a load, observed while its runs are written."""
+        rd = load_readings(spark, sf)
+        return jobs.incremental(rd, stored(FX.runs_before(rd)), FX.empty_checkpoints(spark))[1]
+    q["checkpoint_observed"] = checkpoint_observed
+
     def _late_intervals(spark, sf):
         """What the late tenth of the readings can change in the runs of the others."""
         rd = load_readings(spark, sf)

@@ -33,8 +33,8 @@ from flowruns.operators.repair import (
 )
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, resolve_chunks
 from flowruns.operators.summary import summarize_runs
-from flowruns.session import materialize, small_side
-from flowruns.sources.scans import scan_half_open, scan_per_extent, scan_seam, scan_seam_windows, scan_started
+from flowruns.session import materialize, measured, small_table
+from flowruns.sources.scans import scan_extents, scan_half_open, scan_seam, scan_seam_windows, scan_started
 from flowruns.sources.versions import Version
 
 
@@ -42,10 +42,10 @@ def _ts(v) -> Column:
     return ntz(v)
 
 
-def _stats(extents: DataFrame) -> tuple:
-    """Row count and global bounds of a materialized extent table, in one action."""
-    row = extents.agg(F.count(F.lit(1)).alias("n"), F.min(S.START).alias("lo"), F.max(S.END).alias("hi")).first()
-    return row["n"], row["lo"], row["hi"]
+def _settled(extents: DataFrame) -> tuple:
+    """An extent table, materialized and marked for broadcast where it fits, and its rows, bounds and whether it
+    fits; all in one job."""
+    return small_table(extents, lo=F.min(S.START), hi=F.max(S.END))
 
 
 def backfill(readings: DataFrame, frm, to, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS,
@@ -56,10 +56,10 @@ def backfill(readings: DataFrame, frm, to, chunk_seconds: float | str = DEFAULT_
 
 def bridge_islands(readings: DataFrame, runs: DataFrame, extents: DataFrame,
                    chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
-                   lo=None, hi=None) -> DataFrame:
+                   lo=None, hi=None, broadcast: bool = True) -> DataFrame:
     """J5 + confirmation: recompute each extent from its own readings and keep the runs
     that join stored fragments."""
-    recomputed = recompute_extents(readings, extents, chunk_seconds, tiebreak, lo, hi)
+    recomputed = recompute_extents(readings, extents, chunk_seconds, tiebreak, lo, hi, broadcast)
     return confirm_bridges(recomputed, runs_within(runs, extents))
 
 
@@ -71,17 +71,17 @@ def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFram
     Returns ``(new run table, changed start dates)``; the dates are those of the bridges
     and of the fragments they replace (``None`` when nothing could change).
     """
-    extents = materialize(extents)
-    n, lo, hi = _stats(extents)
-    if not n:
+    extents, seen = _settled(extents)
+    if not seen.n:
         return runs, None
-    extents = small_side(extents)
+    lo, hi = seen.lo, seen.hi
     if chunk_seconds == "auto":  # one estimate for the whole repair, from the re-read scope
-        chunk_seconds = resolve_chunks(scan_per_extent(readings, extents, lo, hi))
+        chunk_seconds = resolve_chunks(scan_extents(readings, extents, lo, hi, seen.fits))
     # a bridge and all it replaces start between the extents' bounds
     near = scan_started(runs, lo, hi)
-    bridges = materialize(bridge_islands(readings, near, extents, chunk_seconds, tiebreak, lo, hi))
-    bridges = small_side(bridges)
+    bridges, found = small_table(bridge_islands(readings, near, extents, chunk_seconds, tiebreak, lo, hi, seen.fits))
+    if not found.n:
+        return runs, None
     b = bridges.select(F.col(S.DEVICE_ID).alias("_bd"), F.col(S.START).alias("_bs"), F.col(S.END).alias("_be"))
     cond = (near[S.DEVICE_ID] == b["_bd"]) & (near[S.START] >= b["_bs"]) & (near[S.END] <= b["_be"])
     changed = start_dates(near.join(b, cond, "left_semi"), bridges)
@@ -90,11 +90,10 @@ def repair_extents_delta(readings: DataFrame, runs: DataFrame, extents: DataFram
 
 def delete_delta(runs: DataFrame, extents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """``(the runs without those inside their device's extents, changed start dates)``."""
-    extents = materialize(extents)
-    n, lo, hi = _stats(extents)
-    if not n:
+    extents, seen = _settled(extents)
+    if not seen.n:
         return runs, None
-    extents = small_side(extents)
+    lo, hi = seen.lo, seen.hi
     near = scan_started(runs, lo, hi + dt.timedelta(seconds=1))  # END is compared in whole seconds
     gone = near.join(range_delete(near, extents).select(S.DEVICE_ID, S.START, S.END), [S.DEVICE_ID, S.START, S.END], "left_anti")
     return range_delete(runs, extents), start_dates(gone)
@@ -124,9 +123,8 @@ def heal_duplicates(runs: DataFrame, version: Version | None = None, changed: Da
     out = []
     for find, dedupe, keys, where in ((duplicate_starts, dedupe_same_start, [S.DEVICE_ID, S.START], fresh),
                                       (duplicate_ends, dedupe_same_end, [S.DEVICE_ID, S.END], same_end)):
-        keyed = materialize(find(runs.where(where)).select(*keys))
-        if not keyed.isEmpty():
-            keyed = small_side(keyed)
+        keyed, seen = small_table(find(runs.where(where)).select(*keys))
+        if seen.n:
             out.append(start_dates(runs.where(where).join(keyed, keys, "left_semi")))
             runs = dedupe(runs, keyed)
     return runs, reduce(DataFrame.unionByName, out).distinct() if out else None
@@ -248,34 +246,34 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
         cp = runs.agg(F.max(S.END)).first()[0]
     ts, end = F.col(S.TIMESTAMP), F.col(S.END)
 
-    def ckpt(new_runs):
-        return new_runs.agg(F.max(S.END).alias(S.TIMESTAMP)).where(F.col(S.TIMESTAMP).isNotNull())
+    def loaded(batch, chunks):
+        """The new runs, and the checkpoint row (A11, S7): the batch's last END, observed as the runs are written."""
+        new_runs, seen = measured(summarize_runs(batch, chunks, tiebreak), end=F.max(S.END))
+        return new_runs, runs.sparkSession.createDataFrame([] if seen.end is None else [(seen.end,)], S.CHECKPOINT_SCHEMA)
 
     if cp is None:  # nothing loaded yet: everything is new
-        new_runs = materialize(summarize_runs(readings, chunk_seconds, tiebreak))
-        return new_runs, ckpt(new_runs), start_dates(new_runs)
+        new_runs, ckpt = loaded(readings, chunk_seconds)
+        return new_runs, ckpt, start_dates(new_runs)
 
     lo = cp - dt.timedelta(seconds=int(lateness_seconds))
     touched_runs = runs.where(end > _ts(lo))
     if version is not None:  # the folders that hold such a run
         touched_runs = touched_runs.where(version.ending(lo))
-    touched = materialize(touched_runs.groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM")))
-    first_from = touched.agg(F.min("_FROM")).first()[0]
-    touched = small_side(touched)
-    floor = min(lo, first_from) if first_from is not None else lo
+    touched, seen = small_table(touched_runs.groupBy(S.DEVICE_ID).agg(F.min(S.START).alias("_FROM")), first=F.min("_FROM"))
+    floor = lo if seen.first is None else min(lo, seen.first)
 
     batch = (readings.where(ts >= _ts(floor))
              .join(touched, S.DEVICE_ID, "left")
              .where((ts > _ts(lo)) | (F.col("_FROM").isNotNull() & (ts >= F.col("_FROM"))))
              .drop("_FROM"))
     chunk_seconds = resolve_chunks(batch, chunk_seconds)
-    new_runs = materialize(summarize_runs(batch, chunk_seconds, tiebreak))
+    new_runs, ckpt = loaded(batch, chunk_seconds)
 
     out, bridged = stitch_delta(readings, runs.where(end <= _ts(lo)), new_runs, chunk_seconds, tiebreak, version)
     changed = start_dates(touched_runs, new_runs)
     if bridged is not None:
         changed = changed.unionByName(bridged).distinct()
-    return out, ckpt(new_runs), changed
+    return out, ckpt, changed
 
 
 def incremental(readings: DataFrame, runs: DataFrame, checkpoints: DataFrame, lateness_seconds: int = 0,

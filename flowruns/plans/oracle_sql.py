@@ -262,6 +262,10 @@ WHERE NOT EXISTS (SELECT 1 FROM ext x WHERE x.DEVICE_ID = c.DEVICE_ID AND c.STAR
     q["job_publish_recovery"] = q["island_summary"]
     q["job_consolidate_heal"] = q["island_summary"]
     q["job_concurrent_publish"] = q["island_summary"]
+    q["merge_fragments"] = q["island_summary"]
+    q["extent_bucket_join"] = _w(READINGS, CUT_RUNS, EXT) + f"""SELECT {_sel(R).replace('"DEVICE_ID"', 'r."DEVICE_ID"')}
+FROM readings r JOIN ext x ON r.DEVICE_ID = x.DEVICE_ID AND "TIMESTAMP" BETWEEN x.START_TIMESTAMP AND x.END_TIMESTAMP"""
+    q["checkpoint_observed"] = _w(READINGS, AFTER) + 'SELECT max(END_TIMESTAMP) AS "TIMESTAMP" FROM after_runs'
     q["job_range_delete"] = q["range_delete"]
     q["zone_map_scan"] = _w(READINGS, CUT_RUNS, seam_windows_cte("cut")) + f"SELECT {present(RUNS)} FROM seam"
     # Late readings: the runs of a device are disjoint, so their ENDs are in the order of their STARTs.

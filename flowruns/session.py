@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
@@ -63,8 +63,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def measured(df: DataFrame, **aggregates: Column) -> tuple[DataFrame, Row]:
+    """``materialize(df)`` and the given aggregates of it, observed while it is written: one job, no second pass."""
+    seen = Observation()
+    out = materialize(df.observe(seen, *[c.alias(name) for name, c in aggregates.items()]))
+    return out, Row(**seen.get)
+
+
+def _bytes(df: DataFrame) -> dict[str, Column]:
+    """Rows and bytes of device ids, from which ``small_side`` knows a table's size."""
+    return {"n": F.count(F.lit(1)), "ids": F.coalesce(F.sum(F.octet_length(S.DEVICE_ID)), F.lit(0))}
+
+
+def small_table(df: DataFrame, max_bytes: int | None = None, **aggregates: Column) -> tuple[DataFrame, Row]:
+    """``measured``, with ``n`` (rows) and ``fits`` in the row, and the table marked for broadcast where it fits (``small_side``)."""
+    out, row = measured(df, **_bytes(df), **aggregates)
+    fits = row["n"] * 8 * (len(df.columns) + 1) + row["ids"] <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes)
+    return F.broadcast(out) if fits else out, Row(**row.asDict(), fits=fits)
+
+
 def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast a materialized per-device table only when its size, measured here, is within
     ``max_bytes`` (8 bytes a column and the device ids); otherwise leave the join strategy to Spark/AQE."""
-    n, ids = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(S.DEVICE_ID)), F.lit(0))).first()
+    n, ids = df.agg(*_bytes(df).values()).first()
     return F.broadcast(df) if n * 8 * (len(df.columns) + 1) + ids <= max_bytes else df

@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowruns import schema as S
-from flowruns.functions import ntz, seam_bounds
+from flowruns.functions import epoch_micros, ntz, seam_bounds
 from flowruns.sources.versions import Version
 
+# Widths of the buckets of ``scan_extent_buckets`` in microseconds: hour, day, 32 days.
+BUCKETS_US = (3_600_000_000, 86_400_000_000, 32 * 86_400_000_000)
+
 
 def _lit_or_col(v) -> Column:
     return ntz(v)
@@ -71,6 +74,38 @@ def scan_per_extent(readings: DataFrame, extents: DataFrame, lo=None, hi=None) -
     return r.join(x, cond, "inner").drop("_xd", "_xs", "_xe")
 
 
+def extent_buckets(extents: DataFrame, width_us: int) -> DataFrame:
+    """The extents with ``_BUCKET``, a row for each time bucket of the width that they meet."""
+    first, last = (F.floor(epoch_micros(c) / width_us) for c in (S.START, S.END))
+    return extents.withColumn("_BUCKET", F.explode(F.sequence(first, last)))
+
+
+def bucket_width(extents: DataFrame, spare_rows: int = 10_000_000) -> int:
+    """The narrowest bucket width of ``BUCKETS_US`` at which the extents meet at most ``spare_rows`` buckets, or four each."""
+    counts = [F.sum(F.floor(epoch_micros(S.END) / w) - F.floor(epoch_micros(S.START) / w) + 1) for w in BUCKETS_US]
+    row = extents.agg(F.count(F.lit(1)), *counts).first()
+    fitting = [w for w, n in zip(BUCKETS_US, row[1:]) if (n or 0) <= max(spare_rows, 4 * row[0])]
+    return fitting[0] if fitting else BUCKETS_US[-1]
+
+
+def scan_extent_buckets(readings: DataFrame, extents: DataFrame, lo=None, hi=None, width_us: int | None = None) -> DataFrame:
+    """J5 for extents too many to broadcast: an equi-join on (device, time bucket), so that the readings of a hot device
+    are dealt over many tasks; the extents' own bounds then decide. Extents of a device must not overlap."""
+    width_us = width_us or bucket_width(extents)
+    x = extent_buckets(extents, width_us).withColumnsRenamed({S.DEVICE_ID: "_xd", S.START: "_xs", S.END: "_xe", "_BUCKET": "_xb"})
+    lo = extents.select(F.min(S.START)).scalar() if lo is None else _lit_or_col(lo)
+    hi = extents.select(F.max(S.END)).scalar() if hi is None else _lit_or_col(hi)
+    ts = F.col(S.TIMESTAMP)
+    r = readings.where((ts >= lo) & (ts <= hi)).withColumn("_BUCKET", F.floor(epoch_micros(S.TIMESTAMP) / width_us))
+    cond = (r[S.DEVICE_ID] == x["_xd"]) & (r["_BUCKET"] == x["_xb"]) & (ts >= x["_xs"]) & (ts <= x["_xe"])
+    return r.join(x, cond, "inner").drop("_xd", "_xs", "_xe", "_xb", "_BUCKET")
+
+
+def scan_extents(readings: DataFrame, extents: DataFrame, lo, hi, broadcast: bool) -> DataFrame:
+    """J5 by broadcast of the extents, or by time buckets where they are too many."""
+    return (scan_per_extent if broadcast else scan_extent_buckets)(readings, extents, lo, hi)
+
+
 def scan_seam(runs: DataFrame, batch_start, seam_seconds: int = 1, version: Version | None = None) -> DataFrame:
     """Runs that start just after or end just before ``batch_start``.
 

@@ -22,9 +22,9 @@ from flowruns.operators.late import late_intervals
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, clean, resolve_chunks
 from flowruns.operators.summary import summarize_runs
 from flowruns.plans.jobs import start_dates
-from flowruns.session import materialize, small_side
+from flowruns.session import materialize, small_table
 from flowruns.sources import sinks, versions
-from flowruns.sources.scans import extent_bounds, scan_per_extent, scan_started
+from flowruns.sources.scans import scan_extents, scan_started
 from flowruns.sources.versions import Version
 
 
@@ -37,12 +37,11 @@ def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataF
     runs inside it. ``version`` is the stored version that ``runs`` was read from. Returns
     ``(new run table, changed start dates or None)``.
     """
-    touched = materialize(late_intervals(runs, new_readings, version))
-    lo, hi = extent_bounds(touched)
-    if lo is None:
+    touched, seen = small_table(late_intervals(runs, new_readings, version), lo=F.min(S.START), hi=F.max(S.END))
+    if not seen.n:
         return runs, None
-    touched = small_side(touched)
-    reread = scan_per_extent(readings, touched, lo, hi)
+    lo, hi = seen.lo, seen.hi
+    reread = scan_extents(readings, touched, lo, hi, seen.fits)
     chunk_seconds = resolve_chunks(reread, chunk_seconds)
     new_runs = materialize(summarize_runs(reread, chunk_seconds, tiebreak, batch_cols=["_INTERVAL"]))
 

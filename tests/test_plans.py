@@ -10,19 +10,19 @@ from conftest import SF_SMALL
 from flowruns import schema as S
 from flowruns.operators.runs import resolve_chunks, with_chunk
 from flowruns.operators.summary import summarize_runs
-from flowruns.plans import jobs
+from flowruns.plans import catalog, jobs
 from flowruns.sources import fixtures as FX
 from flowruns.sources.readers import readings
 
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-       "FlatMapGroupsInPandas", "MapInPandas")
+       "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow", "FlatMapCoGroupsInPandas")
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"incremental_equals_full"}))
+@pytest.mark.parametrize("name", sorted(set(catalog.build()) - {"incremental_equals_full"}))
 def test_no_pair_joins_or_python_in_any_query(spark, name):
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # the static plan shows every operator
     try:
