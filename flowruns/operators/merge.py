@@ -33,10 +33,16 @@ PART_COLUMNS = [*S.RUN_COLUMNS, *COUNTS.values()]
 def summarize_parts(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
                     batch_cols: Sequence[str] = ()) -> DataFrame:
     """The run summary with the counts of non-null values (the same shuffle, three more columns)."""
+    return numbered_parts(readings, chunk_seconds, tiebreak, batch_cols).select(*PART_COLUMNS)
+
+
+def numbered_parts(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
+                   batch_cols: Sequence[str] = ()) -> DataFrame:
+    """``summarize_parts`` with RUN_ID: the idle readings up to the run, so 0 is a run that no idle reading of these precedes."""
     counts = [F.count(mean.removeprefix("AVG_")).alias(n) for mean, n in COUNTS.items()]
     ids = island_ids(readings, chunk_seconds, tiebreak, batch_cols)
     runs = ids.groupBy(S.DEVICE_ID, *batch_cols, S.RUN_ID).agg(*run_aggregates(), *counts)
-    return runs.select(*[c for c in S.RUN_COLUMNS if c != S.DURATION], duration(), *COUNTS.values())
+    return runs.select(S.RUN_ID, *[c for c in S.RUN_COLUMNS if c != S.DURATION], duration(), *COUNTS.values())
 
 
 def merge_rows(parts: DataFrame, keys: Sequence[str]) -> DataFrame:

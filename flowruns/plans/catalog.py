@@ -353,7 +353,7 @@ def build() -> dict[str, Query]:
         return late_intervals(stored(FX.runs_whole(rd.where(~late))), rd.where(late)).select(S.DEVICE_ID, S.START, S.END)
     q["late_intervals"] = _late_intervals
 
-    def streamed(spark, sf, step) -> DataFrame:
+    def streamed(spark, sf, step, keep_state=False) -> DataFrame:
         """The run table after streaming the events in ``STREAM_STEPS`` deliveries (``step``: a column from 0);
         after each, the table must equal a full recompute of what was delivered."""
         from flowruns.sources.readers import readings_from_events, table
@@ -364,22 +364,30 @@ def build() -> dict[str, Query]:
         for k in range(STREAM_STEPS):
             events.where(step(events) == k).repartition(STREAM_FILES).write.mode("append").parquet(f"{root}/source")
             start_stream(spark, f"{root}/source", events.schema, f"{root}/runs", f"{root}/_stream",
-                         to_readings=readings_from_events).awaitTermination()
+                         to_readings=readings_from_events, keep_state=keep_state).awaitTermination()
             full = summarize_runs(readings_from_events(spark.read.schema(events.schema).parquet(f"{root}/source")))
             now, want = (df.select(*KEYS, S.RECORDS) for df in (sinks.read_runs(spark, f"{root}/runs"), full))
             if not (now.exceptAll(want).isEmpty() and want.exceptAll(now).isEmpty()):
                 raise AssertionError(f"the streamed table differs from a full recompute after step {k}")
         return present(sinks.read_runs(spark, f"{root}/runs"), S.RUN_COLUMNS)
 
+    def by_time(events):
+        lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+        cuts = [lo + (hi - lo) * k / STREAM_STEPS for k in range(1, STREAM_STEPS)] if lo else []
+        return sum((F.when(F.col("ts") >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+
     def incremental_equals_full(spark, sf):
         """The events arrive in time order, one micro-batch a delivery."""
-        def by_time(events):
-            lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
-            cuts = [lo + (hi - lo) * k / STREAM_STEPS for k in range(1, STREAM_STEPS)] if lo else []
-            return sum((F.when(F.col("ts") >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
         return streamed(spark, sf, by_time)
     q["incremental_equals_full"] = incremental_equals_full
 
+    def incremental_state(spark, sf):
+        """T1 by the state of open runs: the events arrive in time order, but for every seventh, which comes a delivery late."""
+        def mostly_by_time(events):
+            return F.least(by_time(events) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0), F.lit(STREAM_STEPS - 1))
+        return streamed(spark, sf, mostly_by_time, keep_state=True)
+    q["incremental_state"] = incremental_state
+
     def incremental_late_rows(spark, sf):
         """Every delivery holds readings from the whole time range, so most are late."""
         return streamed(spark, sf, lambda events: F.pmod(F.col("event_id"), F.lit(STREAM_STEPS)))

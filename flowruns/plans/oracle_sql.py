@@ -259,6 +259,7 @@ WHERE NOT EXISTS (SELECT 1 FROM ext x WHERE x.DEVICE_ID = c.DEVICE_ID AND c.STAR
     q["job_consolidate_daily"] = q["island_summary"]
     q["incremental_equals_full"] = q["island_summary"]
     q["incremental_late_rows"] = q["island_summary"]
+    q["incremental_state"] = q["island_summary"]
     q["job_publish_recovery"] = q["island_summary"]
     q["job_consolidate_heal"] = q["island_summary"]
     q["job_concurrent_publish"] = q["island_summary"]
