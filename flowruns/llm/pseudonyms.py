@@ -1,8 +1,8 @@
 """Format-preserving Feistel pseudonyms for private numbers, dates and mail names.
 
-Found and validated: payment card numbers (Luhn), international phone numbers, US social security numbers,
-IPv4 addresses, dates (ISO, within ``FIRST_DAY`` and ``DAYS``) and mail addresses (the part before
-``@``). Each is permuted by a keyed Feistel network within its own format: the characters that vary are
+Found and validated: payment card numbers (Luhn), bank account numbers (IBAN, by their country's length and
+mod 97), international phone numbers, US social security numbers, IPv4 addresses, dates (ISO, within ``FIRST_DAY`` and
+``DAYS``) and mail addresses (the part before ``@``). Each is permuted by a keyed Feistel network within its own format: the characters that vary are
 numbers below a radix (digits 10, letters 26, octets 256, ...), cut into two halves; in every round each
 number of one half is moved by a keyed digest of the other half, modulo its radix. That is a
 permutation of the format's values, so equal values stay equal in all documents, different ones stay
@@ -12,6 +12,11 @@ different, and lengths, separators, letter case and check digits stay valid. Wit
 All of it is DataFrame functions; texts without a digit or ``@`` skip it. Values are found in the
 document's own row, so nothing is shuffled.
 
+Where a phone number ends is decided by the number alone, so other digits beside it neither change it nor are changed:
+countries whose numbers all have one length end there (``PHONE_DIGITS``); elsewhere a number ends with the group of digits that
+holds its tenth digit, country code included, and has 15 digits at most. Shorter ones are not taken for phone numbers. The country code
+(``TWO_DIGIT_CODES``; 1 and 7; else three digits) stays, in any spelling of the number.
+
 Defined cases: null texts stay null; what does not validate (a wrong check digit, an octet above 255, an
 impossible date) stays as it is; repeated rows get equal results; an empty table gives an empty
 result; whole texts are searched; extra columns are kept, whatever their names.
@@ -25,10 +30,23 @@ from flowruns.llm.common import table
 
 ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", 270 * 270  # a square number of days: two numbers below 270
+# The country codes of two digits.
+TWO_DIGIT_CODES = ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                   "81 82 84 86 90 91 92 93 94 95 98").split()
+# Digits after the country code -> the country codes whose numbers all have so many.
+PHONE_DIGITS = {10: "1 7 30 44 52 57 63 90 91 92 98", 9: "33 34 48 375 380 420 421 994 995 998"}
+# Length of an IBAN -> its countries.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH DE GB GE IE ME RS",
+                23: "AE GI IL", 24: "AD CZ ES MD PK RO SA SE SK TN", 25: "PT", 26: "IS TR", 27: "FR GR IT MC SM", 28: "AL AZ CY HU LB PL",
+                29: "BR QA UA", 31: "MT"}
+GAP = "[ .()-]{0,2}"
 #: What is looked for, in this order at each place.
 PATTERNS = {
     "mail": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9][A-Za-z0-9.-]{0,253}\.[A-Za-z]{2,24}",
-    "phone": r"\+[0-9]{1,3}(?:[ .()-]{0,2}[0-9]){7,12}(?![0-9])",
+    "iban": "(?<![0-9A-Za-z])(?:" + "|".join(f"(?:{of.replace(' ', '|')})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}" for n, of in IBAN_LENGTHS.items())
+            + ")(?![0-9A-Za-z])",
+    "phone": r"\+(?:" + "|".join(f"(?:{of.replace(' ', '|')})(?:{GAP}[0-9]){{{n}}}(?![0-9])" for n, of in PHONE_DIGITS.items())
+             + f"|[0-9](?:{GAP}[0-9]){{9}}[0-9]{{0,5}}(?![0-9]))",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -91,13 +109,19 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(digits, part), F.lit(0), lambda a, x: a + x)
 
 
+def mod97(characters: Column) -> Column:
+    """The number that the characters spell, letters as 10 to 35, modulo 97."""
+    digit = lambda c: F.instr(F.lit(DIGITS + UPPER), c) - 1
+    return F.aggregate(characters, F.lit(0), lambda a, c: ((a * F.when(digit(c) > 9, 100).otherwise(10) + digit(c)) % 97).cast("int"))
+
+
 def same(n: Column, radix: int) -> Column:
     return F.array_repeat(F.lit(radix), n)
 
 
 def pseudonym(m: Column, key: str, reveal: bool) -> Column:
     """The pseudonym of a found string, or the string itself if it does not validate."""
-    full = lambda name: m.rlike("^(?:" + PATTERNS[name].replace(r"(?<![0-9.])", "").replace(r"(?<![0-9-])", "").replace("(?<![0-9])", "") + ")$")
+    full = lambda name: m.rlike("^(?:" + PATTERNS[name].replace(r"(?<![0-9.])", "").replace(r"(?<![0-9-])", "").replace("(?<![0-9])", "").replace("(?<![0-9A-Za-z])", "") + ")$")
     run = lambda v, r, kind: feistel(v, r, key, kind, reveal)
 
     def mail(x):
@@ -118,11 +142,27 @@ def pseudonym(m: Column, key: str, reveal: bool) -> Column:
             return F.when(luhn(d) % 10 == 0, put_back(chars(x), bind(moved, check), False)).otherwise(x)
         return bind(digits_of(x), work)
 
+    def iban(x):
+        """Country and layout stay; the check digits are those of the moved number."""
+        def work(c):
+            country, own = F.slice(c, 1, 2), F.slice(c, F.lit(5), F.size(c) - 4)
+            checked = lambda o: F.split(F.lpad((98 - mod97(F.concat(o, country, F.array(F.lit("0"), F.lit("0"))))).cast("string"), 2, "0"), "")
+            is_digit = lambda y: y.rlike("[0-9]")
+            number = lambda y: (F.when(is_digit(y), F.instr(F.lit(DIGITS), y)).otherwise(F.instr(F.lit(UPPER), y)) - 1).cast("int")
+            radix = F.transform(own, lambda y: F.when(is_digit(y), 10).otherwise(26))
+            def back(v):
+                spelt = F.zip_with(own, v, lambda y, k: F.substring(F.when(is_digit(y), F.lit(DIGITS)).otherwise(F.lit(UPPER)), k + 1, F.lit(1)))
+                check = F.transform(F.slice(checked(spelt), 1, 2), number)
+                return put_back(chars(x), F.concat(F.transform(country, number), check, v), True)
+            good = F.array_join(F.slice(c, 3, 2), "") == F.array_join(checked(own), "")
+            return F.when(good, bind(run(F.transform(own, number), radix, "iban"), back)).otherwise(x)
+        return bind(chars(F.replace(x, F.lit(" "), F.lit(""))), work)
+
     def phone(x):
-        """The last ten digits (fewer if there are fewer) vary; the area code keeps its first digit above 1."""
+        """The digits after the country code vary; the first of them stays above 1 or below 2."""
         def work(d):
-            code = F.length(F.regexp_extract(x, r"^\+([0-9]{1,3})[ .(-]", 1))
-            code = F.when(code > 0, code).otherwise(F.greatest(F.lit(1), F.size(d) - 10))
+            head = F.array_join(F.slice(d, 1, 2), "")
+            code = F.when(head.rlike("^[17]"), 1).when(head.isin(TWO_DIGIT_CODES), 2).otherwise(3)
             own = F.slice(d, code + 1, F.size(d) - code)
             high = F.get(own, 0) >= 2
             shifted = F.transform(own, lambda y, i: F.when((i == 0) & high, y - 2).otherwise(y))
@@ -160,7 +200,7 @@ def pseudonym(m: Column, key: str, reveal: bool) -> Column:
         return bind(F.transform(F.split(x, "-"), lambda y: y.cast("int")), work)
 
     out = m
-    for name, f in reversed([("mail", mail), ("phone", phone), ("ip", ip), ("date", date), ("ssn", ssn), ("card", card)]):
+    for name, f in reversed([("mail", mail), ("iban", iban), ("phone", phone), ("ip", ip), ("date", date), ("ssn", ssn), ("card", card)]):
         out = F.when(full(name), F.coalesce(f(m), m)).otherwise(out)
     return out
 
