@@ -1,13 +1,17 @@
-"""Benchmark decontamination: shared n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds join passages to test items, then Smith-Waterman alignment.
 
 One pass over the documents finds, in each, the places of all n-word runs that the test items
-have, and keeps the passages around them (word numbers, not text). Every run that a passage shares with
-an item is a seed: around each, a window of the passage as long as the item and its margins; overlapping
-windows of an item are one. Each window is aligned locally with the item, word by word (match +2,
-mismatch -1, gap -1), unless it holds too few of the item's words to reach the limit at all. So how
-often a run occurs in the documents decides nothing, and many edited copies beside few exact ones are
-found. Equal passages of a task are aligned once. A pair counts if its score reaches ``share``
-of the item's greatest score, so edited and paraphrased copies are found.
+have, and keeps the passages around them (word numbers, not text). A run that at most ``RARE`` items of the
+block hold is a rare seed: it joins its passage to all of them. A stock phrase that more items hold
+joins a passage only to those of its items that also have one of their own rarest words there: an item of L words
+cannot have ``share`` of them in a passage without one of its L - share * L + 1 rarest, so the limit loses no
+pair, and phrases common to thousands of items cost no pairs. Rarity counts the items, not the documents: many edited
+copies beside few exact ones stay joined. Around each joined run lies a window of the passage as long as the
+item and its margins; overlapping windows of an item are one. Each window is aligned locally with the item, word by
+word (match +2, mismatch -1, gap -1), unless passage or window holds too few of the item's words to reach the
+limit at all. Equal passages of a task are aligned once. A pair counts if its score reaches ``share``
+of the item's greatest score, so edited and paraphrased copies are found. A passage takes memory for its own
+words and for the block, not for items times places.
 
 The test items travel to the tasks as one broadcast block of at most ``BLOCK_BYTES`` of text; a
 larger benchmark is taken in as many blocks, each against all documents. Words are lower-case runs
@@ -20,6 +24,7 @@ kept; empty tables give an empty result; extra columns do not matter; whole text
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from hashlib import blake2b
@@ -33,6 +38,10 @@ from flowruns.llm.common import staged, table, text_key
 BLOCK_BYTES = 8 << 20
 #: A task remembers the result of about so many different passages (a hash and mostly an empty list each).
 KNOWN = 200_000
+#: A run of more items than this joins through their rarest words.
+RARE = 16
+#: So many windows at most wait for their alignment.
+WAITING = 4096
 MATCH, MISMATCH, GAP = 2, -1, -1
 WORDS = re.compile(r"\w+")
 
@@ -50,10 +59,16 @@ def run_hashes(ids: np.ndarray, n: int) -> np.ndarray:
     return np.where(known, h | np.uint64(1), np.uint64(0))
 
 
+def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of all ranges, one after another."""
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
 class Items:
-    """A block of test items: word numbers, and for every run its occurrences (item, place)."""
+    """A block of test items: word numbers; for every run the items that hold it, with their first and last place
+    of it; for every word the items among whose rarest it is."""
 
-    def __init__(self, rows: list[tuple], n: int):
+    def __init__(self, rows: list[tuple], n: int, share: float):
         self.n, self.vocab = n, {}
         self.ids, self.words = [], []
         for item, text in rows:
@@ -61,39 +76,73 @@ class Items:
             if len(w) >= n:
                 self.ids.append(item)
                 self.words.append(np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in w], dtype=np.int32))
-        occ = [(h, i, k) for i, w in enumerate(self.words) for k, h in enumerate(run_hashes(w, n).tolist())]
-        h = np.array([o[0] for o in occ], dtype=np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.runs, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
-        self.item, self.place = (np.array([o[c] for o in occ], dtype=np.int64)[order] for c in (1, 2))
-        self.size = np.array([len(w) for w in self.words], dtype=np.int64)
-        size = self.size[self.item] if occ else np.zeros(0, np.int64)
+        size = np.array([len(w) for w in self.words], dtype=np.int64)
+        chain = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
+        h = chain([run_hashes(w, n) for w in self.words], np.uint64)
+        item = np.repeat(np.arange(len(size)), size - n + 1)
+        place = chain([np.arange(k - n + 1) for k in size.tolist()], np.int64)
+        order = np.lexsort((place, item, h))
+        h, item, place = h[order], item[order], place[order]
+        start = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (item[1:] != item[:-1])])[:len(h)])
+        self.item, self.low, self.high = item[start], place[start], place[np.append(start[1:], len(h))[:len(start)] - 1]
+        self.runs, self.first, self.count = np.unique(h[start], return_index=True, return_counts=True)
+        self.run = np.repeat(np.arange(len(self.runs)), self.count)
+        size = size[self.item]
         margin = size // 4 + n
         of = lambda x: np.maximum.reduceat(x, self.first) if len(x) else x
-        self.before, self.after = of(self.place + margin), of(size - self.place + margin)
+        self.before, self.after = of(self.high + margin), of(size - self.low + margin)
         self.bags = [np.unique(w, return_counts=True) for w in self.words]
+        often = np.bincount(chain([b[0] for b in self.bags], np.int64), minlength=len(self.vocab) + 1)
+        heads = []
+        for w in self.words:
+            least = max(1, math.ceil(share * len(w) - 1e-9))
+            heads.append(np.unique(w[np.argsort(often[w], kind="stable")][:len(w) - least + 1]))
+        word, of_item = chain(heads, np.int64), np.repeat(np.arange(len(heads)), [len(x) for x in heads])
+        self.head = of_item[np.argsort(word, kind="stable")]
+        self.head_count = np.bincount(word, minlength=len(self.vocab) + 1)
+        self.head_first = np.cumsum(self.head_count) - self.head_count
+
+    def joined(self, runs: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Numbers of the (run, item) pairs that a passage with these runs and words is joined to, in item order."""
+        few = self.count[runs] <= RARE
+        pairs = [spread(self.first[runs[few]], self.count[runs[few]])]
+        if not few.all():
+            near = np.zeros(len(self.words), dtype=bool)
+            near[self.head[spread(self.head_first[held], self.head_count[held])]] = True
+            for r in runs[~few]:
+                own = np.arange(self.first[r], self.first[r] + self.count[r])
+                pairs.append(own[near[self.item[own]]])
+        pairs = np.concatenate(pairs)
+        return pairs[np.argsort(self.item[pairs], kind="stable")]
 
-    def windows(self, ids: np.ndarray, runs: np.ndarray, places: np.ndarray, share: float) -> list[tuple[int, np.ndarray]]:
-        """(item, words) of the windows of a passage that can reach ``share`` of an item they share a run with."""
-        count = self.count[runs]
-        o = np.repeat(self.first[runs] - np.cumsum(count) + count, count) + np.arange(count.sum())
-        item, at = self.item[o], np.repeat(places, count) - self.place[o]
-        _, last = np.unique(item * (1 << 32) + at + (1 << 31), return_index=True)  # by item and start, each once
-        item, at = item[last], at[last]
-        size = self.size[item]
-        lo, hi = np.maximum(at - size // 4 - self.n, 0), np.minimum(at + size + size // 4 + self.n, len(ids))
-        # an item's windows have one length, so their ends are in order too
-        new = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (lo[1:] > hi[:-1])]))
-        out = []
-        for x, y in zip(new.tolist(), np.append(new[1:], len(item)).tolist()):
-            i, part = int(item[x]), ids[lo[x]:hi[y - 1]]
+    def windows(self, ids: np.ndarray, runs: np.ndarray, places: np.ndarray, share: float):
+        """(item, words) of the windows of a passage that can reach ``share`` of an item it is joined to."""
+        def reaches(i: int, held: np.ndarray, often: np.ndarray) -> bool:
             # at best every word that both hold matches
             words, most = self.bags[i]
-            held, often = np.unique(part, return_counts=True)
             k = np.minimum(np.searchsorted(held, words), len(held) - 1)
-            if np.minimum(np.where(held[k] == words, often[k], 0), most).sum() >= share * len(self.words[i]):
-                out.append((i, part))
-        return out
+            return np.minimum(np.where(held[k] == words, often[k], 0), most).sum() >= share * len(self.words[i])
+
+        order = np.argsort(runs, kind="stable")
+        places, (own, first, count) = places[order], np.unique(runs[order], return_index=True, return_counts=True)
+        bag = np.unique(ids, return_counts=True)
+        pairs = self.joined(own, bag[0])
+        for e in np.split(pairs, np.flatnonzero(np.diff(self.item[pairs])) + 1) if len(pairs) else ():
+            i = int(self.item[e[0]])
+            if not reaches(i, *bag):
+                continue
+            size, r = len(self.words[i]), np.searchsorted(own, self.run[e])
+            at = places[spread(first[r], count[r])]
+            # a run's places in the item are closer than a window is long, so first and last give the same windows as all
+            lo = np.maximum(at - np.repeat(self.high[e], count[r]) - size // 4 - self.n, 0)
+            hi = np.minimum(at - np.repeat(self.low[e], count[r]) + size + size // 4 + self.n, len(ids))
+            order = np.argsort(lo, kind="stable")
+            lo, hi = lo[order], np.maximum.accumulate(hi[order])
+            new = np.flatnonzero(np.concatenate([[True], lo[1:] > hi[:-1]]))
+            for x, y in zip(new, np.append(new[1:], len(lo))):
+                part = ids[lo[x]:hi[y - 1]]
+                if len(part) == len(ids) or reaches(i, *np.unique(part, return_counts=True)):
+                    yield i, part
 
 
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
@@ -149,7 +198,20 @@ def passages(docs: DataFrame, items, key: str, text: str) -> DataFrame:
 
 
 def aligned(found: DataFrame, items, share: float, item_type: str) -> DataFrame:
-    """(doc_id, text_hash, item_id, score) of the passages that align with an item they share a run with."""
+    """(doc_id, text_hash, item_id, score) of the passages that align with an item they are joined to."""
+    def score(block, pairs) -> list:
+        """Adds (item, score) to the list of each pair that reaches ``share``; no pair is left."""
+        pairs = sorted(pairs, key=lambda x: len(x[2]))
+        while pairs:
+            # as many pairs at once as fit about 4M cells a row, so long passages go a few at a time
+            take = max(1, min(len(pairs), 256, (4 << 20) // max(1, len(pairs[min(len(pairs), 256) - 1][2]))))
+            now, pairs = pairs[:take], pairs[take:]
+            best = align([block.words[i] for _, i, _ in now], [w for _, _, w in now])
+            for (hits, i, _), s in zip(now, best.tolist()):
+                if (reached := s / (MATCH * len(block.words[i]))) >= share:
+                    hits.append((i, reached))
+        return []
+
     def run(batches):
         block, known = items.value, {}
         for b in batches:
@@ -161,16 +223,11 @@ def aligned(found: DataFrame, items, share: float, item_type: str) -> DataFrame:
                 equal[key].append(r)
                 if key not in known and key not in new:
                     new[key] = []
-                    pairs += [(key, i, part) for i, part in block.windows(ids, runs, places, share)]
-            pairs.sort(key=lambda x: len(x[2]))
-            while pairs:
-                # as many pairs at once as fit about 4M cells a row, so long passages go a few at a time
-                take = max(1, min(len(pairs), 256, (4 << 20) // max(1, len(pairs[min(len(pairs), 256) - 1][2]))))
-                now, pairs = pairs[:take], pairs[take:]
-                best = align([block.words[i] for _, i, _ in now], [w for _, _, w in now])
-                for (key, i, _), s in zip(now, best.tolist()):
-                    if (score := s / (MATCH * len(block.words[i]))) >= share:
-                        new[key].append((i, score))
+                    for i, part in block.windows(ids, runs, places, share):
+                        pairs.append((new[key], i, part))
+                        if len(pairs) == WAITING:
+                            pairs = score(block, pairs)
+            score(block, pairs)
             out = [(r, *x) for key, rows in equal.items() for x in new.get(key, known.get(key, ())) for r in rows]
             known.update(new if len(known) < KNOWN else ())
             if out:
@@ -192,7 +249,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 4, share: float
     blocks, parts = max(1, -(-size // BLOCK_BYTES)), []
     for block in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()
-        items = spark.sparkContext.broadcast(Items(sorted(((r.i, r.t) for r in rows), key=lambda r: (r[0] is None, r)), n))
+        items = spark.sparkContext.broadcast(Items(sorted(((r.i, r.t) for r in rows), key=lambda r: (r[0] is None, r)), n, share))
         found = staged(passages(docs, items, key, text), "passages")
         # passages may sit in few files: spread the alignment evenly
         parts.append(staged(aligned(found.repartition("doc_id", "text_hash"), items, share, item_type), "aligned"))

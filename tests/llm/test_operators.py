@@ -291,6 +291,75 @@ def test_many_edited_copies_beside_one_exact_copy_are_found(spark):
     assert {r.doc_id for r in contaminated(docs, bench).collect()} == {r[0] for r in rows}
 
 
+def test_found_pairs_equal_the_alignment_of_every_document_with_every_item(spark, texts):
+    from flowruns.llm.decontaminate import MATCH, WORDS, align, op5_seed_align
+
+    number = defaultdict(lambda: len(number) + 1)
+    ids = lambda t: np.array([number[w] for w in WORDS.findall((t or "").lower())], dtype=np.int32)
+    items = {r.item_id: ids(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    items = {i: w for i, w in items.items() if len(w) >= 4}
+    want = {}
+    for d, t in texts.items():
+        if len(w := ids(t)):
+            best = align(list(items.values()), [w] * len(items))
+            want |= {(d, i): s / (MATCH * len(x)) for (i, x), s in zip(items.items(), best.tolist()) if s >= MATCH * len(x) / 2}
+    assert {(r.doc_id, r.item_id): r.score for r in op5_seed_align(spark, SF).collect()} == want and want
+
+
+def test_phrase_of_thousands_of_items_costs_no_pairs_and_loses_none():
+    import tracemalloc
+
+    from flowruns.llm.decontaminate import Items, run_hashes
+
+    phrase = "according to the following"
+    rows = [(i, f"{phrase} " + " ".join(f"w{i}x{k}" for k in range(12))) for i in range(2000)]
+    block = Items(rows, 4, 0.5)
+
+    def seeded(text):
+        ids = np.array([block.vocab.get(w, 0) for w in text.split()], dtype=np.int32)
+        h = run_hashes(ids, 4)
+        at = np.flatnonzero(np.isin(h, block.runs))
+        return [(block.ids[i], len(w)) for i, w in block.windows(ids, np.searchsorted(block.runs, h[at]).astype(np.int32), at.astype(np.int32), 0.5)]
+
+    stock = f"{phrase} filler " * 4000
+    tracemalloc.start()
+    assert seeded(stock) == []
+    # the item's phrase is its only whole run here, and every third of its own words is another
+    edited = " ".join(w if k % 3 else "changed" for k, w in enumerate(rows[7][1].split()[4:], 1))
+    assert [i for i, _ in seeded(f"{stock} {phrase} {edited} {stock}")] == [7]
+    assert [i for i, _ in seeded(f"{stock} {rows[9][1]}")] == [9]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
+def test_windows_equal_those_of_all_occurrences():
+    """Items that repeat their own runs: first and last place give the windows that every place gives."""
+    from flowruns.llm.decontaminate import Items, run_hashes
+
+    rng = np.random.default_rng(3)
+    word = lambda: f"a{rng.integers(0, 3)}"
+    for _ in range(60):
+        rows = [(i, " ".join(word() for _ in range(rng.integers(2, 25)))) for i in range(30)]
+        block = Items(rows, 2, 0.3)
+        ids = np.array([block.vocab.get(word(), 0) if rng.random() < .4 else 0 for _ in range(300)], dtype=np.int32)
+        h = run_hashes(ids, 2)
+        at = np.flatnonzero(np.isin(h, block.runs))
+        got = defaultdict(list)
+        for i, w in block.windows(ids, np.searchsorted(block.runs, h[at]), at, 0.3):
+            got[i].append(w.tolist())
+        for i, w in enumerate(block.words):
+            own, here = run_hashes(w, 2).tolist(), set()
+            for p in at.tolist():
+                for k in (k for k, x in enumerate(own) if x == h[p]):
+                    here |= set(range(max(p - k - len(w) // 4 - 2, 0), min(p - k + len(w) + len(w) // 4 + 2, len(ids))))
+            cover = sorted(here)
+            parts = [x for x in np.split(cover, np.flatnonzero(np.diff(cover) > 1) + 1) if len(x)]
+            bag = Counter(w.tolist())
+            parts = [ids[x].tolist() for x in parts]
+            assert [x for x in got[i]] == [x for x in parts if sum((Counter(x) & bag).values()) >= 0.3 * len(w)]
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     from flowruns.llm import decontaminate as d
 
