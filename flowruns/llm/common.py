@@ -39,8 +39,9 @@ def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v): root is the least node reachable.
 
     Alternating large-star and small-star steps: each is a grouped minimum (partially
-    aggregated before its shuffle) and a join on the node (which adaptive execution splits
-    where a hub is hot). Each round is written to the shared folder. No links or
+    aggregated before its shuffle) and a join on the node. The minima are written out before their
+    join: beside an aggregate of the same stage, adaptive execution could not split the
+    links of a hot hub. Each round is written to the shared folder. No links or
     components reach the driver, only a row count and a checksum per round.
     """
     e = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
@@ -48,10 +49,10 @@ def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     seen = None
     for _ in range(max_rounds):
         both = now.union(now.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = staged(large.where("u <> v").distinct(), "large")
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")

@@ -257,7 +257,7 @@ def drop_near_copies(docs: DataFrame, shingle: int = 4, budget: int = 4, text: s
     keep = staged(best.select(F.col("b.doc_id").alias("_doc"), F.col("b.text_hash").alias("_hash")), "keep")
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).alias("doc_id"), text_key(text).alias("h"))
     kept = rows.join(keep, rows["doc_id"].eqNullSafe(keep["_doc"]) & (rows["h"] == keep["_hash"]), "left_semi")
-    # rows equal in id and text: one stays; they share the join's partition already
+    # rows equal in id and text: one stays. Spark keeps one of each task before the shuffle (WindowGroupLimit)
     one = Window.partitionBy("doc_id", "h").orderBy("doc_id")
     return kept.withColumn("k", F.row_number().over(one)).where("k = 1").select("row.*")
 
