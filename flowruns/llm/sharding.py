@@ -3,7 +3,8 @@
 Every row has a point on a ring of 2^64 hashes. The ring is cut into ``2 ** CELL_BITS``
 equal cells; every shard owns ``vnodes`` points. A cell goes to the shard of the first
 virtual node clockwise of it that still has room for the cell's bytes, where a shard's room
-is ``(1 + slack)`` times the mean load. So loads are bounded, and a change of the shard
+is ``(1 + slack)`` times the mean load. A cell that no shard has room for goes to the shard with the least load, which
+is below the mean. So no load exceeds the greater of that room and the mean plus one cell, and a change of the shard
 count moves little beyond what the new shard takes.
 
 Only the per-cell byte counts (a table of fixed size: ``2 ** CELL_BITS`` rows, whatever the
@@ -13,7 +14,7 @@ All row work is DataFrame functions.
 Defined cases: a null text has no bytes (size 1, crc32 of the empty string); a null doc_id is a
 key like any other; repeated rows are all kept, each at a point of its own (the key is the
 row's doc_id, text checksum, size and its number among equal rows), so copies of one row cannot
-form a hot cell; an empty table gives an empty result; extra columns do not matter.
+form a hot cell, and blocks of ``COPIES`` of them are numbered by different tasks; an empty table gives an empty result; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from flowruns.llm.common import staged
 
 CELL_BITS = 16
 MAX_SHARDS = 256  # one byte per cell in the map that goes back to Spark
+#: Copies of one row that one task numbers at most.
+COPIES = 1 << 12
 
 
 def ring_points(shards: int, vnodes: int) -> list[tuple[int, int]]:
@@ -64,6 +67,18 @@ def walk_ring(cells: list[tuple[int, int]], shards: int, vnodes: int, slack: flo
     return bytes(out)
 
 
+def copies(same: DataFrame) -> DataFrame:
+    """Every row of ``same`` ``n`` times, numbered from 1 in ``copy``. Rows of more than ``COPIES`` copies
+    are dealt to the tasks in blocks of so many, so no task makes all copies of a row."""
+    few = same.where(F.col("n") <= COPIES).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    many = same.where(F.col("n") > COPIES).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
+    # a stated number of partitions, which adaptive execution leaves as it is
+    tasks = int(same.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(tasks, *same.columns, "block")
+    many = many.withColumn("copy", F.explode(F.sequence(F.col("block") * COPIES + 1, F.least("n", (F.col("block") + 1) * COPIES))))
+    return few.drop("n").unionByName(many.drop("n", "block"))
+
+
 def ring_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, slack: float = 0.001,
                 text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot (0, 1, ... in each shard)."""
@@ -74,7 +89,7 @@ def ring_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, slack: floa
     same = docs.select(F.col(key).alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
                        F.crc32(body).alias("text_crc32"))
     same = same.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
-    rows = same.select("doc_id", "size", "text_crc32", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
+    rows = copies(same)
     rows = rows.withColumn("point", F.xxhash64("doc_id", "text_crc32", "size", "copy"))
     rows = staged(rows.withColumn("cell", F.shiftrightunsigned("point", 64 - CELL_BITS).cast("int")), "ring")
     cells = staged(rows.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")), "cells")
