@@ -88,8 +88,8 @@ def ring_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, slack: floa
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     same = docs.select(F.col(key).alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
                        F.crc32(body).alias("text_crc32"))
-    same = same.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
-    rows = copies(same)
+    # written out, as both halves of ``copies`` read it
+    rows = copies(staged(same.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n")), "distinct"))
     rows = rows.withColumn("point", F.xxhash64("doc_id", "text_crc32", "size", "copy"))
     rows = staged(rows.withColumn("cell", F.shiftrightunsigned("point", 64 - CELL_BITS).cast("int")), "ring")
     cells = staged(rows.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")), "cells")
