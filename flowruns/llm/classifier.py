@@ -103,7 +103,7 @@ def fit_rules(rows: DataFrame, names: list[str], label: str = "label", trees: in
         p = 0.5 if not seen else min(max(float(next(iter(seen))), 0.01), 0.99)
         return RuleModel(log(p / (1 - p)), [], [])
     vectors = VectorAssembler(inputCols=names, outputCol="v").transform(rows).select("v", F.col(label).cast("double").alias("y"))
-    # a fixed order of rows, so that reruns on the same data draw the same samples
+    # the seed fixes the draws from rows in the order they are read; rows in another order may give another forest
     forest = RandomForestClassifier(featuresCol="v", labelCol="y", numTrees=trees, maxDepth=depth, seed=seed, subsamplingRate=0.7,
                                     featureSubsetStrategy="onethird", cacheNodeIds=False).fit(vectors)
     rules = sorted(set().union(*[tree_rules(t.toDebugString, names) for t in forest.trees]))

@@ -32,6 +32,8 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from flowruns.llm.common import staged, table, text_key
 
@@ -197,8 +199,10 @@ def passages(docs: DataFrame, items, key: str, text: str) -> DataFrame:
     return slim.mapInArrow(run, f"doc_id {kind}, text_hash long, ids array<int>, runs array<int>, places array<int>")
 
 
-def aligned(found: DataFrame, items, share: float, item_type: str) -> DataFrame:
+def aligned(found: DataFrame, items, share: float, item_type: DataType) -> DataFrame:
     """(doc_id, text_hash, item_id, score) of the passages that align with an item they are joined to."""
+    id_type = to_arrow_type(item_type)
+
     def score(block, pairs) -> list:
         """Adds (item, score) to the list of each pair that reaches ``share``; no pair is left."""
         pairs = sorted(pairs, key=lambda x: len(x[2]))
@@ -232,11 +236,11 @@ def aligned(found: DataFrame, items, share: float, item_type: str) -> DataFrame:
             known.update(new if len(known) < KNOWN else ())
             if out:
                 pick = pa.array([x[0] for x in out])
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pick), b.column(1).take(pick), pa.array([block.ids[x[1]] for x in out]),
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pick), b.column(1).take(pick), pa.array([block.ids[x[1]] for x in out], id_type),
                                                   pa.array([x[2] for x in out])], ["doc_id", "text_hash", "item_id", "score"])
 
     kind = found.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(run, f"doc_id {kind}, text_hash long, item_id {item_type}, score double")
+    return found.mapInArrow(run, f"doc_id {kind}, text_hash long, item_id {item_type.simpleString()}, score double")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 4, share: float = 0.5, text: str = "text",
@@ -244,7 +248,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 4, share: float
     """(doc_id, text_hash, item_id, score) of every document that holds a copy of a test item."""
     spark = docs.sparkSession
     tests = benchmark.select(F.col(item).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
-    item_type = tests.schema["i"].dataType.simpleString()
+    item_type = tests.schema["i"].dataType
     size = tests.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks, parts = max(1, -(-size // BLOCK_BYTES)), []
     for block in range(blocks):

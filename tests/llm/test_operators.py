@@ -489,6 +489,48 @@ def test_classifier_odd_rows_and_rules(spark, odd_docs, no_docs):
     assert tree_rules(debug, ["a", "b"]) == {(("a", "<=", 0.5),), (("a", ">", 0.5),), (("a", "<=", 0.5), ("b", "<=", 2.0)), (("a", "<=", 0.5), ("b", ">", 2.0))}
 
 
+def test_compiled_rules_equal_plain_scores_and_hold_where_the_tree_says(spark):
+    from math import exp
+
+    from flowruns.llm.classifier import fit_rules
+
+    rng = np.random.default_rng(2)
+    rows = [(float(a), float(b), float(c), int(a + (b > 0.6) > 0.9)) for a, b, c in rng.random((400, 3)).round(3)]
+    df = spark.createDataFrame(rows, "s_a double, s_b double, s_c double, label int")
+    names = ["s_a", "s_b", "s_c"]
+    model = fit_rules(df, names, trees=4)
+    assert model.rules and all(w for _, w in model.rules)
+
+    def plain(values):
+        total = model.bias + sum(w * values[n] for n, w in model.linear)
+        for rule, w in model.rules:
+            if all(values[n] <= x if op == "<=" else values[n] > x for n, op, x in rule):
+                total += w
+        return 1 / (1 + exp(-total))
+
+    got = df.select(*names, "label", model.score().alias("s")).collect()
+    assert len(got) == 400 and all(abs(r.s - plain(r.asDict())) < 1e-12 for r in got)
+    assert np.mean([(r.s > 0.5) == r.label for r in got]) > 0.95
+    # sparse: the penalty leaves fewer rules the higher it is
+    assert len(fit_rules(df, names, trees=4, penalty=0.05).rules) < len(model.rules)
+
+
+def test_tree_paths_cover_every_row_once_per_leaf(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from flowruns.llm.classifier import rule_sql, tree_rules
+
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(float(a), float(b), float((a > .3) != (b > .6))) for a, b in rng.random((300, 2))], "a double, b double, y double")
+    fit = DecisionTreeClassifier(featuresCol="v", labelCol="y", maxDepth=3).fit(VectorAssembler(inputCols=["a", "b"], outputCol="v").transform(df))
+    rules = tree_rules(fit.toDebugString, ["a", "b"])
+    assert len(rules) == fit.numNodes - 1
+    leaves = [r for r in rules if not any(set(r) < set(x) for x in rules)]
+    hits = df.select(sum(F.expr(f"CASE WHEN {rule_sql(r)} THEN 1 ELSE 0 END") for r in leaves).alias("n")).groupBy("n").count().collect()
+    assert [(r.n, r["count"]) for r in hits] == [(1, 300)]
+
+
 # 9 sharding
 def test_ring_is_balanced_gapless_and_moves_little(spark, texts):
     from flowruns.llm.sharding import op9_ring_shards, ring_shards, walk_ring
@@ -585,6 +627,69 @@ def test_repeated_passages_lose_all_but_the_first(spark):
         assert marks(b"".join(words)) == marks(t.lower().encode())
 
 
+def plain_without_repeats(rows, sentences=3, words=20):
+    """(doc_id, text) of every row: spans compared as lists of words, one by one."""
+    from flowruns.llm.substring import sentences_of
+
+    cut, seen = {}, defaultdict(list)
+    for d, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
+        if t is None:
+            continue
+        bounds, said = sentences_of(t.encode())
+        cut[d, t] = bounds, set()
+        for a in range(len(said)):
+            z = next((z for z in range(a + sentences, len(said) + 1) if sum(len(x.split()) for x in said[a:z]) >= words), None)
+            if z:
+                seen[tuple(said[a:z])].append((d, t, a, z))
+    for places in seen.values():
+        for d, t, a, z in places[1:]:
+            cut[d, t][1].update(range(a, z))
+    out = []
+    for d, t in rows:
+        bounds, gone = cut.get((d, t), ([0], set()))
+        keep = [t.encode()[bounds[i]:bounds[i + 1]] for i in range(len(bounds) - 1) if i not in gone] if t else []
+        out.append((d, b"".join(keep).decode() if t else t))
+    return Counter(out)
+
+
+def test_spans_equal_brute_force(spark, texts):
+    from flowruns.llm.substring import op10_sentence_spans, without_repeats
+
+    assert Counter((r.doc_id, r.text) for r in op10_sentence_spans(spark, SF).collect()) == plain_without_repeats(list(texts.items()))
+    rng = np.random.default_rng(11)
+    said = [" ".join(f"s{i}x{k}" for k in range(rng.integers(2, 12))) + ".?,\n"[i % 4] for i in range(40)]
+    for _ in range(3):  # few sentences in many orders: spans overlap, repeat inside a text and at its ends
+        rows = [(i, " ".join(said[x] for x in rng.integers(0, 40, rng.integers(0, 30)).tolist() for x in range(x, min(x + 4, 40)))) for i in range(60)]
+        rows += [rows[3], (None, rows[5][1]), (70, rows[5][1]), (71, None)]
+        df = spark.createDataFrame(rows, "doc_id int, text string")
+        assert Counter((r.row.doc_id, r.text) for r in without_repeats(df).collect()) == plain_without_repeats(rows)
+
+
+def test_clashing_columns_and_very_long_texts(spark):
+    """Columns named as the operators' own, and a text of 2 MB, change no result."""
+    from flowruns.llm.decontaminate import contaminated, drop_contaminated
+    from flowruns.llm.sharding import ring_shards
+    from flowruns.llm.substring import without_repeats
+
+    rng = np.random.default_rng(8)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) + "."
+    item = words(30)
+    long = " ".join(words(9) for _ in range(30_000)) + " " + item
+    rows = [(1, long), (2, long), (3, f"{words(40)} {item} {words(40)}"), (4, words(50))]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    own = ["row", "h", "t", "spans", "rows", "copy", "block", "n", "cell", "size", "shard", "_doc", "_hash", "text_hash", "item_id", "score", "ids", "start", "covered"]
+    clash = plain.select("*", *[F.lit("x").alias(c) for c in own])
+    bench = spark.createDataFrame([(7, item, "x", "y")], "item_id int, text string, i string, t string")
+    assert rows_of(contaminated(clash, bench)) == rows_of(contaminated(plain, bench))
+    assert sorted(r.doc_id for r in contaminated(clash, bench).collect()) == [1, 2, 3]
+    kept = drop_contaminated(clash, bench)
+    assert kept.columns == clash.columns and [r.doc_id for r in kept.collect()] == [4]
+    assert rows_of(ring_shards(clash, 4)) == rows_of(ring_shards(plain, 4))
+    got = {r.row.doc_id: (r.text, r.n_removed) for r in without_repeats(clash).collect()}
+    assert got == {r.row.doc_id: (r.text, r.n_removed) for r in without_repeats(plain).collect()}
+    assert got[1] == (long, 0) and got[2][0] == "" and got[4][1] == 0
+
+
 def test_repeats_in_texts_without_marks_or_blanks(spark):
     from flowruns.llm.substring import GAP, cuts_of, without_repeats
 
