@@ -13,6 +13,7 @@ no join more than an hour's runs of a device.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from flowruns import schema as S
 from flowruns.functions.timecols import US_SQL
 from flowruns.operators.runs import clean
-from flowruns.session import materialize, small_side
+from flowruns.session import materialize, small_side, small_table
 from flowruns.sources.versions import Version
 
 HOUR_US = 3_600_000_000
@@ -65,7 +66,8 @@ def _ends_inside() -> Column:
 
 def located(runs: DataFrame, spans: DataFrame, version: Version | None = None) -> DataFrame:
     """``neighbour_runs`` over the whole table. Of a stored ``version`` only the folders are read that can hold a run inside or
-    around the spans, and then, for flowing spans that lack a neighbour, folders farther away, twice as many each time."""
+    around the spans. A neighbour beyond those is the same run for all spans of a device that lack it, so it is looked up
+    once for the device (``nearest_runs``)."""
     if version is None:
         return neighbour_runs(runs, spans)
     spans = materialize(spans)
@@ -75,23 +77,39 @@ def located(runs: DataFrame, spans: DataFrame, version: Version | None = None) -
         return neighbour_runs(runs.where(F.lit(False)), spans)
     inside = [i for i, d in enumerate(days) if lo.date() <= d <= hi.date()]
     first, last = (inside[0], inside[-1]) if inside else (sum(d < lo.date() for d in days),) * 2
-    out, step, left = [], 1, spans
-    while True:
-        low, high = max(0, first - step), min(len(days), last + step + 1)
-        near = version.on(days[low:high])
-        around = version.ending(lo) & (F.col(S.START_DATE) <= F.lit(hi.date()))  # runs that reach into the spans
-        found = materialize(neighbour_runs(runs.where(near | around if step == 1 else near), small_side(left)))
-        # what lies beyond the folders read so far cannot matter to an idle span, nor to one with both neighbours
-        p, n = F.col("_P"), F.col("_N")
-        open_end = n.isNull() & ~_ends_inside()
-        far = p.isNull() | (p[S.END] < F.col("_LO")) & (F.to_date(p[S.START]) < F.lit(days[low]))
-        short = F.lit(low > 0) & far | F.lit(high < len(days)) & open_end
-        lacking = F.col("_FLOWS") & short
-        out.append(found.where(~lacking))
-        left = found.where(lacking).select(*spans.columns)
-        if (low == 0 and high == len(days)) or left.isEmpty():
-            return reduce(DataFrame.unionByName, out)
-        left, step = materialize(left), 2 * step
+    low, high = max(0, first - 1), min(len(days), last + 2)
+    around = version.ending(lo) & (F.col(S.START_DATE) <= F.lit(hi.date()))  # runs that reach into the spans
+    found = neighbour_runs(runs.where(version.on(days[low:high]) | around), small_side(spans))
+    if low == 0 and high == len(days):
+        return found
+    # what lies beyond the folders read cannot matter to an idle span, nor to one with both neighbours
+    found, p = materialize(found), F.col("_P")
+    far = F.lit(low > 0) & (p.isNull() | (p[S.END] < F.col("_LO")) & (F.to_date(p[S.START]) < F.lit(days[low])))
+    open_end = F.lit(high < len(days)) & F.col("_N").isNull() & ~_ends_inside()
+    lacking = materialize(found.where(F.col("_FLOWS") & (far | open_end)).groupBy(S.DEVICE_ID).agg(
+        F.bool_or(far).alias("_FAR"), F.bool_or(open_end).alias("_OPEN")))
+    before = nearest_runs(runs, lacking.where("_FAR"), version, days[:low][::-1], F.max)
+    after = nearest_runs(runs, lacking.where("_OPEN"), version, days[high:], F.min)
+    if before is not None:
+        found = found.join(before.withColumnRenamed("_RUN", "_BEFORE"), S.DEVICE_ID, "left")
+        found = found.withColumn("_P", F.greatest("_P", "_BEFORE")).withColumn("_Q", F.greatest("_Q", "_BEFORE"))
+    if after is not None:
+        found = found.join(after.withColumnRenamed("_RUN", "_AFTER"), S.DEVICE_ID, "left").withColumn("_N", F.coalesce("_N", "_AFTER"))
+    return found.select(*spans.columns, "_P", "_Q", "_N")
+
+
+def nearest_runs(runs: DataFrame, devices: DataFrame, version: Version, days: list, pick: Callable[[Column], Column]) -> DataFrame | None:
+    """(DEVICE_ID, _RUN): the first or last run (``pick``: F.min or F.max of START and END) that each of the ``devices`` has on the
+    ``days`` of a stored version, which come nearest first and are read in steps that double, for the devices not found yet."""
+    step, found = 4, []
+    left, seen = small_table(devices.select(S.DEVICE_ID))
+    while days and seen.n:
+        near = runs.where(version.on(days[:step])).join(left, S.DEVICE_ID, "left_semi")
+        found.append(materialize(near.groupBy(S.DEVICE_ID).agg(pick(F.struct(S.START, S.END)).alias("_RUN"))))
+        days, step = days[step:], 2 * step
+        if days:
+            left, seen = small_table(left.join(found[-1], S.DEVICE_ID, "left_anti"))
+    return small_side(reduce(DataFrame.unionByName, found)) if found else None
 
 
 def late_intervals(runs: DataFrame, new_readings: DataFrame, version: Version | None = None) -> DataFrame:

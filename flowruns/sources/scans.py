@@ -33,6 +33,12 @@ def scan_after(readings: DataFrame, checkpoint) -> DataFrame:
     return readings.where(F.col(S.TIMESTAMP) > _lit_or_col(checkpoint))
 
 
+def scan_closed(readings: DataFrame, lo, hi) -> DataFrame:
+    """``lo <= TIMESTAMP <= hi``."""
+    ts = F.col(S.TIMESTAMP)
+    return readings.where((ts >= _lit_or_col(lo)) & (ts <= _lit_or_col(hi)))
+
+
 def extent_bounds(extents: DataFrame) -> tuple:
     """``(min START, max END)`` of a (small, per-device) extent table: one one-row action,
     so the bounds can reach a scan as literal, pushed-down filters."""

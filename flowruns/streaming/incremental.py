@@ -26,7 +26,7 @@ from flowruns.operators.summary import summarize_runs
 from flowruns.plans.jobs import start_dates
 from flowruns.session import materialize, small_side, small_table
 from flowruns.sources import sinks, versions
-from flowruns.sources.scans import scan_extents, scan_started
+from flowruns.sources.scans import scan_closed, scan_extents, scan_started
 from flowruns.sources.versions import Version
 from flowruns.streaming import state
 
@@ -48,7 +48,8 @@ def recompute_touched(readings: DataFrame, runs: DataFrame, new_readings: DataFr
         return None
     lo, hi = seen.lo, seen.hi
     reread = scan_extents(readings, touched, lo, hi, seen.fits)
-    chunk_seconds = resolve_chunks(reread, chunk_seconds)
+    # too many intervals to broadcast: the chunks of all readings in these bounds also hold for those inside the intervals
+    chunk_seconds = resolve_chunks(reread if seen.fits else scan_closed(readings, lo, hi), chunk_seconds)
     new_runs = materialize(summarize(reread, chunk_seconds, tiebreak, batch_cols=["_INTERVAL"]))
 
     near = scan_started(runs, lo, hi)
