@@ -27,7 +27,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,9 +46,16 @@ LEVELS_US = (31_622_400_000_000, 86_400_000_000, 3_600_000_000, 60_000_000, 1_00
 class Chunks(NamedTuple):
     """``hot[i]``: the (DEVICE_ID, _B) buckets of level ``i`` with more readings than the target.
 
-    A reading's chunk is its bucket on the first level where that bucket is not hot."""
+    A reading's chunk is its bucket on the first level where that bucket is not hot. ``single``: no bucket is hot, and
+    the readings that this was resolved for all lie in one bucket of the first level, so nothing crosses a chunk's bounds.
+    That does not hold for other readings (``elsewhere``)."""
 
     hot: tuple[DataFrame, ...]
+    single: bool = False
+
+    def elsewhere(self) -> Chunks:
+        """These chunks for readings other than those they were resolved for."""
+        return self._replace(single=False)
 
 
 def idle_flag() -> Column:
@@ -102,16 +109,17 @@ def resolve_chunks(readings: DataFrame, chunk_seconds: float | str | Chunks = DE
     if chunk_seconds != "auto":
         return chunk_seconds
     left = clean(readings).select(S.DEVICE_ID, S.TIMESTAMP)
-    hot = []
+    hot, met = [], Observation()
     for width_us in LEVELS_US[:-1]:
-        buckets = left.withColumn("_B", _bucket(width_us))
-        over, seen = small_table(buckets.groupBy(S.DEVICE_ID, "_B").count().where(F.col("count") > target_rows)
-                                 .select(S.DEVICE_ID, "_B"))
+        counts = left.withColumn("_B", _bucket(width_us)).groupBy(S.DEVICE_ID, "_B").count()
+        if not hot:  # the first level's buckets, all devices'
+            counts = counts.observe(met, F.min("_B").alias("first"), F.max("_B").alias("last"))
+        over, seen = small_table(counts.where(F.col("count") > target_rows).select(S.DEVICE_ID, "_B"))
         if not seen.n:
             break
         hot.append(over)
-        left = buckets.join(hot[-1], [S.DEVICE_ID, "_B"], "left_semi").drop("_B")
-    return Chunks(tuple(hot))
+        left = left.withColumn("_B", _bucket(width_us)).join(hot[-1], [S.DEVICE_ID, "_B"], "left_semi").drop("_B")
+    return Chunks(tuple(hot), not hot and met.get["first"] == met.get["last"])
 
 
 def with_chunk(readings: DataFrame, chunk_seconds: float | str | Chunks = DEFAULT_CHUNK_SECONDS) -> DataFrame:
@@ -214,6 +222,8 @@ def island_ids(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_S
     keys = [S.DEVICE_ID, *batch_cols]
     chunk_seconds = resolve_chunks(readings, chunk_seconds)
     r, local, _ = _local_ids(readings, chunk_seconds, tiebreak, keys)
+    if isinstance(chunk_seconds, Chunks) and chunk_seconds.single:  # no idle readings in earlier chunks: one read, no join
+        return local.where(F.col("_IDLE") == 0).withColumn(S.RUN_ID, F.col("_LOCAL")).drop("_LOCAL", "_IDLE", S.CHUNK)
 
     # One row per (device, chunk): partial aggregation happens before the shuffle.
     per_chunk = r.groupBy(*keys, S.CHUNK).agg(F.sum("_IDLE").alias("_N_IDLE"))

@@ -31,7 +31,7 @@ from flowruns.operators.repair import (
     replace_covered,
     runs_within,
 )
-from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, resolve_chunks
+from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, Chunks, resolve_chunks
 from flowruns.operators.summary import summarize_runs
 from flowruns.session import materialize, measured, small_table
 from flowruns.sources.scans import scan_extents, scan_half_open, scan_seam, scan_seam_windows, scan_started
@@ -268,6 +268,8 @@ def incremental_delta(readings: DataFrame, runs: DataFrame, checkpoints: DataFra
              .drop("_FROM"))
     chunk_seconds = resolve_chunks(batch, chunk_seconds)
     new_runs, ckpt = loaded(batch, chunk_seconds)
+    if isinstance(chunk_seconds, Chunks):  # the bridges reach back before the batch
+        chunk_seconds = chunk_seconds.elsewhere()
 
     out, bridged = stitch_delta(readings, runs.where(end <= _ts(lo)), new_runs, chunk_seconds, tiebreak, version)
     changed = start_dates(touched_runs, new_runs)

@@ -1,4 +1,5 @@
-"""The stream on larger deliveries: files that can be read by many tasks, neighbours looked up once for a device."""
+"""The stream on larger deliveries: files that can be read by many tasks, neighbours looked up once for a device, one read of
+readings that lie in one time bucket."""
 
 import datetime as dt
 import os
@@ -9,9 +10,12 @@ import pytest
 from conftest import SF_SMALL
 from flowruns import schema as S
 from flowruns.operators import late
+from flowruns.operators.runs import LEVELS_US, resolve_chunks
 from flowruns.operators.summary import summarize_runs
-from flowruns.plans import catalog
+from flowruns.plans import catalog, jobs
+from flowruns.sources import fixtures as FX
 from flowruns.sources import sinks
+from flowruns.sources.readers import readings
 from flowruns.streaming import incremental
 
 T0 = dt.datetime(2024, 1, 1)
@@ -61,3 +65,36 @@ def test_tables_are_compared_row_by_row(spark):
     a, b = (spark.createDataFrame(r, "k string, v int") for r in ([("x", None), ("x", None), ("y", 2)], [("x", None), ("y", 2), ("y", 2)]))
     assert catalog.same_rows(a, a) and catalog.same_rows(a.limit(0), b.limit(0))
     assert not catalog.same_rows(a, b) and not catalog.same_rows(a, a.distinct()) and not catalog.same_rows(a.limit(0), a)
+
+
+#: Minutes from T0 to a bound of the widest time buckets.
+BOUND = next(m for m in range(0, 366 * 1440, 1440) if (T0 + dt.timedelta(minutes=m) - dt.datetime(1970, 1, 1)) % dt.timedelta(microseconds=LEVELS_US[0]) == dt.timedelta(0))
+
+
+def rows_of(df):
+    return sorted(((r[0], *((t - T0) // dt.timedelta(minutes=1) for t in r[1:3]), r[3]) for r in df.select(S.DEVICE_ID, S.START, S.END, S.RECORDS).collect()))
+
+
+def test_readings_of_one_bucket_are_read_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = summarize_runs(readings(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("FileScan parquet") == 1 and "Join" not in p
+
+
+def test_runs_across_the_bound_of_two_buckets(spark):
+    one = [("a", m, f) for m, f in ((1, 1.0), (2, 0.0), (3, 1.0), (4, 1.0))]
+    two = [("a", BOUND - 20, 1.0), ("a", BOUND - 10, 0.0), ("a", BOUND - 5, 2.0), ("a", BOUND + 5, 1.0), ("b", BOUND + 1, 1.0)]
+    assert resolve_chunks(frame(spark, one)).single and resolve_chunks(frame(spark, one).limit(0)).single
+    assert not resolve_chunks(frame(spark, two)).single and not resolve_chunks(frame(spark, one), target_rows=3).single
+    assert rows_of(summarize_runs(frame(spark, one))) == [("a", 1, 1, 1), ("a", 3, 4, 2)]
+    assert rows_of(summarize_runs(frame(spark, two))) == [("a", BOUND - 20, BOUND - 20, 1), ("a", BOUND - 5, BOUND + 5, 2), ("b", BOUND + 1, BOUND + 1, 1)]
+
+
+def test_a_load_in_one_bucket_is_stitched_to_runs_of_the_one_before(spark):
+    first = [("a", BOUND - 20, 1.0), ("a", BOUND - 10, 0.0), ("b", BOUND - 20, 1.0), ("b", BOUND - 10, 2.0)]
+    every = frame(spark, first + [("a", BOUND + 10, 1.0), ("b", BOUND + 10, 1.0)])
+    out, _ = jobs.incremental(every, jobs.materialize(summarize_runs(frame(spark, first))), FX.empty_checkpoints(spark))
+    assert rows_of(out) == rows_of(summarize_runs(every)) == [("a", BOUND - 20, BOUND - 20, 1), ("a", BOUND + 10, BOUND + 10, 1), ("b", BOUND - 20, BOUND + 10, 3)]
