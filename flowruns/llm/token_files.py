@@ -40,65 +40,71 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowruns.llm.common import shared_folder, table
 
-#: Words remembered by a Python worker (about 200 bytes each); beyond, it starts anew.
+#: Words, and their letters and marks, remembered by a Python worker (about 200 bytes each); beyond, it starts anew.
 REMEMBERED = 1_000_000
 _seen: dict = {}
 #: Byte-level tokenizers write bytes that are no visible Latin-1 characters as signs from 256 on.
 _visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _visible)}
+MARKS = "!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
+
+
+class Known(dict):
+    """Ids of words (both as bytes), found where they are missing: one look-up is all that a known word costs."""
+
+    def __init__(self, t, code: str):
+        super().__init__()
+        self.one, self.whole, self.code = t.model.tokenize, t.encode, code
+
+    def __missing__(self, word: bytes) -> bytes:
+        """``Word.,`` is ``word`` and ``.,``: the tokenizer lower-cases and cuts marks off letters. Lower-case letters alone
+        are one piece, which goes straight to the tokenizer's model."""
+        x = word.decode()
+        core, tail = ("", "") if "<" in x else cut_marks(x)
+        if core and core != x:
+            found = self[core.encode()] + (self[tail.encode()] if tail else b"")
+        elif core:
+            found = array(self.code, [p.id for p in self.one(x if x.isascii() else word.decode("latin-1").translate(BYTE_SIGNS))]).tobytes()
+        else:
+            found = array(self.code, self.whole(x, add_special_tokens=False).ids).tobytes()
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = found
+        return found
+
+
+def cut_marks(x: str) -> tuple[str, str]:
+    """The letters of a word, in lower case, and the ASCII marks after them; two empty texts for words of another form.
+
+    Only where Python's lower case is the tokenizer's, letter by letter, and composing (NFC) changes nothing: always below U+0250."""
+    core = x.rstrip(MARKS)
+    if not core.isalpha():
+        return "", ""
+    low = core.lower()
+    if max(core) < "\u0250":
+        return (low, x[len(core):]) if low.isalpha() else ("", "")
+    return (low, x[len(core):]) if low == core and is_normalized("NFC", core) else ("", "")
 
 
 def encoder(path: str, kind: str, split_words: bool):
     """Function from UTF-8 texts to the bytes of their ids, as unsigned integers of ``kind``."""
+    code = {"uint16": "H", "uint32": "I"}[kind]
     state = _seen.setdefault((path, kind, split_words), {})
     if "t" not in state:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        state["t"], state["known"] = Tokenizer.from_file(path), {}
+        state["t"] = Tokenizer.from_file(path)
+        state["known"] = Known(state["t"], code)
     t, known = state["t"], state["known"]
-    code = {"uint16": "H", "uint32": "I"}[kind]
 
-    def plain(words: list[bytes]) -> list[bytes]:
-        return [array(code, e.ids).tobytes() for e in t.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-
-    one = t.model.tokenize
-
-    def bare(words: list[bytes]) -> dict[bytes, bytes]:
-        """Words of lower-case letters alone are one piece each, which goes straight to the tokenizer's model."""
-        out, rest = {}, []
-        for w in words:
-            x = w.decode()
-            if x.isalpha() and x == x.lower() and is_normalized("NFC", x):
-                out[w] = array(code, [p.id for p in one(w.decode("latin-1").translate(BYTE_SIGNS))]).tobytes()
-            else:
-                rest.append(w)
-        return out | dict(zip(rest, plain(rest)))
-
-    if not split_words:
-        return plain
-
-    def learn(new: set[bytes]) -> None:
-        """Encode new words. ``Word.,`` is ``word`` and ``.,``: the tokenizer lower-cases and cuts marks off letters."""
-        parts = {}
-        for w in new:
-            core = w.lower().rstrip(b".,") if b"<" not in w else w
-            parts[w] = (core, w[len(core):]) if core and core[-1:].isalnum() else (w, b"")
-        need = list({x for p in parts.values() for x in p}.difference(known))
-        known.update(bare(need))
-        for w, (core, tail) in parts.items():
-            known[w] = known[core] + known[tail]
-
-    def encode(texts: list[bytes]) -> list[bytes]:
-        words = [x.split() for x in texts]
-        new = set().union(*words).difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set().union(*words)
-        learn(new)
-        return [b"".join(map(known.__getitem__, w)) for w in words]
-
-    return encode
+    def whole(texts: list[bytes]) -> list[bytes]:
+        return [array(code, e.ids).tobytes() for e in t.encode_batch_fast([x.decode() for x in texts], add_special_tokens=False)]
+
+    def words(texts: list[bytes]) -> list[bytes]:
+        return [b"".join(map(known.__getitem__, x.split())) for x in texts]
+
+    return words if split_words else whole
 
 
 def layout(kind: str, length: int) -> pa.Schema:

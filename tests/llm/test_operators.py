@@ -94,6 +94,46 @@ def test_tokens_of_hard_words_equal_whole_texts():
             assert np.frombuffer(y, "<u2").tolist() == t.encode(x, add_special_tokens=False).ids, x
 
 
+def test_tokens_words_beside_marks_and_capitals_share_their_letters():
+    """Marks after letters, and capitals of Latin letters, cost no encoding of their own: the letters are learnt once."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from flowruns.llm import token_files
+
+    path, kind = public_tokenizers.path("word_bpe_49k.json"), "uint32"
+    t, encode = Tokenizer.from_file(path), token_files.encoder(path, kind, True)
+    known = token_files._seen[path, kind, True]["known"]
+    known.clear()
+    whole, models, one = [], [], known.one
+    known.whole = lambda x, **k: whole.append(x) or t.encode(x, **k)
+    known.one = lambda x: models.append(x) or one(x)
+    x = "Élan élan, ÉLAN$$$ élan.!! élan'' Élan&&& élan%%%"
+    assert np.frombuffer(encode([x.encode()])[0], "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
+    assert len(models) == 1 and whole == [",", "$$$", ".!!", "''", "&&&", "%%%"]  # the marks alone
+    random.seed(7)
+    signs = "aZéÉßẞΣσςİıǅǆȺﬁ日１²5'.,$%&<|>_\u0301 \u0085\x1c-Ⅷªº‍ʰͅﬀÅ"
+    for _ in range(3000):
+        x = " ".join("".join(random.choices(signs, k=random.randint(1, 7))) for _ in range(2))
+        assert np.frombuffer(encode([x.encode()])[0], "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, x
+
+
+def test_tokens_remembered_words_are_bounded(monkeypatch):
+    import public_tokenizers
+
+    from flowruns.llm import token_files
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}.," for i in range(600)]
+    want = token_files.encoder(path, "uint32", False)([" ".join(words).encode()])
+    known = token_files.encoder(path, "uint32", True) and token_files._seen[path, "uint32", True]["known"]
+    known.clear()
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)
+    assert token_files.encoder(path, "uint32", True)([" ".join(words).encode()]) == want and len(known) <= 50
+
+
 def test_tokens_odd_rows(spark, odd_docs, no_docs):
     import public_tokenizers
 
