@@ -7,14 +7,16 @@ the run before and the run after it; spans that then overlap are joined. Recompu
 exactly the runs of the whole history there: a late reading costs the runs beside it, not the device's later history.
 
 The run before, around and after a span are looked up through a table of one row per device and hour (its first and
-last run, by partial aggregates) and, inside an hour, by a join on (device, hour). No window holds more than a device's hours, and
-no join more than an hour's runs of a device.
+last run, by partial aggregates) and, inside an hour, by a join on (device, hour); spans too many to broadcast are put beside the
+runs of their hour by one shuffle of both. No window holds more than a device's hours or an hour's runs of a device, and
+no join more than the latter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from flowruns import schema as S
 from flowruns.functions.timecols import US_SQL
 from flowruns.operators.runs import clean
-from flowruns.session import materialize, small_side, small_table
+from flowruns.session import broadcast_if_small, materialize, measured, small_side, small_table
 from flowruns.sources.versions import Version
 
 HOUR_US = 3_600_000_000
@@ -40,17 +42,37 @@ def touched_spans(new_readings: DataFrame) -> DataFrame:
             .agg(F.min(S.TIMESTAMP).alias("_LO"), F.max(S.TIMESTAMP).alias("_HI"), F.bool_or(flows).alias("_FLOWS")))
 
 
-def neighbour_runs(runs: DataFrame, spans: DataFrame) -> DataFrame:
+class Spans(NamedTuple):
+    """The ``touched_spans`` of some readings, written out, with the first ``_LO`` and the last ``_HI``."""
+
+    table: DataFrame
+    lo: Any
+    hi: Any
+
+
+def known_spans(new_readings: DataFrame) -> Spans:
+    spans, seen = measured(touched_spans(new_readings), lo=F.min("_LO"), hi=F.max("_HI"))
+    return Spans(spans, seen.lo, seen.hi)
+
+
+def neighbour_runs(runs: DataFrame, spans: DataFrame, few: bool = False) -> DataFrame:
     """The spans with ``_P`` and ``_Q``, the last run that starts at or before ``_LO`` and before or at ``_HI``, and ``_N``, the
-    first that starts after ``_HI`` (structs of START and END; null where ``runs`` has none)."""
-    run = F.struct(S.START, S.END)
+    first that starts after ``_HI`` (structs of START and END; null where ``runs`` has none). ``few`` spans are joined to the runs
+    where these lie."""
+    run = F.when(F.col(S.START).isNotNull(), F.struct(S.START, S.END))
     start = F.col(S.START)
     mine = runs.select(S.DEVICE_ID, S.START, S.END).join(spans.select(S.DEVICE_ID).distinct(), S.DEVICE_ID, "left_semi")
-    mine = mine.withColumn("_HOUR", _hour(S.START)).join(spans, [S.DEVICE_ID, "_HOUR"], "left")
-    hours = mine.groupBy(S.DEVICE_ID, "_HOUR").agg(
-        F.min(run).alias("_HEAD"), F.max(run).alias("_TAIL"), F.max(F.when(start <= F.col("_LO"), run)).alias("_P"),
-        F.max(F.when(start <= F.col("_HI"), run)).alias("_Q"), F.min(F.when(start > F.col("_HI"), run)).alias("_N"))
-    every = hours.join(spans, [S.DEVICE_ID, "_HOUR"], "full")
+    mine = mine.withColumn("_HOUR", _hour(S.START))
+    found = [F.min(run).alias("_HEAD"), F.max(run).alias("_TAIL"), F.max(F.when(start <= F.col("_LO"), run)).alias("_P"),
+             F.max(F.when(start <= F.col("_HI"), run)).alias("_Q"), F.min(F.when(start > F.col("_HI"), run)).alias("_N")]
+    if few:
+        hours = mine.join(spans, [S.DEVICE_ID, "_HOUR"], "left").groupBy(S.DEVICE_ID, "_HOUR").agg(*found)
+        every = hours.join(spans, [S.DEVICE_ID, "_HOUR"], "full")
+    else:
+        hour = Window.partitionBy(S.DEVICE_ID, "_HOUR")
+        both = mine.unionByName(spans, allowMissingColumns=True)  # at most one span of an hour
+        both = both.withColumns({c: f(c).over(hour) for c, f in (("_LO", F.max), ("_HI", F.max), ("_FLOWS", F.bool_or))})
+        every = both.groupBy(S.DEVICE_ID, "_HOUR").agg(*found, F.max("_LO").alias("_LO"), F.max("_HI").alias("_HI"), F.bool_or("_FLOWS").alias("_FLOWS"))
     w = Window.partitionBy(S.DEVICE_ID).orderBy("_HOUR")
     before = F.last("_TAIL", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     after = F.first("_HEAD", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
@@ -64,22 +86,20 @@ def _ends_inside() -> Column:
     return F.coalesce(F.col("_Q")[S.END] >= F.col("_HI"), F.lit(False))
 
 
-def located(runs: DataFrame, spans: DataFrame, version: Version | None = None) -> DataFrame:
+def located(runs: DataFrame, known: Spans, version: Version) -> DataFrame:
     """``neighbour_runs`` over the whole table. Of a stored ``version`` only the folders are read that can hold a run inside or
     around the spans. A neighbour beyond those is the same run for all spans of a device that lack it, so it is looked up
     once for the device (``nearest_runs``)."""
-    if version is None:
-        return neighbour_runs(runs, spans)
-    spans = materialize(spans)
-    lo, hi = spans.agg(F.min("_LO"), F.max("_HI")).first()
+    spans, lo, hi = known
     days = sorted(version.dates)
     if lo is None or not days:
-        return neighbour_runs(runs.where(F.lit(False)), spans)
+        return neighbour_runs(runs.where(F.lit(False)), spans, few=True)
     inside = [i for i, d in enumerate(days) if lo.date() <= d <= hi.date()]
     first, last = (inside[0], inside[-1]) if inside else (sum(d < lo.date() for d in days),) * 2
     low, high = max(0, first - 1), min(len(days), last + 2)
     around = version.ending(lo) & (F.col(S.START_DATE) <= F.lit(hi.date()))  # runs that reach into the spans
-    found = neighbour_runs(runs.where(version.on(days[low:high]) | around), small_side(spans))
+    spans, few = broadcast_if_small(spans)
+    found = neighbour_runs(runs.where(version.on(days[low:high]) | around), spans, few)
     if low == 0 and high == len(days):
         return found
     # what lies beyond the folders read cannot matter to an idle span, nor to one with both neighbours
@@ -112,11 +132,15 @@ def nearest_runs(runs: DataFrame, devices: DataFrame, version: Version, days: li
     return small_side(reduce(DataFrame.unionByName, found)) if found else None
 
 
-def late_intervals(runs: DataFrame, new_readings: DataFrame, version: Version | None = None) -> DataFrame:
-    """(DEVICE_ID, START, END, _INTERVAL): disjoint closed intervals outside which ``new_readings`` change no run.
+def late_intervals(runs: DataFrame, new_readings: DataFrame | Spans, version: Version | None = None) -> DataFrame:
+    """(DEVICE_ID, START, END, _INTERVAL): disjoint closed intervals outside which ``new_readings`` (or the readings of these
+    spans) change no run.
 
     At most one row per device and hour with new readings. Every stored run lies inside one interval or outside all."""
-    x = located(runs, touched_spans(new_readings), version)
+    if version is None:
+        x = neighbour_runs(runs, new_readings.table if isinstance(new_readings, Spans) else touched_spans(new_readings))
+    else:
+        x = located(runs, new_readings if isinstance(new_readings, Spans) else known_spans(new_readings), version)
     lo, hi, flows = F.col("_LO"), F.col("_HI"), F.col("_FLOWS")
     inside = F.coalesce(F.col("_Q")[S.END] >= lo, F.lit(False))  # a stored run meets the span
     device = Window.partitionBy(S.DEVICE_ID)

@@ -221,10 +221,14 @@ def island_ids(readings: DataFrame, chunk_seconds: float | str = DEFAULT_CHUNK_S
     """
     keys = [S.DEVICE_ID, *batch_cols]
     chunk_seconds = resolve_chunks(readings, chunk_seconds)
-    r, local, _ = _local_ids(readings, chunk_seconds, tiebreak, keys)
-    if isinstance(chunk_seconds, Chunks) and chunk_seconds.single:  # no idle readings in earlier chunks: one read, no join
-        return local.where(F.col("_IDLE") == 0).withColumn(S.RUN_ID, F.col("_LOCAL")).drop("_LOCAL", "_IDLE", S.CHUNK)
+    if isinstance(chunk_seconds, Chunks) and chunk_seconds.single:
+        # no idle readings in earlier chunks: one read, no join. Without the chunk among the window's keys, a run lies in one
+        # partition, and what is grouped by it is not shuffled again
+        r = clean(readings).withColumn("_IDLE", idle_flag())
+        so_far = Window.partitionBy(*keys).orderBy(*_order(tiebreak, [F.col("_IDLE")])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return r.withColumn(S.RUN_ID, F.sum("_IDLE").over(so_far)).where(F.col("_IDLE") == 0).drop("_IDLE")
 
+    r, local, _ = _local_ids(readings, chunk_seconds, tiebreak, keys)
     # One row per (device, chunk): partial aggregation happens before the shuffle.
     per_chunk = r.groupBy(*keys, S.CHUNK).agg(F.sum("_IDLE").alias("_N_IDLE"))
     offsets = chunk_offsets(per_chunk, keys, _many(chunk_seconds))

@@ -18,7 +18,7 @@ from flowruns.operators import extents as X
 from flowruns.operators import repair as P
 from flowruns.operators.late import late_intervals
 from flowruns.operators.merge import merge_fragments, summarize_parts
-from flowruns.operators.runs import island_bounds, island_ids, neighbours, nonzero_readings, prune_readings, zero_flag
+from flowruns.operators.runs import island_bounds, island_ids, neighbours, nonzero_readings, prune_readings, resolve_chunks, zero_flag
 from flowruns.operators.summary import summarize_runs, summarize_view
 from flowruns.plans import jobs, runner
 from flowruns.sources import fixtures as FX
@@ -372,11 +372,12 @@ def build() -> dict[str, Query]:
         events = table(spark, sf, "events")
         delivery = step(events)
         files = max(STREAM_FILES, -(-events.count() // (STREAM_STEPS * STREAM_FILE_ROWS)))
+        chunks = resolve_chunks(readings_from_events(events))  # of all events, so they also hold for those delivered so far
         for k in range(STREAM_STEPS):
             events.where(delivery == k).repartition(files).write.mode("append").parquet(f"{root}/source")
             start_stream(spark, f"{root}/source", events.schema, f"{root}/runs", f"{root}/_stream",
                          to_readings=readings_from_events, keep_state=keep_state).awaitTermination()
-            full = summarize_runs(readings_from_events(spark.read.schema(events.schema).parquet(f"{root}/source")))
+            full = summarize_runs(readings_from_events(spark.read.schema(events.schema).parquet(f"{root}/source")), chunks)
             now, want = (df.select(*KEYS, S.RECORDS) for df in (sinks.read_runs(spark, f"{root}/runs"), full))
             if not same_rows(now, want):
                 raise AssertionError(f"the streamed table differs from a full recompute after step {k}")

@@ -82,8 +82,14 @@ def small_table(df: DataFrame, max_bytes: int | None = None, **aggregates: Colum
     return F.broadcast(out) if fits else out, Row(**row.asDict(), fits=fits)
 
 
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """``small_side``, and whether the table is broadcast."""
+    n, ids = df.agg(*_bytes(df).values()).first()
+    fits = n * 8 * (len(df.columns) + 1) + ids <= max_bytes
+    return F.broadcast(df) if fits else df, fits
+
+
 def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast a materialized per-device table only when its size, measured here, is within
     ``max_bytes`` (8 bytes a column and the device ids); otherwise leave the join strategy to Spark/AQE."""
-    n, ids = df.agg(*_bytes(df).values()).first()
-    return F.broadcast(df) if n * 8 * (len(df.columns) + 1) + ids <= max_bytes else df
+    return broadcast_if_small(df, max_bytes)[0]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowruns import schema as S
-from flowruns.operators.late import late_intervals
+from flowruns.operators.late import Spans, known_spans, late_intervals
 from flowruns.operators.merge import summarize_parts
 from flowruns.operators.runs import DEFAULT_CHUNK_SECONDS, clean, resolve_chunks
 from flowruns.operators.summary import summarize_runs
@@ -39,7 +39,7 @@ class Recomputed(NamedTuple):
     new: DataFrame
 
 
-def recompute_touched(readings: DataFrame, runs: DataFrame, new_readings: DataFrame,
+def recompute_touched(readings: DataFrame, runs: DataFrame, new_readings: DataFrame | Spans,
                       chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
                       version: Version | None = None, summarize: Callable[..., DataFrame] = summarize_runs) -> Recomputed | None:
     """Recompute each interval that ``new_readings`` touch (``operators.late``) from its own readings; None if they touch none."""
@@ -63,10 +63,10 @@ def in_table(new_runs: DataFrame, runs: DataFrame) -> DataFrame:
     return new_runs.withColumn(S.START_DATE, F.to_date(S.START)).select(*runs.columns)
 
 
-def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataFrame,
+def apply_new_readings(readings: DataFrame, runs: DataFrame, new_readings: DataFrame | Spans,
                        chunk_seconds: float | str = DEFAULT_CHUNK_SECONDS, tiebreak: Sequence[str] = (),
                        version: Version | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """The run table after ``new_readings`` (already part of ``readings``) arrived.
+    """The run table after ``new_readings`` (already part of ``readings``; their spans are enough) arrived.
 
     Each interval they touch (``operators.late``) is recomputed from its own readings, and takes the place of the stored
     runs inside it. ``version`` is the stored version that ``runs`` was read from. Returns
@@ -126,14 +126,14 @@ def process_batch(spark: SparkSession, batch: DataFrame, source: Callable[[], Da
         return
     if keep_state:  # the batch's runs come from the batch, with all their columns
         batch = materialize(clean(batch).select(*[c for c in S.READINGS_SCHEMA.names if c in batch.columns]))
-    else:
-        batch = materialize(clean(batch).select(S.DEVICE_ID, S.TIMESTAMP, S.FLOW_RATE))  # a repeat reads the files no second time
+    else:  # of the batch only its spans are needed; a repeat reads the files no second time
+        spans = known_spans(batch.select(S.DEVICE_ID, S.TIMESTAMP, S.FLOW_RATE))
 
     def job(runs, version):
         if keep_state:
             table, changed, folders = apply_with_state(source, runs, batch, version, chunk_seconds)
             return sinks.dated(table), None if changed is None else materialize(changed), folders
-        table, changed = apply_new_readings(source(), runs, batch, chunk_seconds, version=version)
+        table, changed = apply_new_readings(source(), runs, spans, chunk_seconds, version=version)
         return sinks.dated(table), None if changed is None else materialize(changed)
 
     versions.commit(spark, dest_path, job)
@@ -155,13 +155,14 @@ def start_stream(spark: SparkSession, source_path: str, source_schema, dest_path
     reader = spark.readStream.schema(source_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = to_readings(reader.parquet(source_path))
+    stream = reader.parquet(source_path)
 
     def source() -> DataFrame:
         return to_readings(spark.read.schema(source_schema).parquet(source_path))
 
     writer = (stream.writeStream
-              .foreachBatch(lambda df, epoch: process_batch(spark, df, source, dest_path, chunk_seconds, keep_state))
+              # mapped in the batch: a micro-batch comes as rows, so columns mapped before would be computed though nothing reads them
+              .foreachBatch(lambda df, epoch: process_batch(spark, to_readings(df), source, dest_path, chunk_seconds, keep_state))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from flowruns import schema as S
@@ -98,3 +99,41 @@ def test_a_load_in_one_bucket_is_stitched_to_runs_of_the_one_before(spark):
     every = frame(spark, first + [("a", BOUND + 10, 1.0), ("b", BOUND + 10, 1.0)])
     out, _ = jobs.incremental(every, jobs.materialize(summarize_runs(frame(spark, first))), FX.empty_checkpoints(spark))
     assert rows_of(out) == rows_of(summarize_runs(every)) == [("a", BOUND - 20, BOUND - 20, 1), ("a", BOUND + 10, BOUND + 10, 1), ("b", BOUND - 20, BOUND + 10, 3)]
+
+
+def test_runs_in_one_bucket_are_shuffled_once(spark):
+    """The window's partitions hold whole runs, so grouping by the run needs no second shuffle."""
+    one = frame(spark, [("a", m, float(m % 3)) for m in range(20)]).repartition(3)
+    chunks = resolve_chunks(one)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = summarize_runs(one.withColumn("_BATCH", F.lit(1)), chunks, batch_cols=["_BATCH"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("Exchange hashpartitioning") == 1
+
+
+def test_columns_that_a_batch_does_not_need_are_not_computed(spark):
+    """Only device, time and flow of a micro-batch are read, so a column that cannot be computed for it does no harm."""
+    root, seen = tempfile.mkdtemp(prefix="flowruns-test-"), []
+    rows = frame(spark, [("a", 1, 1.0), ("a", 2, 0.0), ("a", 3, 2.0)])
+    rows.coalesce(1).write.parquet(f"{root}/source")
+
+    def mapped(df):
+        seen.append(df.isStreaming)
+        return df.withColumn(S.PRESSURE, F.when(F.input_file_name() == "", F.raise_error(F.lit("computed"))).otherwise(F.col(S.PRESSURE)))
+
+    incremental.start_stream(spark, f"{root}/source", rows.schema, f"{root}/runs", f"{root}/_s", to_readings=mapped).awaitTermination()
+    assert rows_of(sinks.read_runs(spark, f"{root}/runs")) == [("a", 1, 1, 1), ("a", 3, 3, 1)]
+    assert seen and not any(seen)
+
+
+def test_many_spans_have_the_neighbours_that_few_have(spark):
+    rows = [("a", m, float(m % 4)) for m in range(0, 300, 7)] + [("b", m, 1.0 if m % 50 else 0.0) for m in range(0, 400, 10)] + [("c", 5, 1.0)]
+    runs = jobs.materialize(summarize_runs(frame(spark, rows)))
+    new = [(d, m, float(m % 3)) for d in "abd" for m in (3, 59, 61, 62, 130, 200, 201, 390, 500)]
+    spans = jobs.materialize(late.touched_spans(frame(spark, new)))
+    few, many = (sorted(map(repr, late.neighbour_runs(runs, spans, few).collect())) for few in (True, False))
+    assert few == many and len(many) == spans.count()
+    none = [sorted(map(repr, late.neighbour_runs(runs.limit(0), spans, few).collect())) for few in (True, False)]
+    assert none[0] == none[1] and len(none[0]) == len(many)
